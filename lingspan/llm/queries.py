@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from .mixing import mix
+from .repetition import repetition
 from .ring import shard_by_ring
 from .shared import documents
 
@@ -23,9 +25,22 @@ def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN).drop("text")
+    rows = bpe.decode(ids, vocabulary, public_tokenizers.PATTERN)
+    return rows.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition(documents(spark, sf_dir), ["doc_id"])
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mix(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"), mix_domain(), MIX_WEIGHTS)
     return rows.select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op4_ring_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op4_ring_sharding, op5_byte_bpe, op6_repetition, op10_mixing)}
