@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, gam, langid
 from .mixing import mix
 from .repetition import repetition
 from .ring import shard_by_ring
-from .shared import documents
+from .shared import documents, held_out
+from .simhash import simhash_components
 
 #: op10 and the pipeline: weights by level; names without one weigh 1.
 MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 2}, "lang": {"en": 3, "de": 2, "fr": 2}, "source": {"src1": 2}}
@@ -20,6 +21,11 @@ def mix_domain():
     return F.concat(F.lit("d"), F.expr("right(source, 1)"))
 
 
+def op2_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash_components(documents(spark, sf_dir).select("doc_id", "text"), n=3)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_by_ring(documents(spark, sf_dir).select("doc_id", "text"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -29,7 +35,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN).drop("text")
+    ids = bpe.encode(documents(spark, sf_dir), vocabulary, public_tokenizers.PATTERN, ["doc_id"])
     rows = bpe.decode(ids, vocabulary, public_tokenizers.PATTERN)
     return rows.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -38,9 +44,31 @@ def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(documents(spark, sf_dir), ["doc_id"])
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> gam.Additive:
+    """Learned from the quality labels outside the held-out fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out("doc_id")).select("doc_id", F.col("quality").alias("label"))
+    return gam.fit(documents(spark, sf_dir).select("doc_id", "text"), labels)
+
+
+#: Scores from here on are the better class.
+QUALITY_THRESHOLD = 0.3
+
+
+def op8_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = gam.score(documents(spark, sf_dir), quality_model(spark, sf_dir), ["doc_id"])
+    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs.where(~held_out("doc_id")).select("doc_id", "text", "lang"))
+    rows = langid.identify(docs, model, ["doc_id"])
+    return rows.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mix(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"), mix_domain(), MIX_WEIGHTS)
     return rows.select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op4_ring_sharding, op5_byte_bpe, op6_repetition, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_simhash_golay, op4_ring_sharding, op5_byte_bpe, op6_repetition, op8_quality_gam, op9_language_id, op10_mixing)}

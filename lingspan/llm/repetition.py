@@ -12,14 +12,11 @@ Memory is a few arrays of the longest text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .shared import utf8
+from .shared import map_texts, utf8
 
 MIN_WORDS = 50
 #: Greatest share of word characters inside repeated n-grams, by n. Far above what one line said twice makes of a
@@ -128,13 +125,10 @@ def repetition(docs: DataFrame, columns: list[str] | None = None, text: str = "t
     limits = np.array([LINE_LIMIT, *NGRAM_LIMITS.values()])
     fields = [T.StructField(c, T.LongType()) for c in COLUMNS] + [T.StructField(c, T.DoubleType()) for c in SHARES] + [T.StructField(c, T.BooleanType()) for c in ("base_failed", "kept")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            found = pd.DataFrame([measure(t) for t in rows["_text"]], columns=[*COLUMNS, *SHARES], index=rows.index)
-            found = found.astype({c: "int64" for c in COLUMNS} | {c: "float64" for c in SHARES})
-            found["base_failed"] = (found["n_words"] < MIN_WORDS) | (100 * found["n_repeat_words"] > WINDOW_PERCENT * found["n_words"])
-            found["kept"] = ~found["base_failed"] & (found[SHARES].to_numpy() <= limits).all(axis=1)
-            yield pd.concat([rows[columns], found], axis=1)
+    def values(texts):
+        found = [measure(t) for t in texts]
+        failed = [x[0] < MIN_WORDS or 100 * x[4] > WINDOW_PERCENT * x[0] for x in found]
+        kept = [not f and bool((np.array(x[5:]) <= limits).all()) for f, x in zip(failed, found)]
+        return [*map(list, zip(*found)), failed, kept]
 
-    rows = docs.select(*columns, docs[text].alias("_text"))
-    return rows.mapInPandas(run, T.StructType([*docs.select(*columns).schema.fields, *fields]))
+    return map_texts(docs, columns, text, fields, lambda: values)

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,3 +42,32 @@ def held_out(doc_id: Column | str) -> Column:
 
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
+
+
+#: UTF-8 bytes of text that a Python worker turns into objects at a time; a longer text is a chunk of its own.
+CHUNK_BYTES = 3_000_000
+
+
+def map_texts(docs: DataFrame, columns: list[str], text: str, fields: list[T.StructField], make: Callable[[], Callable[[list], list[list]]]) -> DataFrame:
+    """The given columns of docs, then `fields`. make() runs once a task and gives a function from a list of texts to
+    the lists of values of the fields. Batches are cut to CHUNK_BYTES, which bounds a worker's memory."""
+    kept = docs.select(*columns, docs[text].alias("_text"))
+    n = len(columns)
+    schema = T.StructType([*kept.schema.fields[:n], *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        values_of = make()
+        types = [to_arrow_type(f.dataType) for f in fields]
+        for batch in batches:
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(n)), 0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < batch.num_rows:
+                upto = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHUNK_BYTES, side="right")))
+                part = batch.slice(at, upto - at)
+                made = values_of(part.column(n).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], *(pa.array(v, t, from_pandas=True) for v, t in zip(made, types))], names=schema.names)
+                at = upto
+
+    return kept.mapInArrow(run, schema)
