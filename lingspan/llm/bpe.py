@@ -19,17 +19,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .shared import map_texts
+
 #: A worker's memo of pieces is emptied before a batch once it holds more than this.
-MEMO_PIECES = 400_000
-#: Texts are encoded together up to about so many characters; a longer text is a batch of its own.
-BATCH_CHARS = 16_000_000
+MEMO_PIECES = 350_000
 
 
 def read_ranks(spark, path: str) -> dict[bytes, int]:
@@ -179,16 +177,7 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        out, batch, size = [], [], 0
-        for t in texts:
-            batch.append(t or "")
-            size += len(batch[-1])
-            if size >= BATCH_CHARS:
-                out += self._encode(batch)
-                batch, size = [], 0
-        return out + self._encode(batch)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
+        texts = [t or "" for t in texts]
         for memo in (self.plain, self.spaced):
             if len(memo) > MEMO_PIECES:
                 memo.clear()
@@ -229,28 +218,31 @@ def _spec(spark, path: str, pattern: str):
     return spark.sparkContext.broadcast((name, ranks, pattern))  # the vocabulary: a fixed file
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """docs plus token_ids (binary: little-endian unsigned 32-bit) and n_tokens; columns of those names are replaced."""
+def encode(docs: DataFrame, path: str, pattern: str, columns: list[str] | None = None, text: str = "text") -> DataFrame:
+    """docs (or the given columns of it) plus token_ids (binary: little-endian unsigned 32-bit) and n_tokens; such
+    names in docs are replaced."""
     spec = _spec(docs.sparkSession, path, pattern)
-    kept = docs.select(*[c for c in docs.columns if c not in ("token_ids", "n_tokens")])
+    columns = [c for c in (docs.columns if columns is None else columns) if c not in ("token_ids", "n_tokens")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         codec = codec_of(spec.value)
-        for rows in batches:
-            ids = codec.encode(rows[text].tolist())
-            yield rows.assign(token_ids=ids, n_tokens=[len(x) // 4 for x in ids])
 
-    return kept.mapInPandas(run, T.StructType([*kept.schema.fields, T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]))
+        def values(texts):
+            ids = codec.encode(texts)
+            return [ids, [len(x) // 4 for x in ids]]
+
+        return values
+
+    return map_texts(docs, columns, text, [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())], make)
 
 
-def decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """docs with token_ids plus decoded (binary: the text's bytes); a column of that name is replaced."""
+def decode(docs: DataFrame, path: str, pattern: str, columns: list[str] | None = None) -> DataFrame:
+    """docs with token_ids (or the given columns of it) plus decoded, the text's bytes; a column of that name is replaced."""
     spec = _spec(docs.sparkSession, path, pattern)
-    kept = docs.select(*[c for c in docs.columns if c != "decoded"])
+    columns = [c for c in (docs.columns if columns is None else columns) if c != "decoded"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         codec = codec_of(spec.value)
-        for rows in batches:
-            yield rows.assign(decoded=[codec.decode(x or b"") for x in rows["token_ids"]])
+        return lambda ids: [[codec.decode(x or b"") for x in ids]]
 
-    return kept.mapInPandas(run, T.StructType([*kept.schema.fields, T.StructField("decoded", T.BinaryType())]))
+    return map_texts(docs, columns, "token_ids", [T.StructField("decoded", T.BinaryType())], make)
