@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,7 @@ SEED = 42
 BUCKET = 64
 WORDS = 5
 THRESHOLD = 0.8
-SKETCH = 512
+SKETCH = 256
 SMALL = 24
 RADIUS = 12
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, width
@@ -228,3 +228,114 @@ def simhash_components(docs: DataFrame, n: int = 3, key: str = "doc_id", text: s
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of = named.select("fp", "component").join(names, "component").select("fp", "component_id")
     return rows.join(of, "fp").select(key, "fp", "component_id")
+
+
+def _pivot_pairs(fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within RADIUS of distinct fingerprints: each with the pivots it meets."""
+    while len(fp) > 1:
+        by = fp.view(np.uint8).reshape(-1, 8)
+        ones = np.concatenate([np.bincount(by[:, k], minlength=256) @ _BITS for k in range(8)])
+        middle = np.packbits(ones * 2 > len(fp), bitorder="little").view("<u8")[0]
+        pivot = fp[np.argmin(np.bitwise_count(fp.view(np.uint64) ^ middle))]
+        apart = np.bitwise_count((fp ^ pivot).view(np.uint64))
+        near = fp[(apart > 0) & (apart <= RADIUS)]
+        yield np.minimum(near, pivot), np.maximum(near, pivot)
+        fp = fp[apart > RADIUS // 2]
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, fp) sorted by key -> (a, b), a < b, in a bucket together and within RADIUS."""
+
+    def pairs(key: np.ndarray, fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+        size = np.repeat(np.diff(edges), np.diff(edges))
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()) if (size > SMALL).any() else ():
+            if j - i > SMALL:
+                yield from _pivot_pairs(np.unique(fp[i:j]))
+        key, fp = key[size <= SMALL], fp[size <= SMALL]
+        at = np.arange(len(key))
+        for d in range(1, SMALL):
+            at = at[at + d < len(key)]
+            at = at[key[at] == key[at + d]]
+            if at.size == 0:
+                break
+            apart = np.bitwise_count((fp[at] ^ fp[at + d]).view(np.uint64))
+            near = at[(apart > 0) & (apart <= RADIUS)]
+            yield np.minimum(fp[near], fp[near + d]), np.maximum(fp[near], fp[near + d])
+
+    for key, fp in _groups(batches, ["key", "fp"], 1_000_000):
+        for a, b in pairs(key, fp):
+            if a.size:
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def describe(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, node, fp1, fp2, sketch): node is a hash of the lower-cased words, fp1 and fp2 the SimHashes of the sets of
+    words and of word pairs, sketch the SKETCH smallest 32-bit hashes of the set of WORDS-word shingles, sorted."""
+
+    def values(texts):
+        out = []
+        for t in texts:
+            words = utf8(t).lower().split()
+            node = np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], np.uint64).view(np.int64)[0]
+            if not words:
+                out.append((int(node), 0, 0, b""))
+                continue
+            one, two = (np.unique(shingle_hashes(words, n)) for n in (1, 2))
+            sketch = np.unique((shingle_hashes(words, WORDS) >> np.uint64(32)).astype("<u4"))[:SKETCH]
+            out.append((int(node), simhash(one), simhash(two), sketch.tobytes()))
+        return [*map(list, zip(*out))]
+
+    fields = [T.StructField(c, T.LongType()) for c in ("node", "fp1", "fp2")] + [T.StructField("sketch", T.BinaryType())]
+    return map_texts(docs, [key], text, fields, lambda: values)
+
+
+def jaccard(a: bytes, b: bytes) -> float:
+    """Of two sketches; exact if neither is full."""
+    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    both = np.union1d(x, y)
+    if len(x) == SKETCH or len(y) == SKETCH:
+        both = both[: min(SKETCH, len(both))]
+    shared = np.intersect1d(np.intersect1d(x, y, assume_unique=True), both, assume_unique=True)
+    return len(shared) / max(1, len(both))
+
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+        keep = pa.array([jaccard(a, b) >= THRESHOLD for a, b in zip(x, y)], pa.bool_())
+        yield batch.select(["a", "b"]).filter(keep)
+
+
+def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, node, component): rows of one component are near-duplicates of each other, directly or by others between."""
+    rows = materialize(describe(docs, key, text), "described")
+    nodes = rows.groupBy("node").agg(F.first("fp1").alias("fp1"), F.first("fp2").alias("fp2"))
+    found = None
+    for fp in ("fp1", "fp2"):
+        of = nodes.select("node", F.col(fp).alias("fp"))
+        spread = _keyed(of.select("fp").distinct(), ["fp"], golay_pairs).repartition("key").sortWithinPartitions("key")
+        pairs = spread.mapInArrow(_candidates, "a long, b long").distinct()
+        first = of.groupBy("fp").agg(F.min("node").alias("head"))  # nodes of one fp: a star
+        heads = first.withColumnRenamed("fp", "a").withColumnRenamed("head", "u")
+        across = pairs.join(heads, "a").join(heads.select(F.col("a").alias("b"), F.col("u").alias("v")), "b").select("u", "v")
+        within = of.join(first, "fp").where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v"))
+        both = across.unionAll(within)
+        found = both if found is None else found.unionAll(both)
+    found = materialize(found.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "candidates")
+    wanted = found.select(F.col("a").alias("node")).unionAll(found.select("b")).distinct()
+    sketches = materialize(rows.select("node", "sketch").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sketches")
+    checked = found.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a")
+    checked = checked.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y")), "b").select("a", "b", "x", "y")
+    linked = components(checked.mapInArrow(_similar, "a long, b long"))
+    return rows.select(key, "node").join(linked, "node", "left").select(key, "node", F.coalesce("component", "node").alias("component"))
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs without all but one document, the one of the smallest key, of each near_groups component. A key counts as
+    one document: of repeated rows of a key one stays. Rows without a key stay."""
+    groups = near_groups(docs.where(F.col(key).isNotNull()), key, text)
+    kept = groups.groupBy("component").agg(F.min(key).alias(key)).select(key).distinct()
+    one = Window.partitionBy(key).orderBy(key)
+    rows = docs.join(kept, key, "left_semi").withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select(docs.columns)
+    return rows.unionAll(docs.where(F.col(key).isNull()))
