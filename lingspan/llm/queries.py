@@ -11,6 +11,7 @@ from .repetition import repetition
 from .ring import shard_by_ring
 from .shared import documents, held_out
 from .simhash import simhash_components
+from .suffix_dedup import repeated_spans
 
 #: op10 and the pipeline: weights by level; names without one weigh 1.
 MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 2}, "lang": {"en": 3, "de": 2, "fr": 2}, "source": {"src1": 2}}
@@ -21,6 +22,12 @@ def mix_domain():
     return F.concat(F.lit("d"), F.expr("right(source, 1)"))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeated_spans(documents(spark, sf_dir).select("doc_id", "text"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash_components(documents(spark, sf_dir).select("doc_id", "text"), n=3)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -71,4 +78,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_golay, op4_ring_sharding, op5_byte_bpe, op6_repetition, op8_quality_gam, op9_language_id, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_golay, op4_ring_sharding, op5_byte_bpe, op6_repetition, op8_quality_gam, op9_language_id, op10_mixing)}
