@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, gam, langid
+from . import bpe, gam, langid, pii
 from .mixing import mix
 from .repetition import repetition
 from .ring import shard_by_ring
@@ -33,6 +33,14 @@ def op2_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rows = pii.find(docs, pii.fit(docs.select("doc_id", "text")), ["doc_id"])
+    said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    counts = [F.expr(f"CAST(size(filter(base_spans, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in pii.BASE]
+    return rows.select("doc_id", *counts, F.sha2(said("base_spans").cast("binary"), 256).alias("base_sha256"), said(F.concat("base_spans", "added_spans")).alias("spans"))
+
+
 def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard_by_ring(documents(spark, sf_dir).select("doc_id", "text"))
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -78,4 +86,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_golay, op4_ring_sharding, op5_byte_bpe, op6_repetition, op8_quality_gam, op9_language_id, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_golay, op3_pii, op4_ring_sharding, op5_byte_bpe, op6_repetition, op8_quality_gam, op9_language_id, op10_mixing)}
