@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, gam, langid, pii
+from . import bpe, flac, gam, langid, pii
 from .mixing import mix
 from .repetition import repetition
 from .ring import shard_by_ring
@@ -59,6 +59,18 @@ def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(documents(spark, sf_dir), ["doc_id"])
 
 
+def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    media = flac.to_flac(docs, ["doc_id", "n_bytes"])
+    media = media.withColumns({"media_bytes": F.octet_length("media").cast("long"), "media_sha256": F.sha2("media", 256)})
+    rows = flac.read_back(media, ["doc_id", "n_bytes", "media_bytes", "media_sha256"])
+    size = F.octet_length("payload")
+    return rows.select(
+        "doc_id", "n_bytes", size.cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"), "media_bytes", "media_sha256", "feature",
+    )
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> gam.Additive:
     """Learned from the quality labels outside the held-out fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out("doc_id")).select("doc_id", F.col("quality").alias("label"))
@@ -86,4 +98,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_golay, op3_pii, op4_ring_sharding, op5_byte_bpe, op6_repetition, op8_quality_gam, op9_language_id, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_golay, op3_pii, op4_ring_sharding, op5_byte_bpe, op6_repetition, op7_flac, op8_quality_gam, op9_language_id, op10_mixing)}
