@@ -99,3 +99,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_golay, op3_pii, op4_ring_sharding, op5_byte_bpe, op6_repetition, op7_flac, op8_quality_gam, op9_language_id, op10_mixing)}
+ORACLES: dict[str, str] = {}
