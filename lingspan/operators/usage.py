@@ -92,8 +92,10 @@ def alive(symbols: DataFrame, names: DataFrame, paths: DataFrame) -> DataFrame:
     """Symbols that are an identifier, a path's part, or the beginning of an identifier. The prefix test is an equality
     join: identifiers are cut to the lengths that symbols have."""
     symbols = symbols.select("symbol").distinct()
-    lengths = symbols.agg(F.array_distinct(F.collect_set(F.char_length("symbol"))).alias("lengths")).scalar()
-    heads = names.withColumn("n", F.explode(F.filter(lengths, lambda n: n <= F.char_length("name")))).select(F.expr("substring(name, 1, n)").alias("symbol")).distinct()
+    lengths = symbols.select(F.char_length("symbol").alias("n")).distinct()
+    most = F.coalesce(symbols.agg(F.max(F.char_length("symbol"))).scalar(), F.lit(0))
+    cuts = names.withColumn("_most", F.least(F.char_length("name"), most)).where("_most > 0").withColumn("n", F.explode(F.sequence(F.lit(1), F.col("_most"))))
+    heads = cuts.join(lengths, "n", "left_semi").select(F.expr("substring(name, 1, n)").alias("symbol")).distinct()
     exact = names.unionByName(paths).select(F.col("name").alias("symbol")).distinct()
     return symbols.join(heads.unionByName(exact).distinct(), "symbol", "left_semi")
 
