@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .shared import map_texts
 
 #: A worker's memo of pieces is emptied before a batch once it holds more than this.
-MEMO_PIECES = 350_000
+MEMO_PIECES = 200_000
 
 
 def read_ranks(spark, path: str) -> dict[bytes, int]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, flac, gam, langid, pii
 from .mixing import mix
+from .oracles import mixing_sql
 from .repetition import repetition
 from .ring import shard_by_ring
 from .shared import documents, held_out
@@ -99,4 +100,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_golay, op3_pii, op4_ring_sharding, op5_byte_bpe, op6_repetition, op7_flac, op8_quality_gam, op9_language_id, op10_mixing)}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op10_mixing": mixing_sql(MIX_WEIGHTS)}

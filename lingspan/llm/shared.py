@@ -46,11 +46,18 @@ def utf8(text: str | None) -> bytes:
 
 #: UTF-8 bytes of text that a Python worker turns into objects at a time; a longer text is a chunk of its own.
 CHUNK_BYTES = 3_000_000
+#: Rows of an Arrow batch, since a row holds a whole text; a session's smaller setting stays.
+ARROW_ROWS = 1_000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def map_texts(docs: DataFrame, columns: list[str], text: str, fields: list[T.StructField], make: Callable[[], Callable[[list], list[list]]]) -> DataFrame:
     """The given columns of docs, then `fields`. make() runs once a task and gives a function from a list of texts to
-    the lists of values of the fields. Batches are cut to CHUNK_BYTES, which bounds a worker's memory."""
+    the lists of values of the fields. Batches are cut to ARROW_ROWS, a setting of the session, and to CHUNK_BYTES,
+    which bounds a worker's memory."""
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS)) <= ARROW_ROWS:
+        conf.set(_ROWS, str(ARROW_ROWS))
     kept = docs.select(*columns, docs[text].alias("_text"))
     n = len(columns)
     schema = T.StructType([*kept.schema.fields[:n], *fields])

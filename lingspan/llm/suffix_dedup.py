@@ -16,7 +16,8 @@ Every byte inside a string of LENGTH bytes that also starts elsewhere, in the sa
 4. Depths. Two anchors agree over L bytes leftward and R rightward, and repeat each other's windows if L + R >= LENGTH.
    R is a common prefix of the anchor with others in the first order and L in the second; so every longest repeat
    starts or ends with a window given by such a depth. These few windows of each class are compared by 128-bit hashes
-   of bytes and place, so that one window seen from two anchors is no repeat, grouped over all classes. Where a group goes on beyond its range, all depths that could lie outside are tried.
+   of bytes and place, so that one window seen from two anchors is no repeat, grouped over all classes. A gram is cut up by ranges only if it has over SPLIT classes; then all
+   depths that could lie in other ranges are tried.
 5. Repeated windows of a class hold for all its members; their union is cut out of each text.
 
 Bounds are drawn from a sample of SAMPLED classes a range; they decide where work is done, not results. A passage in a
@@ -51,6 +52,9 @@ RUN_BYTES = 24_000_000
 #: Sampled classes a range, for the ranges' bounds, and ranges a shuffle partition.
 SAMPLED = 16
 RANGES = 4
+#: A gram of more classes than this may be shared out over ranges; at most so many classes of a gram meet in a task
+#: undivided.
+SPLIT = 200_000
 
 _BASE = 0x9E3779B97F4A7C15
 _tables: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -106,8 +110,9 @@ def _contexts(raw: bytes, at: int) -> tuple[bytes, bytes]:
     return raw[max(0, at - BEFORE) : at], raw[at : at + LENGTH]
 
 
-def _class_of(before: bytes, after: bytes) -> bytes:
-    return xxhash.xxh3_128_digest(before + after, len(before))
+def _class_of(before: bytes, after: bytes) -> int:
+    """With the gram's own hash, 128 bits that tell contexts apart."""
+    return xxhash.xxh3_64_intdigest(before + after, len(before)) - (1 << 63)
 
 
 def find_anchors(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -121,7 +126,7 @@ def find_anchors(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
             out.append((at.tolist(), h.view(np.int64).tolist(), [_class_of(*_contexts(raw, i)) for i in at.tolist()]))
         return [*map(list, zip(*out))]
 
-    fields = [T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("grams", T.ArrayType(T.LongType())), T.StructField("classes", T.ArrayType(T.BinaryType()))]
+    fields = [T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("grams", T.ArrayType(T.LongType())), T.StructField("classes", T.ArrayType(T.LongType()))]
     return map_texts(docs, keys, text, fields, lambda: values).where("size(places) > 0")
 
 
@@ -138,10 +143,10 @@ def common(a: bytes, b: bytes, start: int = 0) -> int:
     return n
 
 
-_HEAD = struct.Struct("<HHH16s")
+_HEAD = struct.Struct("<HHHq")
 
 
-def front_code(records: list[tuple[bytes, bytes, bytes]]) -> bytes:
+def front_code(records: list[tuple[bytes, bytes, int]]) -> bytes:
     """Sorted (string, other side, class) records; each string without what it shares with the one before."""
     out, last = [], b""
     for key, other, cls in records:
@@ -151,7 +156,7 @@ def front_code(records: list[tuple[bytes, bytes, bytes]]) -> bytes:
     return b"".join(out)
 
 
-def front_decode(run: bytes) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+def front_decode(run: bytes) -> Iterator[tuple[int, bytes, bytes, int]]:
     """(prefix shared with the one before, string, other side, class)"""
     at, key = 0, b""
     while at < len(run):
@@ -163,7 +168,7 @@ def front_decode(run: bytes) -> Iterator[tuple[int, bytes, bytes, bytes]]:
         at += other
 
 
-def merge(runs: list[bytes]) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+def merge(runs: list[bytes]) -> Iterator[tuple[int, bytes, bytes, int]]:
     """The records of all runs in order, with the prefix each shares with the one before it."""
     streams = [front_decode(r) for r in runs]
     n = 1 << max(0, (len(streams) - 1).bit_length())
@@ -206,47 +211,64 @@ def merge(runs: list[bytes]) -> Iterator[tuple[int, bytes, bytes, bytes]]:
             node >>= 1
 
 
-def _records(raw: bytes, at: int, gram: int, cls: bytes) -> list[tuple[bytes, bytes, bytes]]:
-    """The anchor's string in either order: a byte for the order, the hash of its gram, then the suffix or the reversed prefix."""
+def _records(raw: bytes, at: int, gram: int, cls: int) -> list[tuple[bytes, bytes, int]]:
+    """The anchor's string in either order: the hash of its gram, a byte for the order, then the suffix or the reversed
+    prefix. So both orders of a gram lie together."""
     before, after = _contexts(raw, at)
-    hashed = struct.pack(">Q", gram & 0xFFFFFFFFFFFFFFFF)
-    return [(b"\0" + hashed + after, before, cls), (b"\1" + hashed + before[::-1], after, cls)]
+    hashed = struct.pack(">q", gram)
+    return [(hashed + b"\0" + after, before, cls), (hashed + b"\1" + before[::-1], after, cls)]
 
 
-_PREFIX = 9
+_GRAM, _PREFIX = 8, 9
 
 
-def windows(shared: list[int], group: list[tuple[bytes, bytes, bytes]], low: bytes | None, high: bytes | None) -> Iterator[tuple[bytes, bytes, int]]:
-    """(class, window hash, start relative to the anchor) for each depth at which a record of the group parts from
-    others. shared[i]: common prefix of records i - 1 and i. low, high: the range's bounds."""
-    n = len(group)
-    depths: list[set[int]] = [set() for _ in group]
+def _depths(keys: list[bytes], shared: list[int], bounds: list[bytes]) -> list[set[int]]:
+    """For each of the sorted keys, after its prefix, the common lengths with any of the others; shared[i]: of keys i - 1
+    and i. Where the keys go on beyond a bound, all lengths that it allows."""
+    n = len(keys)
+    depths: list[set[int]] = [set() for _ in keys]
     for order, step in ((range(1, n), 0), (range(n - 2, -1, -1), 1)):
-        open_: list[int] = []  # rising common prefixes with all records on that side
+        open_: list[int] = []  # rising common prefixes with all keys on that side
         for i in order:
-            d = shared[i + step]
+            d = shared[i + step] - _PREFIX
             while open_ and open_[-1] >= d:
                 open_.pop()
             open_.append(d)
             depths[i].update(open_)
-    for (key, other, cls), found in zip(group, depths):
-        for bound in (low, high):
-            if bound is not None and (reach := common(bound, key)) >= _PREFIX:
-                found.update(range(_PREFIX, reach + 1))
-        ahead = key[0] == 0
-        text = other + key[_PREFIX:] if ahead else key[:_PREFIX - 1 : -1] + other
+    for bound in bounds:
+        for key, found in zip(keys, depths):
+            found.update(range(common(bound, key) - _PREFIX + 1))
+    return depths
+
+
+def windows(shared: list[int], group: list[tuple[bytes, bytes, int]], bounds: list[bytes]) -> Iterator[tuple[int, int, bytes, int]]:
+    """(gram, class, window hash, start relative to the anchor) of the windows that may be repeated: those at a depth of
+    either order at which the other order's greatest depth makes up LENGTH. group: sorted records of one gram."""
+    gram = struct.unpack(">q", group[0][0][:_GRAM])[0]
+    open_ = any(b[:_GRAM] == group[0][0][:_GRAM] for b in bounds)  # more of the gram lies in other ranges
+    cut = next((i for i, r in enumerate(group) if r[0][_GRAM]), len(group))
+    depths: list[dict[int, set[int]]] = []
+    for order, part in enumerate((slice(0, cut), slice(cut, None))):
+        keys = [r[0] for r in group[part]]
+        near = [b for b in bounds if b[:_PREFIX] == group[0][0][:_GRAM] + bytes([order])]
+        depths.append(dict(zip([r[2] for r in group[part]], _depths(keys, shared[part], near))))
+    for key, other, cls in group:
+        ahead = key[_GRAM] == 0
+        own, across = depths if ahead else depths[::-1]
+        reach = LENGTH if open_ else max(across.get(cls, ()), default=-1)
+        text = other + key[_PREFIX:] if ahead else key[: _PREFIX - 1 : -1] + other
         anchor = len(other) if ahead else len(key) - _PREFIX
-        for d in found:
-            start = anchor + d - _PREFIX - LENGTH if ahead else anchor - (d - _PREFIX)
-            if 0 <= start <= anchor and start + LENGTH <= len(text) and anchor + GRAM <= start + LENGTH:
-                yield cls, xxhash.xxh3_128_digest(text[start : start + LENGTH], anchor - start), start - anchor
+        for d in own[cls]:
+            start = anchor + d - LENGTH if ahead else anchor - d
+            if d + reach >= LENGTH and 0 <= start and start + LENGTH <= len(text) and anchor + GRAM <= start + LENGTH:
+                yield gram, cls, xxhash.xxh3_128_digest(text[start : start + LENGTH], anchor - start), start - anchor
 
 
 def _runs(bounds: list[bytes]):
     """rows (text, wanted) -> (range, run): sorted, cut and front-coded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[bytes, bytes, bytes]] = []
+        held: list[tuple[bytes, bytes, int]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
@@ -274,7 +296,7 @@ def _runs(bounds: list[bytes]):
 
 
 def _tests(bounds: list[bytes]):
-    """(range, run) sorted by range -> (class, window, start)."""
+    """(range, run) sorted by range -> (gram, class, window, start)."""
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
         now, runs = None, []
@@ -289,27 +311,27 @@ def _tests(bounds: list[bytes]):
             yield now, runs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[bytes, bytes, int]] = []
+        out: list[tuple[int, int, bytes, int]] = []
         for r, runs in ranges(batches):
-            low = bounds[r - 1] if r else None
-            high = bounds[r] if r < len(bounds) else None
-            group: list[tuple[bytes, bytes, bytes]] = []
+            ends = bounds[max(0, r - 1) : r] + bounds[r : r + 1]
+            group: list[tuple[bytes, bytes, int]] = []
             shared: list[int] = []
             for known, *record in merge(runs):
-                if known < _PREFIX and group:
-                    out += windows(shared, group, low, high)
+                if known < _GRAM and group:
+                    out += windows(shared, group, ends)
                     group, shared = [], []
                 group.append(tuple(record))
                 shared.append(known)
                 if len(out) > 50_000:
                     yield _batch(out)
                     out = []
-            out += windows(shared, group, low, high)
+            out += windows(shared, group, ends)
         yield _batch(out)
 
     def _batch(rows) -> pa.RecordBatch:
-        cls, window, start = zip(*rows) if rows else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(window, pa.binary()), pa.array(start, pa.int32())], names=["class", "window", "start"])
+        columns = zip(*rows) if rows else ((), (), (), ())
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["gram", "class", "window", "start"])
 
     return run
 
@@ -319,7 +341,7 @@ def _keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = []
         for text, wanted in zip(batch.column("text"), batch.column("wanted")):
             raw = utf8(text.as_py())
-            keys += [r[0] for w in wanted.as_py() for r in _records(raw, w["place"], w["gram"], w["class"])]
+            keys += [r[0] if w["split"] else r[0][:_GRAM] for w in wanted.as_py() for r in _records(raw, w["place"], w["gram"], w["class"])]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary())], names=["key"])
 
 
@@ -342,28 +364,31 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """(key, n_bytes, removed array of (start, end), kept binary), a row for each row of docs."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("rid", F.xxhash64("key", "text"))
-    arrays = find_anchors(rows, ["key", "rid"], "text")
-    found = materialize(arrays.select("key", "rid", F.explode(F.arrays_zip("places", "grams", "classes")).alias("a")).select("key", "rid", F.col("a.places").alias("place"), F.col("a.grams").alias("gram"), F.col("a.classes").alias("class")), "anchors")
-    classes = materialize(found.groupBy("gram", "class").agg(F.count("*").alias("n"), F.min(F.struct("rid", "key", "place")).alias("of")), "classes")
-    shared = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1").select("gram")
-    sorted_ = classes.join(shared, "gram", "left_semi").select(F.col("of.rid").alias("rid"), F.col("of.place").alias("place"), "gram", "class")
+    arrays = find_anchors(rows, ["rid"], "text")
+    found = arrays.select("rid", F.explode(F.arrays_zip("places", "grams", "classes")).alias("a"))
+    found = materialize(found.select("rid", F.col("a.places").alias("place"), F.col("a.grams").alias("gram"), F.col("a.classes").alias("class")), "anchors")
+    classes = found.groupBy("gram", "class").agg(F.count("*").alias("n"), F.min(F.struct("rid", "place")).alias("of"))
+    kinds = classes.groupBy("gram").agg(F.count("*").alias("kinds"), F.sum("n").alias("all")).where("all > 1").select("gram", "kinds")
+    classes = materialize(classes.join(kinds, "gram").select("gram", "class", (F.col("n") > 1).alias("whole"), "kinds", "of.rid", "of.place"), "classes")
+    sorted_ = classes.where("kinds > 1").select("rid", "place", "gram", "class", (F.col("kinds") > SPLIT).alias("split"))
 
     def with_text(some: DataFrame) -> DataFrame:
-        wanted = some.groupBy("rid").agg(F.collect_list(F.struct("place", "gram", "class")).alias("wanted"))  # of one text
+        wanted = some.groupBy("rid").agg(F.collect_list(F.struct("place", "gram", "class", "split")).alias("wanted"))  # of one text
         return rows.select("rid", "text").join(wanted, "rid").select("text", "wanted")
 
     n_ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sample = sorted_.orderBy(F.xxhash64("class"), "class").limit(SAMPLED * n_ranges)
-    drawn = F.broadcast(sample.groupBy("rid").agg(F.collect_list(F.struct("place", "gram", "class")).alias("wanted")))  # at most SAMPLED a range
+    sample = sorted_.orderBy(F.xxhash64("gram", "class"), "gram", "class").limit(SAMPLED * n_ranges)
+    drawn = F.broadcast(sample.groupBy("rid").agg(F.collect_list(F.struct("place", "gram", "class", "split")).alias("wanted")))  # at most SAMPLED a range
     keys = sorted({bytes(r[0]) for r in rows.select("rid", "text").join(drawn, "rid").select("text", "wanted").mapInArrow(_keys_of, "key binary").toLocalIterator()})
     bounds = sorted({keys[i * len(keys) // n_ranges] for i in range(1, n_ranges)}) if keys else []
 
     runs = with_text(sorted_).mapInArrow(_runs(bounds), "range int, run binary").repartition("range").sortWithinPartitions("range")
-    tests = materialize(runs.mapInArrow(_tests(bounds), "class binary, window binary, start int"), "windows")
-    twice = tests.groupBy("window").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("window")
-    hits = tests.join(twice, "window", "left_semi").select("class", "start").unionAll(classes.where("n > 1").select("class", F.lit(None).cast("int").alias("start")))
-    by_class = hits.groupBy("class").agg(F.collect_set("start").alias("starts"), F.max(F.col("start").isNull()).alias("whole"))  # at most a context's bytes
-    per_text = found.join(by_class, "class").groupBy("rid").agg(F.collect_set(F.struct("place", "starts", "whole")).alias("found"))
+    tests = materialize(runs.mapInArrow(_tests(bounds), "gram long, class long, window binary, start int"), "windows")
+    pair = F.struct("gram", "class")
+    twice = tests.groupBy("window").agg(F.min(pair).alias("x"), F.max(pair).alias("y")).where("x <> y").select("window")
+    hits = tests.join(twice, "window", "left_semi").select("gram", "class", "start").unionAll(classes.where("whole").select("gram", "class", F.lit(None).cast("int").alias("start")))
+    by_class = hits.groupBy("gram", "class").agg(F.collect_set("start").alias("starts"), F.max(F.col("start").isNull()).alias("whole"))  # at most a context's bytes
+    per_text = found.join(by_class, ["gram", "class"]).groupBy("rid").agg(F.collect_set(F.struct("place", "starts", "whole")).alias("found"))
     joined = rows.join(per_text, "rid", "left").select("key", "text", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
