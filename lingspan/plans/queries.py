@@ -53,7 +53,7 @@ def lint_values(spark, sf_dir):
     return lint.lint_values(derived_corpus(spark, sf_dir))
 
 
-URLS_SQL = """, u AS (SELECT *, list_sort(list_transform(regexp_extract_all(value, 'https?://[^\\s"<>]+'), lambda x: regexp_replace(x, '[.,;:!?)\\]}\\'"]+$', ''))) AS urls FROM fl WHERE bare <> ''),
+URLS_SQL = """, u AS (SELECT *, list_sort(list_transform(regexp_extract_all(value, 'https?://[^\\s\\x{A0}"<>]+'), lambda x: regexp_replace(x, '[.,;:!?)\\]}\\'"]+$', ''))) AS urls FROM fl WHERE bare <> ''),
 linked AS (SELECT DISTINCT rec_id FROM u WHERE len(urls) > 0),
 n AS (SELECT u.rec_id, urls, count(*) AS c, min(lang) AS f FROM u JOIN linked USING (rec_id) GROUP BY ALL),
 ref AS (SELECT rec_id, arg_min(urls, (-c, f)) AS common FROM n GROUP BY rec_id), src AS (SELECT rec_id, urls AS source FROM u WHERE lang = 'en')
