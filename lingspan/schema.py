@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 # Names that the data carries.
 PLURAL_FORMS = ("zero", "one", "two", "few", "many", "other")
@@ -23,15 +22,15 @@ DEFAULT_LANGUAGES = ("ar", "da", "de", "en", "es", "fr", "hi", "id", "it", "ja",
 TAG_VOCABULARY = ("brand", "ui", "domain", "beverage", "unit", "legal")
 TAG_PRIMARY_ORDER = ("legal", "unit", "domain", "ui", "beverage")
 
-KEYS = T.StructType.fromDDL(
+KEYS = (
     "rec_id string, key_id bigint, ord bigint, key_name string, key_by_platform map<string,string>, platforms array<string>, plural boolean, "
     "archived boolean, context string, char_limit int, filenames map<string,string>, dirty_meta array<string>"
 )
-TRANSLATIONS = T.StructType.fromDDL("rec_id string, lang string, form string, value string, is_unverified boolean, is_dirty boolean")
-FINDINGS = T.StructType.fromDDL("rec_id string, key string, lang string, severity string, code string, token string, snippet string")
-GLOSSARY = T.StructType.fromDDL("term string, term_id bigint, description string, case_sensitive boolean, translatable boolean, forbidden boolean, tags array<string>")
-GLOSSARY_T = T.StructType.fromDDL("term string, lang string, text string, note string")
-QA_ISSUES = T.StructType.fromDDL("key_id bigint, lang string, translation_id bigint, issues array<string>, value string, qa string")
+TRANSLATIONS = ("rec_id string, lang string, form string, value string, is_unverified boolean, is_dirty boolean")
+FINDINGS = ("rec_id string, key string, lang string, severity string, code string, token string, snippet string")
+GLOSSARY = ("term string, term_id bigint, description string, case_sensitive boolean, translatable boolean, forbidden boolean, tags array<string>")
+GLOSSARY_T = ("term string, lang string, text string, note string")
+QA_ISSUES = ("key_id bigint, lang string, translation_id bigint, issues array<string>, value string, qa string")
 
 
 @dataclass(frozen=True)

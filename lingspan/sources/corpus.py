@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from lingspan.functions import text as X
@@ -184,6 +183,3 @@ def first_by_name(names: DataFrame) -> DataFrame:
 
 def entries(corpus: Corpus) -> DataFrame:
     return numbered(corpus.keys, F.col("key_id").asc_nulls_last(), "ord")
-
-
-KEY_LINE, TERM_LINE = T.StructType.fromDDL(_LINE), T.StructType.fromDDL(_TERM)
