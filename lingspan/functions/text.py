@@ -15,13 +15,12 @@ STRINGSDICT = r"(?U)%\d*\$?#@\w+@"
 BARE = r"%(?:\d+\$)?0*\d*(?:\.\d+)?(?:hh|h|ll|l|L|z|t|j)?[@diouxXeEfFgGcCsS]"
 FORMAT = r"(?<!%)%(?!%)(?:\d+\$)?[-+#0 ]*(?:\d+|\*)?(?:\.(?:\d+|\*))?(?:hh|h|ll|l|L|z|t|j)?[@diuoxXfFeEgGcCsSpa]"
 EM_DASH = "—"
-INVISIBLE = r"[  ᠎ -​    　﻿]"
+INVISIBLE = "[  ᠎ -​    　﻿]"
 SPACE_NAMES = {
     " ": "NBSP", " ": "NARROW-NBSP", "​": "ZWSP", "﻿": "BOM", " ": "LINE-SEP", " ": "PARA-SEP",
     "　": "IDEOGRAPHIC-SPACE", " ": "MATH-SPACE",
 }
 EMOTICON = r"[:;=]['\-^]?[()]"
-URL = r"(?U)https?://[^\s\"<>]+"
 URL_TAIL = r"[.,;:!?)\]}'\"]+$"
 CYRILLIC = r"[Ѐ-ԯ]+"
 CYRILLIC_PHRASE = r"(^|[^Ѐ-ԯ])([Ѐ-ԯ]+(?:[ \t]+[Ѐ-ԯ]+)+)"
@@ -29,6 +28,7 @@ QUOTES = "\"«“‘„»”’'`"
 CAP = r"(?iU)(\d+)\s*(?:char|character)s?"
 #: What counts as white space at the ends of a value.
 SPACES = r"\u0009-\u000D\u001C- \u0085   -     　"
+URL = rf"https?://[^{SPACES}\"<>]+"
 
 
 def _col(value: Column | str) -> Column:
@@ -53,11 +53,12 @@ def snippet(value: Column | str, limit: int = 70) -> Column:
 
 
 def casefold(value: Column | str) -> Column:
-    return F.lower(F.upper(value))
+    """Full folding; the empty text keeps the optimiser from taking lower(upper(x)) for lower(x)."""
+    return F.lower(F.concat(F.upper(value), F.lit("")))
 
 
 def one_line(value: Column | str) -> Column:
-    return strip(F.regexp_replace(value, r"(?U)\s+", " "))
+    return strip(F.regexp_replace(value, f"[{SPACES}]+", " "))
 
 
 # Placeholders

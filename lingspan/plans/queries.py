@@ -477,7 +477,7 @@ def bundle_diff(spark, sf_dir):
     return bundles.diff_set(c.where("role = 'user'"), c.where("role <> 'user'"), "text").select(F.md5("text").alias("h"), "side")
 
 
-@query(WITH + """, s AS (SELECT lower(upper(bare)) AS text, key, platforms_csv FROM fl WHERE lang = 'en' AND value <> '') SELECT text, count(*) AS n, string_agg(key, ',' ORDER BY key) AS keys FROM s GROUP BY text HAVING count(*) > 1""")
+@query(WITH + """, s AS (SELECT replace(lower(upper(bare)), 'ß', 'ss') AS text, key, platforms_csv FROM fl WHERE lang = 'en' AND value <> '') SELECT text, count(*) AS n, string_agg(key, ',' ORDER BY key) AS keys FROM s GROUP BY text HAVING count(*) > 1""")
 def reuse_candidates(spark, sf_dir):
     return rules.reuse_candidates(derived_corpus(spark, sf_dir)).select("text", "n", F.array_join("keys", ",").alias("keys"))
 

@@ -26,7 +26,7 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     its file and number, when the row is used."""
     files = spark.read.text(path, wholetext=False).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"))
     rows = files.where(F.trim("line") != "").withColumn("r", F.from_json("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
-    bad = F.col("r._bad").isNotNull() | ~F.col("line").rlike(r"^\s*\{")
+    bad = (F.trim("line") != "") & (F.col("r._bad").isNotNull() | ~F.col("line").rlike(r"^\s*\{"))
     said = F.concat(F.lit("no JSON object in "), "path", F.lit(": "), F.substring("line", 1, 80))
     return rows.withColumn("r", F.when(bad, F.raise_error(said).cast(rows.schema["r"].dataType)).otherwise(F.col("r")))
 
