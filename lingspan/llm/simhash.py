@@ -41,8 +41,8 @@ BUCKET = 64
 WORDS = 5
 THRESHOLD = 0.8
 SKETCH = 256
-SMALL = 24
-RADIUS = 12
+SMALL = 3
+RADIUS = 10
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, width
 GENERATOR = 0xAE3  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 
@@ -230,41 +230,47 @@ def simhash_components(docs: DataFrame, n: int = 3, key: str = "doc_id", text: s
     return rows.join(of, "fp").select(key, "fp", "component_id")
 
 
-def _pivot_pairs(fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs within RADIUS of distinct fingerprints: each with the pivots it meets."""
-    while len(fp) > 1:
-        by = fp.view(np.uint8).reshape(-1, 8)
+def _apart(fp: np.ndarray, other: np.ndarray, i, j) -> np.ndarray:
+    """The greater of the two distances."""
+    return np.maximum(np.bitwise_count((fp[i] ^ fp[j]).view(np.uint64)), np.bitwise_count((other[i] ^ other[j]).view(np.uint64)))
+
+
+def _pivot_pairs(node: np.ndarray, fp: np.ndarray, other: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within RADIUS by both fingerprints: each member with the pivots it meets."""
+    left = np.arange(len(node))
+    while len(left) > 1:
+        by = fp[left].view(np.uint8).reshape(-1, 8)
         ones = np.concatenate([np.bincount(by[:, k], minlength=256) @ _BITS for k in range(8)])
-        middle = np.packbits(ones * 2 > len(fp), bitorder="little").view("<u8")[0]
-        pivot = fp[np.argmin(np.bitwise_count(fp.view(np.uint64) ^ middle))]
-        apart = np.bitwise_count((fp ^ pivot).view(np.uint64))
-        near = fp[(apart > 0) & (apart <= RADIUS)]
-        yield np.minimum(near, pivot), np.maximum(near, pivot)
-        fp = fp[apart > RADIUS // 2]
+        middle = np.packbits(ones * 2 > len(left), bitorder="little").view("<u8")[0]
+        pivot = left[np.argmin(np.bitwise_count(fp[left].view(np.uint64) ^ middle))]
+        left = left[left != pivot]
+        apart = _apart(fp, other, left, np.full(len(left), pivot))
+        near = node[left[apart <= RADIUS]]
+        yield np.minimum(near, node[pivot]), np.maximum(near, node[pivot])
+        left = left[apart > RADIUS // 2]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, fp) sorted by key -> (a, b), a < b, in a bucket together and within RADIUS."""
+    """(key, node, fp, other) sorted by key -> (a, b), a < b, in a bucket together and within RADIUS by both fingerprints."""
 
-    def pairs(key: np.ndarray, fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(key: np.ndarray, *rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-        size = np.repeat(np.diff(edges), np.diff(edges))
-        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()) if (size > SMALL).any() else ():
-            if j - i > SMALL:
-                yield from _pivot_pairs(np.unique(fp[i:j]))
-        key, fp = key[size <= SMALL], fp[size <= SMALL]
+        sizes = np.diff(edges)
+        for k in np.flatnonzero(sizes > SMALL).tolist():
+            yield from _pivot_pairs(*(c[edges[k] : edges[k + 1]] for c in rows))
+        small = np.repeat(sizes, sizes) <= SMALL
+        key, (node, fp, other) = key[small], (c[small] for c in rows)
         at = np.arange(len(key))
         for d in range(1, SMALL):
             at = at[at + d < len(key)]
             at = at[key[at] == key[at + d]]
             if at.size == 0:
                 break
-            apart = np.bitwise_count((fp[at] ^ fp[at + d]).view(np.uint64))
-            near = at[(apart > 0) & (apart <= RADIUS)]
-            yield np.minimum(fp[near], fp[near + d]), np.maximum(fp[near], fp[near + d])
+            near = at[_apart(fp, other, at, at + d) <= RADIUS]
+            yield np.minimum(node[near], node[near + d]), np.maximum(node[near], node[near + d])
 
-    for key, fp in _groups(batches, ["key", "fp"], 1_000_000):
-        for a, b in pairs(key, fp):
+    for rows in _groups(batches, ["key", "node", "fp", "other"], 1_000_000):
+        for a, b in pairs(*rows):
             if a.size:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -312,17 +318,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = materialize(describe(docs, key, text), "described")
     nodes = rows.groupBy("node").agg(F.first("fp1").alias("fp1"), F.first("fp2").alias("fp2"))
     found = None
-    for fp in ("fp1", "fp2"):
-        of = nodes.select("node", F.col(fp).alias("fp"))
-        spread = _keyed(of.select("fp").distinct(), ["fp"], golay_pairs).repartition("key").sortWithinPartitions("key")
-        pairs = spread.mapInArrow(_candidates, "a long, b long").distinct()
-        first = of.groupBy("fp").agg(F.min("node").alias("head"))  # nodes of one fp: a star
-        heads = first.withColumnRenamed("fp", "a").withColumnRenamed("head", "u")
-        across = pairs.join(heads, "a").join(heads.select(F.col("a").alias("b"), F.col("u").alias("v")), "b").select("u", "v")
-        within = of.join(first, "fp").where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v"))
-        both = across.unionAll(within)
-        found = both if found is None else found.unionAll(both)
-    found = materialize(found.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "candidates")
+    for fp, other in (("fp1", "fp2"), ("fp2", "fp1")):
+        of = nodes.select("node", F.col(fp).alias("fp"), F.col(other).alias("other"))
+        spread = _keyed(of, ["node", "fp", "other"], golay_pairs).repartition("key").sortWithinPartitions("key")
+        pairs = spread.mapInArrow(_candidates, "a long, b long")
+        found = pairs if found is None else found.unionAll(pairs)
+    found = materialize(found.distinct(), "candidates")
     wanted = found.select(F.col("a").alias("node")).unionAll(found.select("b")).distinct()
     sketches = materialize(rows.select("node", "sketch").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sketches")
     checked = found.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x")), "a")
