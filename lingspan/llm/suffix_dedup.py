@@ -16,7 +16,7 @@ Every byte inside a string of LENGTH bytes that also starts elsewhere, in the sa
 4. Depths. Two anchors agree over L bytes leftward and R rightward, and repeat each other's windows if L + R >= LENGTH.
    R is a common prefix of the anchor with others in the first order and L in the second; so every longest repeat
    starts or ends with a window given by such a depth. These few windows of each class are compared by 128-bit hashes
-   of bytes and place, so that one window seen from two anchors is no repeat, grouped over all classes. A gram is cut up by ranges only if it has over SPLIT classes; then all
+   of bytes and place, so that one window seen from two anchors is no repeat, among the classes of their gram. A gram is cut up by ranges only if it has over SPLIT classes; then all
    depths that could lie in other ranges are tried.
 5. Repeated windows of a class hold for all its members; their union is cut out of each text.
 
@@ -30,13 +30,14 @@ copies. An empty table gives an empty result; other columns don't matter.
 
 from __future__ import annotations
 
-import hashlib
 import struct
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ LENGTH = 400
 GRAM = 64
 BEFORE = LENGTH - GRAM
 #: Bytes of sorted strings a task holds before it writes a run.
-RUN_BYTES = 24_000_000
+RUN_BYTES = 16_000_000
 #: Sampled classes a range, for the ranges' bounds, and ranges a shuffle partition.
 SAMPLED = 16
 RANGES = 4
@@ -222,32 +223,29 @@ def _records(raw: bytes, at: int, gram: int, cls: int) -> list[tuple[bytes, byte
 _GRAM, _PREFIX = 8, 9
 
 
-def _depths(keys: list[bytes], shared: list[int], bounds: list[bytes]) -> list[set[int]]:
-    """For each of the sorted keys, after its prefix, the common lengths with any of the others; shared[i]: of keys i - 1
-    and i. Where the keys go on beyond a bound, all lengths that it allows."""
+def _depths(keys: list[bytes], shared: list[int], bounds: list[bytes]) -> list[int]:
+    """For each of the sorted keys, after its prefix, the common lengths with any of the others, as the bits of a number;
+    shared[i]: of keys i - 1 and i. Where the keys go on beyond a bound, all lengths that it allows."""
     n = len(keys)
-    depths: list[set[int]] = [set() for _ in keys]
+    depths = [0] * n
     for order, step in ((range(1, n), 0), (range(n - 2, -1, -1), 1)):
-        open_: list[int] = []  # rising common prefixes with all keys on that side
+        open_ = 0  # common prefixes with all keys on that side: a new one hides the longer ones
         for i in order:
-            d = shared[i + step] - _PREFIX
-            while open_ and open_[-1] >= d:
-                open_.pop()
-            open_.append(d)
-            depths[i].update(open_)
+            bit = 1 << (shared[i + step] - _PREFIX)
+            open_ = open_ & (bit - 1) | bit
+            depths[i] |= open_
     for bound in bounds:
-        for key, found in zip(keys, depths):
-            found.update(range(common(bound, key) - _PREFIX + 1))
+        for i, key in enumerate(keys):
+            depths[i] |= (1 << (common(bound, key) - _PREFIX + 1)) - 1
     return depths
 
 
-def windows(shared: list[int], group: list[tuple[bytes, bytes, int]], bounds: list[bytes]) -> Iterator[tuple[int, int, bytes, int]]:
-    """(gram, class, window hash, start relative to the anchor) of the windows that may be repeated: those at a depth of
-    either order at which the other order's greatest depth makes up LENGTH. group: sorted records of one gram."""
-    gram = struct.unpack(">q", group[0][0][:_GRAM])[0]
-    open_ = any(b[:_GRAM] == group[0][0][:_GRAM] for b in bounds)  # more of the gram lies in other ranges
+def windows(shared: list[int], group: list[tuple[bytes, bytes, int]], bounds: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+    """(class, start relative to the anchor, bytes) of the windows that may be repeated: those at a depth of either order
+    at which the other order's greatest depth makes up LENGTH. group: sorted records of one gram."""
+    open_ = is_open(group, bounds)
     cut = next((i for i, r in enumerate(group) if r[0][_GRAM]), len(group))
-    depths: list[dict[int, set[int]]] = []
+    depths: list[dict[int, int]] = []
     for order, part in enumerate((slice(0, cut), slice(cut, None))):
         keys = [r[0] for r in group[part]]
         near = [b for b in bounds if b[:_PREFIX] == group[0][0][:_GRAM] + bytes([order])]
@@ -255,13 +253,47 @@ def windows(shared: list[int], group: list[tuple[bytes, bytes, int]], bounds: li
     for key, other, cls in group:
         ahead = key[_GRAM] == 0
         own, across = depths if ahead else depths[::-1]
-        reach = LENGTH if open_ else max(across.get(cls, ()), default=-1)
+        least = LENGTH - (LENGTH if open_ else across.get(cls, 0).bit_length() - 1)
+        left = own[cls] >> least << least
+        if not left:
+            continue
         text = other + key[_PREFIX:] if ahead else key[: _PREFIX - 1 : -1] + other
         anchor = len(other) if ahead else len(key) - _PREFIX
-        for d in own[cls]:
+        while left:
+            d = (left & -left).bit_length() - 1
+            left &= left - 1
             start = anchor + d - LENGTH if ahead else anchor - d
-            if d + reach >= LENGTH and 0 <= start and start + LENGTH <= len(text) and anchor + GRAM <= start + LENGTH:
-                yield gram, cls, xxhash.xxh3_128_digest(text[start : start + LENGTH], anchor - start), start - anchor
+            if 0 <= start and start + LENGTH <= len(text) and anchor + GRAM <= start + LENGTH:
+                yield cls, start - anchor, text[start : start + LENGTH]
+
+
+def is_open(group: list[tuple[bytes, bytes, int]], bounds: list[bytes]) -> bool:
+    """Whether more of the group's gram lies in other ranges."""
+    return any(len(b) > _GRAM and b[:_GRAM] == group[0][0][:_GRAM] for b in bounds)
+
+
+def repeated(found: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int]]:
+    """Of a whole gram's windows those that two classes have at one start, joined to (class, from, to) stretches. Equal
+    windows of other grams are tried with those."""
+    hashes, classes, starts = array("Q"), array("q"), array("h")
+    for cls, start, window in found:
+        hashes.append(xxhash.xxh3_64_intdigest(window, -start))
+        classes.append(cls)
+        starts.append(start)
+    if len(hashes) < 2:
+        return
+    h, c, s = np.frombuffer(hashes, np.uint64), np.frombuffer(classes, np.int64), np.frombuffer(starts, np.int16).astype(np.int64)
+    order = np.lexsort((c, h))
+    h, c, s = h[order], c[order], s[order]
+    edge = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    size = np.diff(np.concatenate((edge, [len(h)])))
+    twice = np.repeat(c[edge] != c[edge + size - 1], size)
+    c, s = c[twice], s[twice]
+    order = np.lexsort((s, c))
+    c, s = c[order], s[order]
+    fresh = np.flatnonzero(np.concatenate(([True], (c[1:] != c[:-1]) | (s[1:] > s[:-1] + LENGTH)))) if len(c) else np.zeros(0, int)
+    ends = np.concatenate((fresh[1:], [len(c)])) - 1 if len(c) else fresh
+    yield from zip(c[fresh].tolist(), s[fresh].tolist(), (s[ends] + LENGTH).tolist())
 
 
 def _runs(bounds: list[bytes]):
@@ -296,7 +328,8 @@ def _runs(bounds: list[bytes]):
 
 
 def _tests(bounds: list[bytes]):
-    """(range, run) sorted by range -> (gram, class, window, start)."""
+    """(range, run) sorted by range -> (gram, class, window, low, high): a repeated stretch of the class relative to its
+    anchor; with a window hash, a window still to be compared."""
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
         now, runs = None, []
@@ -311,27 +344,38 @@ def _tests(bounds: list[bytes]):
             yield now, runs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, bytes, int]] = []
+        out: list[tuple[int, int, bytes | None, int, int]] = []
+
+        def close(shared, group, ends):
+            if not group:
+                return
+            gram = struct.unpack(">q", group[0][0][:_GRAM])[0]
+            tried = windows(shared, group, ends)
+            if is_open(group, ends):
+                out.extend((gram, c, xxhash.xxh3_128_digest(w, -s), s, s + LENGTH) for c, s, w in tried)
+            else:
+                out.extend((gram, c, None, i, j) for c, i, j in repeated(tried))
+
         for r, runs in ranges(batches):
             ends = bounds[max(0, r - 1) : r] + bounds[r : r + 1]
             group: list[tuple[bytes, bytes, int]] = []
             shared: list[int] = []
             for known, *record in merge(runs):
                 if known < _GRAM and group:
-                    out += windows(shared, group, ends)
+                    close(shared, group, ends)
                     group, shared = [], []
                 group.append(tuple(record))
                 shared.append(known)
                 if len(out) > 50_000:
                     yield _batch(out)
-                    out = []
-            out += windows(shared, group, ends)
+                    out.clear()
+            close(shared, group, ends)
         yield _batch(out)
 
     def _batch(rows) -> pa.RecordBatch:
-        columns = zip(*rows) if rows else ((), (), (), ())
-        types = (pa.int64(), pa.int64(), pa.binary(), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["gram", "class", "window", "start"])
+        columns = zip(*rows) if rows else ((), (), (), (), ())
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["gram", "class", "window", "low", "high"])
 
     return run
 
@@ -345,17 +389,11 @@ def _keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary())], names=["key"])
 
 
-def cut_out(raw: bytes, found: list[tuple[int, list[int | None]]]) -> tuple[np.ndarray, bytes]:
-    """Maximal removed runs (n, 2) and the remaining bytes. found: places with starts of repeated windows relative to
-    them; None: the whole context is repeated."""
+def cut_out(raw: bytes, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """Maximal removed runs (n, 2) and the remaining bytes, for stretches that may overlap and run over the ends."""
     n = len(raw)
-    steps = np.zeros(n + 1, np.int32)
-    for place, starts in found:
-        for s in starts:
-            i, j = (max(0, place - BEFORE), min(n, place + LENGTH)) if s is None else (place + s, place + s + LENGTH)
-            steps[i] += 1
-            steps[j] -= 1
-    gone = np.cumsum(steps[:-1]) > 0
+    steps = np.bincount(np.maximum(low, 0), minlength=n + 1) - np.bincount(np.minimum(high, n), minlength=n + 1)
+    gone = np.cumsum(steps[:n]) > 0
     edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).view(np.int8)))
     return edge.reshape(-1, 2), np.frombuffer(raw, np.uint8)[~gone].tobytes()
 
@@ -383,12 +421,16 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     bounds = sorted({keys[i * len(keys) // n_ranges] for i in range(1, n_ranges)}) if keys else []
 
     runs = with_text(sorted_).mapInArrow(_runs(bounds), "range int, run binary").repartition("range").sortWithinPartitions("range")
-    tests = materialize(runs.mapInArrow(_tests(bounds), "gram long, class long, window binary, start int"), "windows")
+    tests = materialize(runs.mapInArrow(_tests(bounds), "gram long, class long, window binary, low int, high int"), "windows")
     pair = F.struct("gram", "class")
-    twice = tests.groupBy("window").agg(F.min(pair).alias("x"), F.max(pair).alias("y")).where("x <> y").select("window")
-    hits = tests.join(twice, "window", "left_semi").select("gram", "class", "start").unionAll(classes.where("whole").select("gram", "class", F.lit(None).cast("int").alias("start")))
-    by_class = hits.groupBy("gram", "class").agg(F.collect_set("start").alias("starts"), F.max(F.col("start").isNull()).alias("whole"))  # at most a context's bytes
-    per_text = found.join(by_class, ["gram", "class"]).groupBy("rid").agg(F.collect_set(F.struct("place", "starts", "whole")).alias("found"))
+    tried = tests.where("window IS NOT NULL")
+    twice = tried.groupBy("window").agg(F.min(pair).alias("x"), F.max(pair).alias("y")).where("x <> y").select("window")
+    part = ["gram", "class", "low", "high"]
+    whole = classes.where("whole").select("gram", "class", F.lit(-BEFORE).alias("low"), F.lit(LENGTH).alias("high"))  # cut at the text's ends
+    hits = tests.where("window IS NULL").select(part).unionAll(tried.join(twice, "window", "left_semi").select(part)).unionAll(whole)
+    by_class = hits.groupBy("gram", "class").agg(F.collect_set(F.struct("low", "high")).alias("parts"))  # within a context's bytes
+    per_text = found.join(by_class, ["gram", "class"]).select("rid", F.expr("transform(parts, p -> struct(place + p.low AS low, place + p.high AS high))").alias("parts"))
+    per_text = per_text.groupBy("rid").agg(F.flatten(F.collect_list("parts")).alias("found"))
     joined = rows.join(per_text, "rid", "left").select("key", "text", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,9 +438,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 sizes, spans, kept = [], [], []
-                for t, f in zip(batch.column("text"), batch.column("found")):
+                lists = pc.fill_null(pc.list_value_length(batch.column("found")), 0).to_numpy(zero_copy_only=False)
+                ends = np.cumsum(lists)
+                parts = batch.column("found").flatten()
+                low, high = (pc.struct_field(parts, i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+                for t, i, j in zip(batch.column("text"), (ends - lists).tolist(), ends.tolist()):
                     raw = utf8(t.as_py())
-                    removed, rest = cut_out(raw, [(x["place"], [*x["starts"], *([None] if x["whole"] else [])]) for x in f.as_py() or []])
+                    removed, rest = cut_out(raw, low[i:j], high[i:j])
                     sizes.append(len(raw))
                     spans.append(removed.tolist())
                     kept.append(rest)
