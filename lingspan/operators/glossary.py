@@ -168,18 +168,19 @@ def checklist_totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("section").agg(F.count("*").alias("n"))
 
 
-def hits(glossary: Glossary, values: DataFrame, longest: int = 4) -> DataFrame:
+def hits(glossary: Glossary, values: DataFrame) -> DataFrame:
     """values (rec_id, lang, source, value) -> (rec_id, lang, term, kind): a frozen term that the value lacks (freeze), a
     canonical rendering that it lacks (divergence), a forbidden term's rendering that it has (forbidden). Source texts
-    are cut into word n-grams, so terms meet them by equality; longer terms than `longest` words are not looked for."""
+    are cut into word n-grams of the lengths that the glossary's terms have, so terms meet them by equality."""
     g = normalize(glossary)
     words = F.filter(F.split(F.lower("source"), r"(?U)[^\w]+"), lambda w: w != "")
-    none = F.array().cast("array<string>")
-    runs = [F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - (n - 1), F.lit(1))), _gram(n))).otherwise(none) for n in range(2, longest + 1)]
-    grams = F.concat(F.col("w"), *runs)
-    src = values.select("rec_id", "source").distinct().withColumn("w", words).withColumn("gram", F.explode(F.array_distinct(grams)))
-    folded = F.array_join(F.filter(F.split(F.lower("term"), r"(?U)[^\w]+"), lambda w: w != ""), " ")
-    found = src.join(g.terms.select("term", "translatable", "forbidden", folded.alias("gram")), "gram").select("rec_id", "term", "translatable", "forbidden")
+    parts = F.filter(F.split(F.lower("term"), r"(?U)[^\w]+"), lambda w: w != "")
+    terms = g.terms.select("term", "translatable", "forbidden", F.array_join(parts, " ").alias("gram"), F.size(parts).alias("n"))
+    lengths = terms.where("n > 0").select("n").distinct()
+    src = values.select("rec_id", "source").distinct().withColumn("w", words).join(F.broadcast(lengths), F.size("w") >= F.col("n"))
+    grams = F.transform(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1), lambda i: F.array_join(F.slice("w", i, F.col("n")), " "))
+    src = src.withColumn("gram", F.explode(F.array_distinct(grams)))
+    found = src.join(terms.drop("n"), "gram").select("rec_id", "term", "translatable", "forbidden")
     rows = values.join(found, "rec_id").join(g.texts.select("term", "lang", "text"), ["term", "lang"], "left")
     has = lambda c: F.lower("value").contains(F.lower(c))
     kind = (
@@ -190,10 +191,6 @@ def hits(glossary: Glossary, values: DataFrame, longest: int = 4) -> DataFrame:
     return rows.where((F.col("lang") != SOURCE_LANG) & (F.col("value") != "")).withColumn("kind", kind).where("kind IS NOT NULL").select("rec_id", "lang", "term", "kind")
 
 
-def _gram(n: int):
-    return lambda i: F.array_join(F.slice("w", i, F.lit(n)), " ")
-
-
 def regenerate(raw: DataFrame, lang_map: DataFrame, known_langs: list[str]) -> tuple[Glossary, DataFrame]:
     """A glossary from a dump and its errors; a caller writes it only if there is none."""
     made = from_service(raw, lang_map)

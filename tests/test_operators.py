@@ -255,3 +255,12 @@ def test_versions(spark, tmp_path):
 def test_empty_corpus(spark):
     c = make(spark, [], [])
     assert lint.lint_all(c).count() == 0 and review.coverage(c).count() == 0 and corpora.to_json_lines(c).count() == 0
+
+
+def test_glossary_hits_of_long_terms(spark):
+    """Terms of one, five and seven words; a text shorter than the longest."""
+    names = ["Pay", "Terms of Use and Sale", "one two three four five six seven"]
+    terms = spark.createDataFrame([(n, None, None, False, False, False, []) for n in names], GLOSSARY)
+    texts = spark.createDataFrame([], GLOSSARY_T)
+    values = spark.createDataFrame([("id:1", "de", "See the Terms of use, and sale.", "x"), ("id:2", "de", "one two three four five six seven eight pay", "x")], "rec_id string, lang string, source string, value string")
+    assert found(glossary.hits(Glossary(terms, texts), values), "rec_id", "term") == [("id:1", names[1]), ("id:2", names[0]), ("id:2", names[2])]
