@@ -5,6 +5,10 @@ from __future__ import annotations
 import random
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
+import pytest
+
 from lingspan.llm import simhash
 
 
@@ -60,3 +64,43 @@ def test_short_and_long_texts_with_few_edits(spark):
                     u[j] = "zz"
             texts += [t, u]
     assert len(set(check(spark, texts))) < 320
+
+
+def test_chains_of_near_copies(spark):
+    """Groups in which most members are below 0.8 to each other, and hang together by others between."""
+    r, texts = random.Random(2), []
+    for n in (100, 200):
+        for _ in range(2):
+            group = [words_of(r, n)]
+            while len(group) < 60:
+                t = list(r.choice(group))
+                for j in r.sample(range(n), r.randint(1, 4)):
+                    t[j] = words_of(r, 1)[0]
+                group.append(t)
+            texts += group
+    check(spark, texts)
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 7, 1000])
+def test_keys_over_several_batches(rows):
+    """A key of any number of rows has one pivot, however its rows are cut."""
+    r = random.Random(rows)
+    table = sorted((k, r.randrange(40), 9) for k in (1, 2, 3, 4, 4, 4, 5, 6) for _ in range(r.choice([1, 1, 60])))
+    columns = [np.array(c, np.int64) for c in zip(*table)]
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "size"])
+    cut = [whole.slice(at, rows) for at in range(0, len(table), rows)]
+    got = [tuple(x[c] for c in ("key", "node", "pivot")) for b in simhash._shared_keys(iter(cut)) for x in b.to_pylist()]
+    nodes = {k: sorted({n for key, n, _ in table if key == k}) for k, _, _ in table}
+    assert got == [(k, n, v[0]) for k, v in sorted(nodes.items()) for n in v if len(v) > 1]
+
+
+def test_long_texts_near_the_threshold(spark):
+    """Sets of several hundred shingles from 0.77 to 0.83: decided by all of them."""
+    r, texts = random.Random(3), []
+    for k in range(60):
+        t = words_of(r, 500)
+        u = list(t)
+        for j in r.sample(range(0, 500, 5), 8 + k % 5):
+            u[j] = "zz"
+        texts += [t, u]
+    assert 60 < len(set(check(spark, texts))) < 120
