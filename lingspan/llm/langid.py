@@ -4,15 +4,16 @@ A known word adds its log frequency in each language. An unseen word is padded a
 these is known as 4-grams, and so on down to single letters; the known ones' mean log frequencies count. The sums over
 all words, per word and scaled to at most EVIDENCE words, go through a softmax.
 
-Fitting takes a bounded sample of labelled rows: SAMPLE documents with a language, the first by a hash of doc_id, and
-keeps WORDS words a language and GRAMS n-grams a length. Scoring reads every whole text. Null texts and texts without
+Fitting takes a bounded sample of labelled rows: SAMPLE documents with a language, the first by a hash of doc_id. Spark
+counts the n-grams of all its words; the model keeps GRAMS n-grams a length and, a language, WORDS words that occur
+twice or more and have at most 40 letters. Other words are read as n-grams. Every label of the sample with a letter in
+its texts is a language of the model; what a language lacks weighs the same in all of them. Scoring reads every whole text. Null texts and texts without
 a letter are 'und' with score 0; if nothing could be learned, all are. Ties go to the language first in order.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from itertools import islice
 
 import numpy as np
@@ -20,12 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import map_texts
+from .shared import map_texts, materialize
 
 SAMPLE = 20_000
 WORDS = 40_000
 GRAMS = 40_000
 LONGEST = 5
+PIECE = 1_000
 EVIDENCE = 40
 MEMO = 500_000
 UNKNOWN = "und"
@@ -37,25 +39,13 @@ _letter = re.compile(r"[^\W\d_]").search
 class Model:
     """Log frequencies by word and by n-gram, a column a language; `langs` is sorted."""
 
-    def __init__(self, counts: dict[str, dict[str, int]]):
-        self.langs = sorted(counts)
-        size = len(self.langs)
-        words: dict[str, list[int]] = {}
-        for i, lang in enumerate(self.langs):
-            for word, n in counts[lang].items():
-                words.setdefault(word, [0] * size)[i] += n
+    def __init__(self, langs: list[str], words: dict[str, list[int]], grams: dict[int, dict[str, list[int]]]):
+        """Counts by language, in the order of langs; grams by length."""
+        self.langs = langs
         self.words, self.word_logs = _logs(words)
-        self.grams, self.gram_logs = {}, np.zeros((0, size))
-        for length in range(1, LONGEST + 1):
-            table: dict[str, list[int]] = {}
-            for word, by_lang in words.items():
-                for gram in ngrams(word, length):
-                    row = table.setdefault(gram, [0] * size)
-                    for i, n in enumerate(by_lang):
-                        if n:
-                            row[i] += n
-            top = sorted(table, key=lambda g: (-sum(table[g]), g))[:GRAMS]
-            index, logs = _logs({g: table[g] for g in top})
+        self.grams, self.gram_logs = {}, np.zeros((0, len(langs)))
+        for length, table in grams.items():
+            index, logs = _logs(table)
             if not index:
                 continue
             self.grams |= {(length, g): i + len(self.gram_logs) for g, i in index.items()}
@@ -74,8 +64,11 @@ class Model:
 def _logs(table: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
     if not table:
         return {}, np.zeros((0, 0))
-    counts = np.array(list(table.values()), float) + 0.5
-    return {k: i for i, k in enumerate(table)}, np.log(counts / counts.sum(axis=0))
+    counts = np.array(list(table.values()), float)
+    totals = counts.sum(axis=0)
+    most = totals.max()
+    shares = (counts / np.maximum(totals, 1) * most + 0.5) / (most + 0.5 * len(counts))
+    return {k: i for i, k in enumerate(table)}, np.log(shares)
 
 
 def ngrams(word: str, size: int) -> list[str]:
@@ -113,17 +106,40 @@ class Scorer(dict):
         return self.model.langs[best], float(1 / np.exp(logs - logs[best]).sum())
 
 
+def _grams(counts: DataFrame) -> DataFrame:
+    """(lang, word, n) -> (length, gram, total, by): the n-grams of all words as ngrams() gives them, with their counts
+    by language. Long words are cut into overlapping pieces, so no letter is looked up from the far start of a word."""
+    padded = counts.select("lang", "n", F.concat(F.lit("<"), "word", F.lit(">")).alias("p")).withColumn("len", F.length("p"))
+    pieces = padded.withColumn("from", F.explode(F.expr(f"sequence(0, len - 1, {PIECE})")))
+    pieces = pieces.select("lang", "n", "len", "from", F.expr(f"substring(p, from + 1, {PIECE + LONGEST - 1})").alias("p"))
+    starts = pieces.withColumn("s", F.explode(F.expr(f"sequence(1, least({PIECE}, len - from))")))
+    sized = starts.withColumn("length", F.explode(F.expr(f"sequence(1, {LONGEST})"))).where("from + s <= greatest(1, len - length + 1)")
+    each = sized.groupBy("length", F.expr("substring(p, s, length)").alias("gram"), "lang").agg(F.sum("n").alias("n"))
+    return each.groupBy("length", "gram").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
-    """From (doc_id, text, lang) rows; the word counts are Spark's, the model has at most WORDS words a language."""
+    """From (doc_id, text, lang) rows; the counts are Spark's, the model has at most WORDS words a language and GRAMS
+    n-grams a length."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
     ids = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     words = rows.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
-    counts = words.where("word <> '' AND length(word) <= 40").groupBy("lang", "word").agg(F.count("*").alias("n")).where("n >= 2")
+    counts = materialize(words.where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
+    langs = sorted(x["lang"] for x in counts.select("lang").distinct().collect())
+    at = {lang: i for i, lang in enumerate(langs)}
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    table: dict[str, dict[str, int]] = defaultdict(dict)
-    for lang, word, n in counts.withColumn("r", F.row_number().over(best)).where(F.col("r") <= WORDS).select("lang", "word", "n").collect():
-        table[lang][word] = n
-    return Model(table)
+    table: dict[str, list[int]] = {}
+    kept = counts.where("n >= 2 AND length(word) <= 40").withColumn("r", F.row_number().over(best)).where(F.col("r") <= WORDS)
+    for lang, word, n in kept.select("lang", "word", "n").collect():
+        table.setdefault(word, [0] * len(langs))[at[lang]] = n
+    grams, found = {}, materialize(_grams(counts), "grams")
+    for length in range(1, LONGEST + 1):
+        grams[length] = {}
+        for gram, by in found.where(F.col("length") == length).orderBy(F.desc("total"), "gram").limit(GRAMS).select("gram", "by").collect():
+            row = grams[length][gram] = [0] * len(langs)
+            for lang, n in by:
+                row[at[lang]] = n
+    return Model(langs, table, grams)
 
 
 def identify(docs: DataFrame, model: Model, columns: list[str] | None = None, text: str = "text") -> DataFrame:
