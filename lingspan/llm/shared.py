@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,9 +16,12 @@ from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees; a local one is made only where none is configured, as in tests."""
+    """The folder that all executors see, from spark.checkpoint.dir. In local mode, as in tests, where driver and executors
+    are one process, one is made if none is named; on a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="lingspan-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -31,6 +35,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """The wanted column names, with as many underscores before them as keep them apart from the taken ones."""
+    taken, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -10,18 +10,10 @@ Fingerprints of 64 bits are cut into segments of 22, 21 and 21 bits.
   a bucket of at most BUCKET are compared; those of larger ones are linked exactly by their one-bit neighbourhoods
   (two fingerprints within 2 bits have a common one), whose groups hold at most 65 and need no comparison.
 
-`near_groups` finds all texts whose sets of WORDS-word shingles have a Jaccard similarity of THRESHOLD or more. Its keys
-are the shingles of each set's prefix, in an order that puts common shingles last: sets at THRESHOLD share one. First
-each node of a key is compared with the least node of that key, so a group of copies gives a star, not all pairs; then
-all nodes that share a key and are not yet in one component, unless their sizes and number of keys rule THRESHOLD out. Every
-comparison is of whole sets, so the groups are the components of the exact graph. A key that many unlike texts have
-costs the square of their number, if common shingles leave no rarer ones for their prefixes.
-
-Exact copies of a fingerprint or text are one node, however many there are.
-
-Null and empty texts, and texts without words, have the fingerprint 0 and are linked like any other by
-`link_within_two`; near_groups takes all texts without words as copies of each other. Repeated rows of one doc_id are
-copies. A null doc_id takes part but is never a component's name unless all are null. Empty tables give empty results.
+Equal fingerprints are one node, however many there are. near.py builds near-duplicate groups of texts on these links.
+
+Null and empty texts, and texts without words, have the fingerprint 0 and are linked like any other. Repeated rows of
+one doc_id are copies. A null doc_id takes part but is never a component's name unless all are null. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -31,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,10 +32,6 @@ from .shared import map_texts, materialize, utf8
 
 SEED = 42
 BUCKET = 64
-WORDS = 5
-THRESHOLD = (4, 5)
-SAMPLE = 5_000
-COMMON = 200_000
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, width
 GENERATOR = 0xAE3  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 
@@ -219,171 +207,3 @@ def simhash_components(docs: DataFrame, n: int = 3, key: str = "doc_id", text: s
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of = named.select("fp", "component").join(names, "component").select("fp", "component_id")
     return rows.join(of, "fp").select(key, "fp", "component_id")
-
-
-def describe(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, node, shingles): node is a hash of the lower-cased words, shingles the 64-bit hashes of the whole set of
-    WORDS-word shingles, sorted."""
-
-    def values(texts):
-        out = []
-        for t in texts:
-            words = utf8(t).lower().split()
-            node = np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], np.uint64).view(np.int64)[0]
-            out.append((int(node), np.unique(shingle_hashes(words, WORDS)).astype("<u8").tobytes() if words else b""))
-        return [*map(list, zip(*out))]
-
-    return map_texts(docs, [key], text, [T.StructField("node", T.LongType()), T.StructField("shingles", T.BinaryType())], lambda: values)
-
-
-def common_shingles(rows: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    """Shingles that occur twice or more in a sample of nodes, the rarest first, at most COMMON of them. They only set
-    the order of the prefixes: any order gives the same groups, this one small buckets."""
-    nodes = rows.select("node").distinct()
-    every = max(1, nodes.count() // sample)
-    some = rows.join(F.broadcast(nodes.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0)), "node", "left_semi").dropDuplicates(["node"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                part = b"".join(batch.column("shingles").slice(at, 100).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(part, "<i8"))], names=["shingle"])
-
-    seen = some.select("shingles").mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    top = seen.orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
-    return np.array([x["shingle"] for x in reversed(top)], np.int64)
-
-
-def least_shared(size):
-    """Shingles that a set of this size shares with any set at THRESHOLD or above."""
-    return -(-THRESHOLD[0] * size // THRESHOLD[1])
-
-
-def _prefixes(rows: DataFrame, common: np.ndarray) -> DataFrame:
-    """(key, node, size): the first shingles of each set, rare ones before common ones. Two sets at THRESHOLD or above
-    have one of them in common, because fewer than least_shared are left out."""
-    sent = rows.sparkSession.sparkContext.broadcast(common)  # at most COMMON
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_hash = np.argsort(sent.value)
-        table = sent.value[by_hash]
-
-        def prefix(s: np.ndarray) -> np.ndarray:
-            if len(table):
-                i = np.minimum(np.searchsorted(table, s), len(table) - 1)
-                s = s[np.argsort(np.where(table[i] == s, by_hash[i], -1), kind="stable")]
-            return s[: len(s) - least_shared(len(s)) + 1]
-
-        for whole in batches:
-            for start in range(0, whole.num_rows, 100):
-                batch = whole.slice(start, 100)
-                sets = [np.frombuffer(s, "<i8") for s in batch.column("shingles").to_pylist()]
-                made = [prefix(s) if len(s) else s for s in sets]
-                count = np.array([len(k) for k in made])
-                size = np.array([len(s) for s in sets], np.int32)
-                columns = [np.concatenate(made), np.repeat(batch.column("node").to_numpy(), count), np.repeat(size, count)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "size"])
-
-    return rows.select("node", "shingles").mapInArrow(run, "key long, node long, size int")
-
-
-def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node, size) sorted by key and node -> the rows of keys that two nodes or more have, once each, with the
-    key's least node as its pivot, and its size. One row is held between batches, so a key may have any number of them."""
-    first = last = None  # the first and the last row of the key that goes on
-    waits = False  # whether the first one has not been passed on
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "node", "size")], axis=1)
-        fresh = np.ones(len(rows), bool)
-        fresh[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
-        fresh[0] = last is None or bool((rows[0, :2] != last[:2]).any())
-        rows = rows[fresh]
-        if len(rows) == 0:
-            continue
-        if waits:
-            rows = np.concatenate((first[None], rows))
-        start = np.ones(len(rows), bool)
-        start[1:] = rows[1:, 0] != rows[:-1, 0]
-        start[0] = waits or last is None or rows[0, 0] != last[0]
-        of = np.maximum.accumulate(np.where(start, np.arange(len(rows)), -1))
-        pivot = rows[of]
-        if not start[0]:
-            pivot[of < 0] = first
-        alone = start & np.append(start[1:], True)
-        first, last, waits = pivot[-1], rows[-1], bool(alone[-1])
-        out = np.concatenate((rows, pivot[:, 1:]), axis=1)[~alone]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in out.T.copy()], names=["key", "node", "size", "pivot", "pivot_size"])
-
-
-def jaccard_reached(a: bytes, b: bytes) -> bool:
-    """Whether the whole sets have a Jaccard similarity of THRESHOLD or more, in whole numbers."""
-    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-    return _enough(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y))
-
-
-def _enough(shared, sizes):
-    """shared / (sizes - shared) >= THRESHOLD."""
-    return sum(THRESHOLD) * shared >= THRESHOLD[0] * sizes
-
-
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x, y = batch.column("x"), batch.column("y")
-        keep = pa.array([jaccard_reached(a.as_py(), b.as_py()) for a, b in zip(x, y)], pa.bool_())
-        yield batch.select(["a", "b"]).filter(keep)
-
-
-def _verified(found: DataFrame, rows: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that reach THRESHOLD."""
-    wanted = found.select(F.col("a").alias("node")).unionAll(found.select("b")).distinct()
-    sets = materialize(rows.select("node", "shingles").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    checked = found.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    checked = checked.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    return materialize(checked.mapInArrow(_similar, "a long, b long"), "links")
-
-
-def _counted(pairs: DataFrame) -> DataFrame:
-    """(a, b, m, n), a row for each key of the prefixes that a and b, of m and n shingles, have in common -> the distinct
-    (a, b) that can reach THRESHOLD. What they share besides is behind the prefix that ends first, so it is fewer than
-    least_shared of the larger set."""
-    pairs = pairs.where(_enough(F.least("m", "n"), F.col("m") + F.col("n"))).groupBy("a", "b", "m", "n").agg(F.count("*").alias("keys"))
-    most = F.greatest("m", "n")
-    behind = F.ceil(most * THRESHOLD[0] / THRESHOLD[1]) - 1
-    return pairs.where(_enough(F.col("keys") + behind, F.col("m") + F.col("n"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-
-def _pairs_across(shared: DataFrame, linked: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b: all pairs of nodes in different components that can reach THRESHOLD."""
-    of = shared.join(linked, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
-    mixed = of.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    of = materialize(of.join(mixed, "key", "left_semi"), "mixed")
-    there = of.select("key", "component").distinct()
-    sides = there.join(there.select("key", F.col("component").alias("other")), "key").where("component < other")
-    x = of.select("key", "component", F.col("node").alias("a"), F.col("size").alias("m"))
-    y = of.select("key", F.col("component").alias("other"), F.col("node").alias("b"), F.col("size").alias("n"))
-    return _counted(sides.join(x, ["key", "component"]).join(y, ["key", "other"]))
-
-
-def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, node, component): rows of one component are near-duplicates of each other, directly or by others between."""
-    rows = materialize(describe(docs, key, text), "described")
-    spread = _prefixes(rows, common_shingles(rows)).repartition("key").sortWithinPartitions("key", "node")
-    shared = materialize(spread.mapInArrow(_shared_keys, "key long, node long, size long, pivot long, pivot_size long"), "shared")
-    met = shared.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot_size").alias("m"), F.col("size").alias("n"))
-    stars = materialize(_counted(met), "stars")  # counts only the keys where a is the pivot: what this leaves, the next step compares
-    links = _verified(stars, rows)
-    rest = materialize(_pairs_across(shared, components(links)).join(stars, ["a", "b"], "left_anti"), "rest")
-    linked = components(links.unionAll(_verified(rest, rows)))
-    return rows.select(key, "node").join(linked, "node", "left").select(key, "node", F.coalesce("component", "node").alias("component"))
-
-
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without all but one document, the one of the smallest key, of each near_groups component. A key counts as
-    one document: of repeated rows of a key one stays. Rows without a key stay."""
-    groups = near_groups(docs.where(F.col(key).isNotNull()), key, text)
-    kept = groups.groupBy("component").agg(F.min(key).alias(key)).select(key).distinct()
-    one = Window.partitionBy(key).orderBy(key)
-    rows = docs.join(kept, key, "left_semi").withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select(docs.columns)
-    return rows.unionAll(docs.where(F.col(key).isNull()))

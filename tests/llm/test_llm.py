@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lingspan.llm import bpe, flac, gam, langid, mixing, pii, queries, repetition, ring, simhash, suffix_dedup
+from lingspan.llm import bpe, flac, gam, langid, mixing, near, pii, queries, repetition, ring, simhash, suffix_dedup
 from lingspan.llm.shared import held_out
 
 P = pytest.importorskip("public_tokenizers")
@@ -41,7 +41,7 @@ def none(odd):
 def run_all(docs, spark):
     labels = spark.createDataFrame([(3, 1), (4, 0)], "doc_id long, label int")
     return {
-        "suffix": suffix_dedup.repeated_spans(docs), "simhash": simhash.simhash_components(docs), "near": simhash.drop_near_duplicates(docs), "pii": pii.find(docs, pii.fit(docs)),
+        "suffix": suffix_dedup.repeated_spans(docs), "simhash": simhash.simhash_components(docs), "near": near.drop_near_duplicates(docs), "pii": pii.find(docs, pii.fit(docs)),
         "redact": pii.redact(docs, None), "ring": ring.shard_by_ring(docs), "bpe": bpe.decode(bpe.encode(docs, VOCABULARY, P.PATTERN), VOCABULARY, P.PATTERN), "repetition": repetition.repetition(docs),
         "flac": flac.read_back(flac.to_flac(docs), ["doc_id"]), "gam": gam.score(docs, gam.fit(docs, labels)), "langid": langid.identify(docs, langid.fit(docs)),
         "mix": mixing.mix(docs, F.lit("d"), {}), "mixture": mixing.mixture(docs, F.lit("d"), {}, share=(1, 1), max_epochs=1),
@@ -166,7 +166,7 @@ def test_near_duplicates(spark):
             for j in r.sample(range(200), k + 1):
                 w[j] = words_of(r, 1)
             rows.append((100 + 3 * i + k, " ".join(w)))
-    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = near.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(x["doc_id"] for x in kept) == list(range(40))
 
 

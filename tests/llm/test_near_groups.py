@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lingspan.llm import simhash
+from lingspan.llm import near
 
 
 def words_of(r, n):
@@ -40,7 +40,7 @@ def brute_components(texts):
 
 def check(spark, texts):
     wanted = brute_components(texts)
-    rows = simhash.near_groups(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    rows = near.near_groups(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
     least = {}
     for x in rows:
         least[x["component"]] = min(least.get(x["component"], x["doc_id"]), x["doc_id"])
@@ -83,15 +83,56 @@ def test_chains_of_near_copies(spark):
 
 @pytest.mark.parametrize("rows", [1, 2, 3, 7, 1000])
 def test_keys_over_several_batches(rows):
-    """A key of any number of rows has one pivot, however its rows are cut."""
+    """A key that two nodes have, or a common one, gives each node once, however its rows are cut."""
     r = random.Random(rows)
-    table = sorted((k, r.randrange(40), 9) for k in (1, 2, 3, 4, 4, 4, 5, 6) for _ in range(r.choice([1, 1, 60])))
-    columns = [np.array(c, np.int64) for c in zip(*table)]
-    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "size"])
+    table = sorted((k, r.randrange(40), 9, 0, k == 6) for k in (1, 2, 3, 4, 4, 4, 5, 6, 7) for _ in range(r.choice([1, 1, 60])))
+    columns = [np.array(c) for c in zip(*table)]
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "size", "at", "common"])
     cut = [whole.slice(at, rows) for at in range(0, len(table), rows)]
-    got = [tuple(x[c] for c in ("key", "node", "pivot")) for b in simhash._shared_keys(iter(cut)) for x in b.to_pylist()]
-    nodes = {k: sorted({n for key, n, _ in table if key == k}) for k, _, _ in table}
-    assert got == [(k, n, v[0]) for k, v in sorted(nodes.items()) for n in v if len(v) > 1]
+    got = [tuple(x[c] for c in ("key", "node")) for b in near._shared_keys(iter(cut)) for x in b.to_pylist()]
+    nodes = {k: sorted({x[1] for x in table if x[0] == k}) for k in range(1, 8)}
+    assert got == [(k, n) for k, v in sorted(nodes.items()) for n in v if len(v) > 1 or k == 6]
+
+
+def crowd(r, size, n, edits):
+    """Copies of one text, each with its own edits: many are below 0.8 to many others."""
+    text, out = words_of(r, size), []
+    for _ in range(n):
+        t = list(text)
+        for j in r.sample(range(size), r.randint(*edits)):
+            t[j] = words_of(r, 1)[0]
+        out.append(t)
+    return out
+
+
+@pytest.mark.parametrize("pivots, turns", [(8, 3), (1, 1), (10_000, 0)])
+def test_crowds_whatever_the_pivots(spark, monkeypatch, pivots, turns):
+    """Pivots decide what is compared when, never the groups; unlike texts with one common passage stay apart."""
+    monkeypatch.setattr(near, "PIVOTS", pivots)
+    monkeypatch.setattr(near, "TURNS", turns)
+    r = random.Random(7)
+    passage = words_of(r, 40)
+    texts = crowd(r, 80, 70, (0, 4)) + crowd(r, 150, 60, (1, 5)) + [words_of(r, 6) + passage + words_of(r, 5) for _ in range(60)] + [passage + words_of(r, 3) for _ in range(20)]
+    check(spark, texts)
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Rows without a key last, of two texts under one key either, of repeated rows one; null and empty texts are copies;
+    names that the work uses stay columns."""
+    r = random.Random(8)
+    a, b, c = (" ".join(words_of(r, 60)) for _ in range(3))
+    near_a = a + " zz"
+    rows = [(None, a, 1), (5, near_a, 2), (5, near_a, 3), (1, b, 4), (1, c, 5), (7, b.upper(), 6), (9, None, 7), (8, "", 8), (None, " ", 9)]
+    docs = spark.createDataFrame([(k, t, n, n, n, n, n) for k, t, n in rows], "doc_id long, text string, r1 long, _r2 long, nth int, node long, key int")
+    kept = near.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(x["r1"] for x in kept.collect()) in ([2, 4, 5, 8], [3, 4, 5, 8])
+    assert near.drop_near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_clashing_halves_of_hashes_are_told_apart(spark):
+    rows = spark.createDataFrame([(7, 1), (7, 1), (7, 2), (8, 3)], "node long, check long")
+    assert sorted(x["node"] for x in near._told_apart(rows).collect()) == [1, 1, 2, 8]
 
 
 def test_long_texts_near_the_threshold(spark):
