@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingspan.llm import bpe, gam, mixing, pii, simhash
+from lingspan.llm import bpe, gam, mixing, near, pii
 from lingspan.llm.queries import MIX_WEIGHTS, QUALITY_THRESHOLD, mix_domain
 from lingspan.llm.shared import documents, held_out, materialize
 
@@ -24,7 +24,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return simhash.drop_near_duplicates(docs)
+    return near.drop_near_duplicates(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
