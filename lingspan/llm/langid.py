@@ -6,18 +6,19 @@ all words, per word and scaled to at most EVIDENCE words, go through a softmax.
 
 Fitting takes a bounded sample of labelled rows: SAMPLE documents with a language, the first by a hash of doc_id. Spark
 counts the n-grams of all its words; the model keeps GRAMS n-grams a length and, a language, WORDS words that occur
-twice or more and have at most 40 letters. Other words are read as n-grams. Every label of the sample with a letter in
+twice or more and have at most 40 letters. Other words are read as n-grams. A word is a run of letters (Unicode category
+L), in fitting and in scoring. Every label of the sample with a letter in
 its texts is a language of the model; what a language lacks weighs the same in all of them. Scoring reads every whole text. Null texts and texts without
 a letter are 'und' with score 0; if nothing could be learned, all are. Ties go to the language first in order.
 """
 
 from __future__ import annotations
 
-import re
 from itertools import islice
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import regex
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +33,8 @@ EVIDENCE = 40
 MEMO = 500_000
 UNKNOWN = "und"
 
-_letters = re.compile(r"[^\W\d_]+").findall
-_letter = re.compile(r"[^\W\d_]").search
+_letters = regex.compile(r"\p{L}+").findall
+_letter = regex.compile(r"\p{L}").search
 
 
 class Model:
@@ -42,23 +43,37 @@ class Model:
     def __init__(self, langs: list[str], words: dict[str, list[int]], grams: dict[int, dict[str, list[int]]]):
         """Counts by language, in the order of langs; grams by length."""
         self.langs = langs
-        self.words, self.word_logs = _logs(words)
-        self.grams, self.gram_logs = {}, np.zeros((0, len(langs)))
+        self._scorer: Scorer | None = None
+        self.words, logs = _logs(words)
+        self.grams: dict[int, dict[str, int]] = {}
+        rows = [logs.reshape(-1, len(langs))] if langs else [np.zeros((0, 0))]
         for length, table in grams.items():
             index, logs = _logs(table)
-            if not index:
-                continue
-            self.grams |= {(length, g): i + len(self.gram_logs) for g, i in index.items()}
-            self.gram_logs = np.concatenate((self.gram_logs, logs))
-
-    def word(self, word: str) -> np.ndarray:
+            if index:
+                before = sum(map(len, rows))
+                self.grams[length] = {g: i + before for g, i in index.items()}
+                rows.append(logs)
+        self.logs = np.concatenate(rows)
+
+    def scorer(self) -> Scorer:
+        """The model's own, which a Python worker keeps from task to task."""
+        if self._scorer is None:
+            self._scorer = Scorer(self)
+        return self._scorer
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_scorer": None}
+
+    def rows_of(self, word: str) -> list[int]:
+        """Rows of logs whose mean is the word's: its own, or those of its longest known n-grams; none if none is known."""
         if (known := self.words.get(word)) is not None:
-            return self.word_logs[known]
+            return [known]
         for length in range(LONGEST, 0, -1):
-            hits = [i for g in ngrams(word, length) if (i := self.grams.get((length, g))) is not None]
+            table = self.grams.get(length, {})
+            hits = [table[g] for g in ngrams(word, length) if g in table]
             if hits:
-                return self.gram_logs[hits].mean(axis=0)
-        return np.zeros(len(self.langs))
+                return hits
+        return []
 
 
 def _logs(table: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
@@ -84,13 +99,21 @@ class Scorer(dict):
         self.model = model
         self.rows = np.zeros((MEMO + 1, len(model.langs) + 1), np.float32)
 
-    def __missing__(self, piece: str) -> int:
-        words = [piece.lower()] if piece.isalpha() else _letters(piece.lower())
-        at = len(self)
-        self.rows[at, :-1] = sum((self.model.word(w) for w in words), np.zeros(len(self.model.langs)))
-        self.rows[at, -1] = len(words)
-        self[piece] = at
-        return at
+    def learn(self, pieces: set[str]) -> None:
+        """Rows for new pieces: the sum of their words' means, and the number of words."""
+        at, to, of, weight = len(self), [], [], []
+        for row, piece in enumerate(pieces, at):
+            words = [piece.lower()] if piece.isalpha() else _letters(piece.lower())
+            self[piece] = row
+            self.rows[row, -1] = len(words)
+            for w in words:
+                if hits := self.model.rows_of(w):
+                    to += [row - at] * len(hits)
+                    of += hits
+                    weight += [1 / len(hits)] * len(hits)
+        logs = self.model.logs[of] * np.array(weight).reshape(-1, 1)
+        for j in range(len(self.model.langs)):
+            self.rows[at : len(self), j] = np.bincount(to, logs[:, j], len(pieces)) if of else 0
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.model.langs or not _letter(text):
@@ -100,6 +123,8 @@ class Scorer(dict):
         while chunk := list(islice(pieces, 50_000)):
             if len(self) + len(chunk) > MEMO:
                 self.clear()
+            if new := {x for x in chunk if x not in self}:
+                self.learn(new)
             total += self.rows[np.fromiter(map(self.__getitem__, chunk), np.int64, len(chunk))].sum(axis=0, dtype=np.float64)
         logs = total[:-1] * (min(total[-1], EVIDENCE) / max(total[-1], 1.0))
         best = int(np.argmax(logs))
@@ -127,11 +152,11 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     counts = materialize(words.where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
     langs = sorted(x["lang"] for x in counts.select("lang").distinct().collect())
     at = {lang: i for i, lang in enumerate(langs)}
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     table: dict[str, list[int]] = {}
-    kept = counts.where("n >= 2 AND length(word) <= 40").withColumn("r", F.row_number().over(best)).where(F.col("r") <= WORDS)
-    for lang, word, n in kept.select("lang", "word", "n").collect():
-        table.setdefault(word, [0] * len(langs))[at[lang]] = n
+    kept = counts.where("n >= 2 AND length(word) <= 40")
+    for lang in langs:  # a handful; each language's best words are found by all tasks together
+        for word, n in kept.where(F.col("lang") == lang).orderBy(F.desc("n"), "word").limit(WORDS).select("word", "n").collect():
+            table.setdefault(word, [0] * len(langs))[at[lang]] = n
     grams, found = {}, materialize(_grams(counts), "grams")
     for length in range(1, LONGEST + 1):
         grams[length] = {}
@@ -148,7 +173,7 @@ def identify(docs: DataFrame, model: Model, columns: list[str] | None = None, te
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by WORDS and GRAMS
 
     def make():
-        scorer = Scorer(sent.value)
+        scorer = sent.value.scorer()
         return lambda texts: [*map(list, zip(*(scorer.predict(t) for t in texts)))]
 
     return map_texts(docs, columns, text, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], make)
