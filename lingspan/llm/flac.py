@@ -1,15 +1,18 @@
 """FLAC: 8-bit mono streams from texts, and seekable PCM blocks back from streams.
 
-The decoder reads frames side by side. A stream's seek table says where its frames start, so the frames of many
-streams are lanes of one numpy loop over the sample index: each step takes a Rice code from every lane's bit position
-(leading zeros from a float's exponent, then the low bits), adds the linear predictor's forecast from the lane's last
-samples, and moves on. CRC-8 of every frame header and CRC-16 of every frame are verified the same way, as is the MD5
-of all samples. Fixed predictors are linear predictors with given coefficients. The encoder takes, for each frame, the
-best of fixed predictors of order 0 to 2 and a linear one of order LPC_ORDER.
+The decoder reads frames side by side. A stream's seek table says where its frames start; without one they are found by
+their headers: sync code, next frame number, CRC-8. So the frames of many streams are lanes of one numpy loop over the
+sample index: each step takes a Rice code from every lane's bit position (leading zeros from a float's exponent, then
+the low bits), adds the linear predictor's forecast from the lane's last samples, and moves on. Both Rice methods,
+escaped partitions and quotients of any length are read. CRC-8 of every frame header and CRC-16 of every frame are
+verified the same way, as is the MD5 of all samples. Fixed predictors are linear predictors with given coefficients. The
+encoder takes, for each frame, the best of fixed predictors of order 0 to 2 and a linear one of order LPC_ORDER.
 
 A text is its UTF-8 bytes, padded with bytes 0 to a positive multiple of 64; a sample is a byte minus 128. Null is the
-empty text, one block of 64 zero bytes. Streams of any length are cut into frames of BLOCK samples; memory is bounded
-by the longest text. A stream that isn't valid raises an error rather than give other samples.
+empty text, one block of 64 zero bytes; repeated rows have equal streams; an empty table gives an empty one. Streams are
+cut into frames of BLOCK samples and worked on FRAMES frames at a time, so beside a few copies of the longest text memory
+is constant. Streams of other than 8-bit mono samples are refused. A stream that isn't valid raises an error rather than
+give other samples. Columns that are called like a result are replaced; all others stay.
 """
 
 from __future__ import annotations
@@ -19,11 +22,14 @@ import struct
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import map_texts, utf8
 
 BLOCK = 1024
+#: Frames that are encoded or decoded at a time.
+FRAMES = 1024
 LPC_ORDER = 4
 PRECISION = 8
 RATE = 8000
@@ -106,9 +112,8 @@ def _residual(x: np.ndarray, coefs: np.ndarray, shift: np.ndarray) -> np.ndarray
     return x[:, order:] - (guess >> shift[:, None])
 
 
-def encode(payloads: list[bytes]) -> list[bytes]:
-    """A FLAC stream for each payload; a payload has 16 bytes or more."""
-    frames = [(p, i) for p, data in enumerate(payloads) for i in range(0, len(data), BLOCK)]
+def _encoded(payloads: list[bytes], frames: list[tuple[int, int]]) -> list[bytes]:
+    """The frames, each given by its payload and first sample."""
     size = np.array([min(BLOCK, len(payloads[p]) - i) for p, i in frames])
     x = np.zeros((len(frames), BLOCK), np.int32)
     for row, (p, i) in enumerate(frames):
@@ -168,7 +173,15 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     whole = [h + raw[i:j] for h, i, j in zip(heads, start[:-1].tolist(), start[1:].tolist())]
     ends = np.cumsum([len(w) for w in whole])
     sums = crc16(np.frombuffer(b"".join(whole), np.uint8), np.concatenate(([0], ends[:-1])), ends)
-    whole = [w + struct.pack(">H", c) for w, c in zip(whole, sums.tolist())]
+    return [w + struct.pack(">H", c) for w, c in zip(whole, sums.tolist())]
+
+
+def encode(payloads: list[bytes]) -> list[bytes]:
+    """A FLAC stream for each payload; a payload has 16 bytes or more."""
+    frames = [(p, i) for p, data in enumerate(payloads) for i in range(0, len(data), BLOCK)]
+    whole: list[bytes] = []
+    for at in range(0, len(frames), FRAMES):
+        whole += _encoded(payloads, frames[at : at + FRAMES])
     out, row = [], 0
     for data in payloads:
         mine = whole[row : row + -(-len(data) // BLOCK)]
@@ -185,12 +198,44 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     return out
 
 
+def _frame_at(raw: bytes, i: int) -> tuple[int, int, int] | None:
+    """Number, samples and header length of the frame that starts at i, if a whole header with the right CRC-8 does."""
+    if len(raw) < i + 6 or raw[i] != 0xFF or raw[i + 1] != 0xF8 or raw[i + 3] != 0x02:
+        return None
+    lead = raw[i + 4]
+    more = 0 if lead < 0x80 else 8 - (lead ^ 0xFF).bit_length()  # ones at the front, the first byte among them
+    more = max(0, more - 1)
+    code = raw[i + 2] >> 4
+    h = i + 5 + more + (code == 7) * 2 + (code == 6)
+    if code == 0 or len(raw) <= h or crc8(raw[i:h]) != raw[h]:
+        return None
+    number = lead if lead < 0x80 else lead & (1 << (6 - more)) - 1
+    for b in raw[i + 5 : i + 5 + more]:
+        number = number << 6 | b & 0x3F
+    size = struct.unpack(">H", raw[h - 2 : h])[0] + 1 if code == 7 else raw[h - 1] + 1 if code == 6 else 256 << (code - 8) if code >= 8 else 192 if code == 1 else 576 << (code - 2)
+    return number, size, h + 1 - i
+
+
+def _found(raw: bytes, at: int) -> list[tuple[int, int]]:
+    """(place, first sample) of the frames from `at` on, by their headers. Every frame but the last has as many samples
+    as the first."""
+    out, number, each = [], 0, 0
+    while at >= 0:
+        head = _frame_at(raw, at)
+        if head and head[0] == number:
+            each = each or head[1]
+            out.append((at, number * each))
+            number += 1
+        at = raw.find(b"\xff\xf8", at + 1)
+    return out
+
+
 class Frames:
-    """The frames of many streams: stream, first sample, size, place of the subframe and the samples of each."""
+    """The frames of many streams: stream, first sample, size, place of the start, the subframe and the end of each."""
 
     def __init__(self, streams: list[bytes]):
         self.stream, self.first, self.size, self.begin, self.sub, self.end, self.digests, self.totals = [], [], [], [], [], [], [], []
-        self.data = b"".join(streams) + b"\0" * 16
+        self.data = b"".join(streams)
         base = 0
         for s, raw in enumerate(streams):
             self._index(s, raw, base)
@@ -212,106 +257,145 @@ class Frames:
             elif kind == 3:
                 table = part
             at += 4 + size
-        points = [p for p in struct.iter_unpack(">QQH", table) if p[0] < 1 << 63]
-        starts = [at + p[1] for p in points]
-        for (first, _, size), i, j in zip(points, starts, [*starts[1:], len(raw)]):
-            length = 1
-            while raw[i + 4] << length & 0x80 and raw[i + 4] & 0x80:
-                length += 1
-            length = max(1, length if raw[i + 4] & 0x80 else 1)
-            code = raw[i + 2] >> 4
-            h = i + 4 + length + (code == 7) * 2 + (code == 6)
-            counted = struct.unpack(">H", raw[h - 2 : h])[0] + 1 if code == 7 else raw[h - 1] + 1 if code == 6 else 256 << (code - 8) if code >= 8 else 192 if code == 1 else 576 << (code - 2)
-            if raw[i] != 0xFF or raw[i + 1] != 0xF8 or raw[i + 3] != 0x02 or counted != size or crc8(raw[i:h]) != raw[h]:
+        points = [(at + p[1], p[0]) for p in struct.iter_unpack(">QQH", table) if p[0] < 1 << 63] or _found(raw, at)
+        for (i, first), j in zip(points, [*(p[0] for p in points[1:]), len(raw)]):
+            head = _frame_at(raw, i)
+            if head is None:
                 raise ValueError("a frame header is damaged")
+            _, counted, length = head
             self.stream.append(s)
             self.first.append(first)
-            self.size.append(size)
+            self.size.append(counted)
             self.begin.append(base + i)
-            self.sub.append(base + h + 1)
+            self.sub.append(base + i + length)
             self.end.append(base + j)
 
-    def decode(self) -> np.ndarray:
-        """Samples (frames, longest frame)."""
-        data = np.frombuffer(self.data, np.uint8)
-        begin, end = np.array(self.begin), np.array(self.end)
-        if (crc16(data, begin, end - 2) != (data[end - 2].astype(np.int64) << 8 | data[end - 1])).any():
-            raise ValueError("a frame is damaged")
-        word = np.ndarray(len(data) - 8, ">u8", self.data, strides=(1,)).astype(np.uint64)
-        order_of = np.argsort(-np.array(self.size), kind="stable")  # lanes that end first come last
-        size = np.array(self.size)[order_of]
-        at = np.array(self.sub)[order_of] * 8
-
-        def take(lanes, width) -> np.ndarray:
-            """The next `width` (1 to 25) bits of the lanes."""
-            w = word[at[lanes] >> 3] << (at[lanes] & 7).astype(np.uint64)
-            at[lanes] += width
-            return (w >> np.uint64(1) >> (np.asarray(63 - width)).astype(np.uint64)).astype(np.int64)
-
-        def signed(v: np.ndarray, width) -> np.ndarray:
-            return v - (v >> (width - 1) << width)
-
-        n = len(size)
-        every = np.arange(n)
-        kind = take(every, 8) >> 1
-        constant, verbatim, fixed, linear = kind == 0, kind == 1, (kind >> 3) == 1, kind >= 32
-        if not (constant | verbatim | fixed | linear).all() or (fixed & (kind > 12)).any():
-            raise ValueError("a subframe of an unknown kind")
-        order = np.where(fixed, kind & 7, np.where(linear, (kind & 31) + 1, np.where(verbatim, size, 0)))
-        deepest = int(order[fixed | linear].max(initial=0))
-        out = np.zeros((int(size[0]) if n else 0, n), np.int64)
-        for i in range(int(order.max(initial=0))):
-            lanes = np.flatnonzero(order > i)
-            out[i, lanes] = signed(take(lanes, 8), 8)
-        lanes = np.flatnonzero(constant)
-        out[:, lanes] = signed(take(lanes, 8), 8)
-        coefs, shift = np.zeros((deepest, n), np.int64), np.zeros(n, np.int64)
-        for o, c in enumerate(FIXED):
-            if o and o <= deepest:
-                coefs[:o, fixed & (order == o)] = np.array(c)[:, None]
-        lanes = np.flatnonzero(linear)
-        precision = take(lanes, 4) + 1
-        shift[lanes] = take(lanes, 5)
-        for j in range(deepest):
-            some = order[lanes] > j
-            coefs[j, lanes[some]] = signed(take(lanes[some], precision[some]), precision[some])
-        lanes = np.flatnonzero(fixed | linear)
-        method, parts = take(lanes, 2), take(lanes, 4)
-        if method.any():
-            raise ValueError("only Rice codes with parameters of 4 bits")
-        rice, per_part = np.zeros(n, np.int64), np.ones(n, np.int64)
-        per_part[lanes] = size[lanes] >> parts
-        rice[lanes] = take(lanes, 4)
-        if (rice == 15).any():
-            raise ValueError("no escaped partitions")
-        split = bool(parts.any())
-        coded = fixed | linear
-        for i in range(int(order[coded].min(initial=0)), len(out)):
-            m = int(np.searchsorted(-size, -i, side="left"))  # lanes still going
-            if i < deepest or not coded.all():
-                lanes = np.flatnonzero(coded[:m] & (order[:m] <= i))
-            else:
-                lanes = slice(0, m)
-            if split:
-                fresh = np.arange(n)[lanes]
-                fresh = fresh[(i % per_part[fresh] == 0) & (i > 0)]
-                rice[fresh] = take(fresh, 4)
-            p = at[lanes]
-            w = word[p >> 3] << (p & 7).astype(np.uint64)
-            zeros = 1054 - ((w >> np.uint64(32)).astype(np.float64).view(np.int64) >> 52)  # 1023 + 31 minus the exponent
-            k = rice[lanes]
-            low = (w << (zeros + 1).astype(np.uint64)) >> np.uint64(1) >> (63 - k).astype(np.uint64)
-            z = zeros << k | low.astype(np.int64)
-            at[lanes] = p + zeros + 1 + k
-            guess = 0
-            for j in range(min(deepest, i)):
-                guess = guess + coefs[j, lanes] * out[i - 1 - j, lanes]
-            out[i, lanes] = (z >> 1 ^ -(z & 1)) + (guess >> shift[lanes])
-        if ((at + 7) // 8 != end[order_of] - 2).any():
-            raise ValueError("a frame has another length")
-        samples = np.empty((n, len(out)), np.int64)
-        samples[order_of] = out.T
-        return samples
+    def blocks(self):
+        """(stream, first sample, samples) of every frame, in order."""
+        for at in range(0, len(self.size), FRAMES):
+            some = slice(at, at + FRAMES)
+            base = self.begin[at]
+            data = self.data[base : self.end[some][-1]] + b"\0" * 16
+            rows = _decoded(data, *(np.array(x[some]) - y for x, y in ((self.begin, base), (self.sub, base), (self.end, base), (self.size, 0))))
+            for row, s, first, size in zip((rows + 128).astype(np.uint8), self.stream[some], self.first[some], self.size[some]):
+                yield s, first, row[:size].tobytes()
+
+
+def _long_quotients(raw: bytes, at: np.ndarray) -> np.ndarray:
+    """Zero bits from each bit position on."""
+    out = []
+    for p in at.tolist():
+        n = 0
+        while p + n < 8 * len(raw) and not raw[p + n >> 3] >> (7 - (p + n & 7)) & 1:
+            n += 1
+        out.append(n)
+    return np.array(out, np.int64)
+
+
+def _decoded(raw: bytes, begin: np.ndarray, sub: np.ndarray, end: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Samples (frames, longest frame)."""
+    data = np.frombuffer(raw, np.uint8)
+    if (crc16(data, begin, end - 2) != (data[end - 2].astype(np.int64) << 8 | data[end - 1])).any():
+        raise ValueError("a frame is damaged")
+    word = np.ndarray(len(data) - 8, ">u8", raw, strides=(1,)).astype(np.uint64)
+    order_of = np.argsort(-sizes, kind="stable")  # lanes that end first come last
+    size = sizes[order_of]
+    at = sub[order_of] * 8
+
+    def take(lanes, width) -> np.ndarray:
+        """The next `width` (1 to 25) bits of the lanes."""
+        w = word[at[lanes] >> 3] << (at[lanes] & 7).astype(np.uint64)
+        at[lanes] += width
+        return (w >> np.uint64(1) >> (np.asarray(63 - width)).astype(np.uint64)).astype(np.int64)
+
+    def signed(v: np.ndarray, width) -> np.ndarray:
+        return v - (v >> (width - 1) << width)
+
+    n = len(size)
+    every = np.arange(n)
+    kind = take(every, 8) >> 1
+    constant, verbatim, fixed, linear = kind == 0, kind == 1, (kind >> 3) == 1, kind >= 32
+    if not (constant | verbatim | fixed | linear).all() or (fixed & (kind > 12)).any():
+        raise ValueError("a subframe of an unknown kind")
+    order = np.where(fixed, kind & 7, np.where(linear, (kind & 31) + 1, np.where(verbatim, size, 0)))
+    deepest = int(order[fixed | linear].max(initial=0))
+    out = np.zeros((int(size[0]) if n else 0, n), np.int64)
+    for i in range(int(order.max(initial=0))):
+        lanes = np.flatnonzero(order > i)
+        out[i, lanes] = signed(take(lanes, 8), 8)
+    lanes = np.flatnonzero(constant)
+    out[:, lanes] = signed(take(lanes, 8), 8)
+    coefs, shift = np.zeros((deepest, n), np.int64), np.zeros(n, np.int64)
+    for o, c in enumerate(FIXED):
+        if o and o <= deepest:
+            coefs[:o, fixed & (order == o)] = np.array(c)[:, None]
+    lanes = np.flatnonzero(linear)
+    precision = take(lanes, 4) + 1
+    shift[lanes] = take(lanes, 5)
+    for j in range(deepest):
+        some = order[lanes] > j
+        coefs[j, lanes[some]] = signed(take(lanes[some], precision[some]), precision[some])
+    lanes = np.flatnonzero(fixed | linear)
+    method, parts = take(lanes, 2), take(lanes, 4)
+    if (method > 1).any():
+        raise ValueError("a residual of an unknown kind")
+    rice, per_part, escaped, wide = np.zeros(n, np.int64), np.ones(n, np.int64), np.full(n, -1, np.int64), np.zeros(n, np.int64)
+    per_part[lanes] = size[lanes] >> parts
+    wide[lanes] = method
+
+    def start_part(lanes: np.ndarray) -> None:
+        """The Rice parameter of a partition, or the width of its plain numbers."""
+        for m in (0, 1):
+            some = lanes[wide[lanes] == m]
+            rice[some] = take(some, 4 + m)
+        plain = lanes[rice[lanes] == 15 + 16 * wide[lanes]]
+        escaped[lanes] = -1
+        escaped[plain] = take(plain, 5)
+
+    start_part(lanes)
+    split = bool(parts.any())
+    coded = fixed | linear
+    for i in range(int(order[coded].min(initial=0)), len(out)):
+        m = int(np.searchsorted(-size, -i, side="left"))  # lanes still going
+        if i < deepest or not coded.all():
+            lanes = np.flatnonzero(coded[:m] & (order[:m] <= i))
+        else:
+            lanes = slice(0, m)
+        if split:
+            fresh = np.arange(n)[lanes]
+            start_part(fresh[(i % per_part[fresh] == 0) & (i > 0)])
+        p = at[lanes].copy()
+        w = word[p >> 3] << (p & 7).astype(np.uint64)
+        zeros = 1054 - ((w >> np.uint64(32)).astype(np.float64).view(np.int64) >> 52)  # 1023 + 31 minus the exponent
+        if ((w >> np.uint64(32)) == 0).any():
+            far = np.flatnonzero((w >> np.uint64(32)) == 0)
+            zeros[far] = _long_quotients(raw, p[far])
+            q = p + zeros
+            w = word[np.minimum(q >> 3, len(word) - 1)] << (q & 7).astype(np.uint64)  # from the quotient's end on
+            ahead = np.zeros(len(zeros), np.int64)
+        else:
+            ahead = zeros
+        k = rice[lanes]
+        low = (w << (ahead + 1).astype(np.uint64)) >> np.uint64(1) >> (63 - k).astype(np.uint64)
+        z = zeros << k | low.astype(np.int64)
+        at[lanes] = p + zeros + 1 + k
+        e = z >> 1 ^ -(z & 1)
+        if (escaped >= 0).any():
+            plain = np.arange(n)[lanes]
+            here = escaped[plain] >= 0
+            at[plain[here]] = p[here]
+            width = escaped[plain[here]]
+            e[here] = np.where(width > 0, signed(take(plain[here], np.maximum(width, 1)), np.maximum(width, 1)), 0)
+            at[plain[here]] = p[here] + width
+        guess = 0
+        for j in range(min(deepest, i)):
+            guess = guess + coefs[j, lanes] * out[i - 1 - j, lanes]
+        out[i, lanes] = e + (guess >> shift[lanes])
+    if ((at + 7) // 8 != end[order_of] - 2).any():
+        raise ValueError("a frame has another length")
+    samples = np.empty((n, len(out)), np.int64)
+    samples[order_of] = out.T
+    return samples
 
 
 def decode(streams: list[bytes]) -> list[list[tuple[int, bytes]]]:
@@ -319,11 +403,9 @@ def decode(streams: list[bytes]) -> list[list[tuple[int, bytes]]]:
     if not streams:
         return []
     frames = Frames(streams)
-    samples = frames.decode()
     blocks: list[list[tuple[int, bytes]]] = [[] for _ in streams]
-    pcm = (samples + 128).astype(np.uint8)
-    for row, (s, first, size) in enumerate(zip(frames.stream, frames.first, frames.size)):
-        blocks[s].append((first, pcm[row, :size].tobytes()))
+    for s, first, pcm in frames.blocks():
+        blocks[s].append((first, pcm))
     for mine, digest, total in zip(blocks, frames.digests, frames.totals):
         whole = b"".join(b for _, b in mine)
         if len(whole) != total or hashlib.md5((np.frombuffer(whole, np.uint8) ^ 0x80).tobytes()).digest() != digest:
@@ -342,27 +424,31 @@ def to_flac(docs: DataFrame, columns: list[str] | None = None, text: str = "text
     return map_texts(docs, columns, text, [T.StructField("media", T.BinaryType())], lambda: lambda texts: [encode([payload_of(t) for t in texts])])
 
 
-_BLOCKS = T.ArrayType(T.StructType([T.StructField("first_sample", T.LongType()), T.StructField("pcm", T.BinaryType())]))
-
-
-def to_blocks(media: DataFrame, columns: list[str]) -> DataFrame:
-    """The given columns plus blocks: an array of (first_sample, pcm), which seeks by first_sample."""
-    values = lambda streams: [[[{"first_sample": i, "pcm": b} for i, b in mine] for mine in decode(streams)]]
-    return map_texts(media, columns, "media", [T.StructField("blocks", _BLOCKS)], lambda: values)
-
-
 def feature(pcm: bytes) -> str:
     """Level, loudness, crossings and mean step of the signal."""
-    x = np.frombuffer(pcm, np.uint8).astype(np.int64) - 128
-    crossings = int(((x[1:] < 0) != (x[:-1] < 0)).sum())
-    return f"mean={x.mean():.4f};rms={np.sqrt((x * x).mean()):.4f};zcr={crossings / len(x):.5f};step={np.abs(np.diff(x)).mean():.4f};peak={int(np.abs(x).max())}"
+    n, total, squares, crossings, steps, peak = len(pcm), 0, 0, 0, 0, 0
+    for at in range(0, n, 1 << 20):  # each part with the first sample of the next
+        x = np.frombuffer(pcm, np.uint8, min((1 << 20) + 1, n - at), at).astype(np.int64) - 128
+        own = x[: 1 << 20]
+        total, squares, peak = total + int(own.sum()), squares + int((own * own).sum()), max(peak, int(np.abs(own).max()))
+        crossings, steps = crossings + int(((x[1:] < 0) != (x[:-1] < 0)).sum()), steps + int(np.abs(np.diff(x)).sum())
+    return f"mean={total / n:.4f};rms={(squares / n) ** 0.5:.4f};zcr={crossings / n:.5f};step={steps / (n - 1):.4f};peak={peak}"
 
 
 def read_back(media: DataFrame, columns: list[str]) -> DataFrame:
-    """The given columns plus payload, the blocks' bytes in order, and feature."""
+    """The given columns plus payload, the samples of all blocks in order; offsets, the first sample of each block, which
+    is its place in the payload; and feature."""
 
     def values(streams):
-        whole = [b"".join(b for _, b in mine) for mine in decode(streams)]
-        return [whole, [feature(w) for w in whole]]
+        both = [decode([s])[0] for s in streams] if sum(map(len, streams)) > 1 << 22 else decode(streams)
+        whole = [b"".join(b for _, b in mine) for mine in both]
+        return [whole, [[i for i, _ in mine] for mine in both], [feature(w) for w in whole]]
+
+    fields = [T.StructField("payload", T.BinaryType()), T.StructField("offsets", T.ArrayType(T.LongType())), T.StructField("feature", T.StringType())]
+    return map_texts(media, [c for c in columns if c not in ("payload", "offsets", "feature")], "media", fields, lambda: values)
+
 
-    return map_texts(media, columns, "media", [T.StructField("payload", T.BinaryType()), T.StructField("feature", T.StringType())], lambda: values)
+def to_blocks(decoded: DataFrame, columns: list[str]) -> DataFrame:
+    """Of rows that read_back gave, the columns, first_sample and pcm: a row for each PCM block, which seeks by sample."""
+    each = decoded.select(*columns, "payload", F.explode(F.arrays_zip("offsets", F.expr("concat(slice(offsets, 2, size(offsets) - 1), array(octet_length(payload)))").alias("ends"))).alias("b"))
+    return each.select(*columns, F.col("b.offsets").alias("first_sample"), F.expr("substring(payload, CAST(b.offsets AS INT) + 1, CAST(b.ends - b.offsets AS INT))").alias("pcm"))

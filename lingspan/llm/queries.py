@@ -39,7 +39,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.find(docs, pii.fit(docs.select("doc_id", "text")), ["doc_id"])
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     counts = [F.expr(f"CAST(size(filter(base_spans, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in pii.BASE]
-    return rows.select("doc_id", *counts, F.sha2(said("base_spans").cast("binary"), 256).alias("base_sha256"), said(F.concat("base_spans", "added_spans")).alias("spans"))
+    return rows.select("doc_id", *counts, F.sha2(said("base_spans").cast("binary"), 256).alias("base_sha256"), said(F.concat("base_spans", "added_spans")).alias("spans"), F.size(F.concat("base_spans", "added_spans")).cast("long").alias("n_spans"))
 
 
 def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.octet_length("payload")
     return rows.select(
         "doc_id", "n_bytes", size.cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
-        F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"), "media_bytes", "media_sha256", "feature",
+        F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"), "media_bytes", "media_sha256", "feature", F.size("offsets").cast("long").alias("n_blocks"),
     )
 
 
