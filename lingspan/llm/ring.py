@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .shared import free_names, materialize
+
 #: Cells of the ring. Bounds the placement table: at most this many rows of three numbers are broadcast.
 CELLS = 65536
 VNODES = 64
@@ -27,7 +29,7 @@ def _hash32(text: Column) -> Column:
 
 
 def _cell(key: Column, cells: int) -> Column:
-    return F.floor(_hash32(F.concat(F.lit("key:"), F.coalesce(key.cast("string"), F.lit("null")))) * cells / (1 << 32)).cast("int")
+    return F.floor(_hash32(F.concat(F.lit("key:"), key)) * cells / (1 << 32)).cast("int")
 
 
 def ring(spark: SparkSession, n_shards: int, vnodes: int = VNODES, cells: int = CELLS) -> DataFrame:
@@ -70,13 +72,16 @@ def place_cells(loads: DataFrame, n_shards: int, slack: float = 0.0, vnodes: int
 def shard_by_ring(docs: DataFrame, n_shards: int = 16, slack: float = 0.0, key: str = "doc_id", text: str = "text", vnodes: int = VNODES, cells: int = CELLS) -> DataFrame:
     """docs plus size, text_crc32, shard and slot; size is the UTF-8 bytes of the text plus 1."""
     body = F.coalesce(F.col(text), F.lit(""))
-    keep = [c for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot", "cell", "base")]
-    rows = docs.select(*keep, (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"), _cell(F.col(key), cells).alias("cell"))
-    loads = rows.groupBy("cell").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    placed = place_cells(loads, n_shards, slack, vnodes, cells)
-    within = Window.partitionBy("cell").orderBy(key, "text_crc32", "size")
+    keep = [c for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    cell, base = free_names([*keep, "size", "text_crc32", "shard", "slot"], "cell", "base")
+    crc = F.crc32(body.cast("binary"))
+    dealt_by = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("text:"), crc.cast("string")))  # rows without a key spread by text
+    rows = docs.select(*keep, (F.octet_length(body) + 1).cast("long").alias("size"), crc.alias("text_crc32"), _cell(dealt_by, cells).alias(cell))
+    loads = materialize(rows.groupBy(F.col(cell).alias("cell")).agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "loads")
+    placed = place_cells(loads, n_shards, slack, vnodes, cells).withColumnsRenamed({"cell": cell, "base": base})
+    within = Window.partitionBy(cell).orderBy(key, "text_crc32", "size")
     return (
-        rows.join(F.broadcast(placed), "cell")  # at most CELLS rows
-        .withColumn("slot", (F.col("base") + F.row_number().over(within) - 1).cast("long"))
+        rows.join(F.broadcast(placed), cell)  # at most CELLS rows
+        .withColumn("slot", (F.col(base) + F.row_number().over(within) - 1).cast("long"))
         .select(*keep, "size", "text_crc32", "shard", "slot")
     )
