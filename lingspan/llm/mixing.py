@@ -4,7 +4,7 @@ Leaves are (domain, lang, source) triples. The token budget goes down the tree:
 children in proportion to their weights, but no child gets more than its supply (the tokens below it times
 max_epochs). What a child cannot use goes to its siblings first; only what the whole family cannot use is left to the
 parent's siblings, because a parent's supply is the sum of its children's. All shares are whole tokens. Each leaf then
-takes whole epochs, and of the next epoch, in an order seeded by (seed, epoch, doc_id), the longest prefix that fits.
+takes whole epochs, and of the next epoch, in an order seeded by (seed, epoch, doc_id; without one the text), the longest prefix that fits.
 
 The prefix is found in two steps: sums over BUCKETS slices of the seeded order (a bounded table per leaf), then a
 running sum inside a slice, so a leaf with a third of all rows is never sorted in one task. Weights are whole numbers;
@@ -94,7 +94,7 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], sha
         F.expr("CASE WHEN tokens > 0 THEN leaf_budget % tokens ELSE 0L END").alias("mix_part"),
     )
     rows = rows.join(plan, list(LEVELS))
-    rows = rows.withColumn("mix_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("mix_epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), none))))
+    rows = rows.withColumn("mix_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("mix_epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.concat(none, F.md5(F.coalesce("text", F.lit(""))))))))
     rows = rows.withColumn("mix_slice", F.substring("mix_order", 1, SLICE_DIGITS))
     cut = rows.groupBy(*LEVELS, "mix_slice").agg(F.sum("mix_tokens").alias("tokens"))
     before = Window.partitionBy(*LEVELS).orderBy("mix_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -107,6 +107,7 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], sha
 
 def mixture(docs: DataFrame, *args, **kwargs) -> DataFrame:
     """The chosen documents themselves, a row for each copy, with the input's columns only."""
-    keep = [c for c in docs.columns if not c.startswith("mix_")]
-    chosen = mix(docs, *args, **kwargs).where("mix_copies > 0")
-    return chosen.select(*keep, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("mix_copy")).drop("mix_copy")
+    aside = {c: f"kept_{i}_{c}" for i, c in enumerate(docs.columns) if c.startswith("mix_")}
+    chosen = mix(docs.withColumnsRenamed(aside), *args, **kwargs).where("mix_copies > 0")
+    copies = chosen.select("*", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("mix_copy"))
+    return copies.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])

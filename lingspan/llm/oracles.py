@@ -30,6 +30,6 @@ mid AS (SELECT l.{d}, l.{la}, sum(l.supply) AS supply, any_value(a.given) AS bud
 low AS (SELECT l.{d}, l.{la}, l.{s}, l.supply, l.tokens, b.given AS budget FROM leaves l JOIN b ON l.{d} = b.{d} AND l.{la} = b.{la}),
 {_share('c', 'low', [d, la], [d, la, s], _case(s, weights.get('source', {})))},
 p AS (SELECT {d}, {la}, {s}, given, CASE WHEN tokens > 0 THEN given // tokens ELSE 0 END AS epochs, CASE WHEN tokens > 0 THEN given % tokens ELSE 0 END AS part FROM c),
-o AS (SELECT d.*, p.given, p.epochs, p.part, md5(concat('{seed}:', CAST(p.epochs AS BIGINT), ':', coalesce(CAST(doc_id AS VARCHAR), 'none'))) AS h FROM d JOIN p USING ({d}, {la}, {s})),
+o AS (SELECT d.*, p.given, p.epochs, p.part, md5(concat('{seed}:', CAST(p.epochs AS BIGINT), ':', coalesce(CAST(doc_id AS VARCHAR), concat('none', md5(coalesce(text, '')))))) AS h FROM d JOIN p USING ({d}, {la}, {s})),
 q AS (SELECT *, sum(mix_tokens) OVER (PARTITION BY {d}, {la}, {s} ORDER BY h, mix_tokens ROWS UNBOUNDED PRECEDING) AS upto FROM o)
 SELECT doc_id, {d}, {la}, {s}, CAST(mix_tokens AS BIGINT) AS mix_tokens, CAST(given AS BIGINT) AS mix_budget, CAST(epochs + CASE WHEN part > 0 AND upto <= part THEN 1 ELSE 0 END AS BIGINT) AS mix_copies FROM q"""
