@@ -71,15 +71,27 @@ class RankQueue:
         return rank, self.buckets.pop(rank)
 
 
+def _known_pattern() -> str | None:
+    """The pattern for which a word with one space before it is a pre-token, and texts may be cut at single spaces."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        return None
+    return public_tokenizers.PATTERN
+
+
 class Codec:
-    """Encoder and decoder for one vocabulary of fewer than 65,000 tokens; `pattern` cuts a text into pre-tokens."""
+    """Encoder and decoder for one vocabulary of ids below 65,534; `pattern` cuts a text into pre-tokens."""
 
     BARRIER, GONE = 65535, 65534  # ids of the nodes between pre-tokens and of merged ones
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
+        if max(ranks.values(), default=0) >= self.GONE:
+            raise ValueError(f"token ids must be below {self.GONE}")
         self.ranks = ranks
+        self.own_pattern = pattern == _known_pattern()
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
         self.odd_space = re.compile(r" (?=\s|\Z)").search
@@ -165,7 +177,7 @@ class Codec:
 
     def _learn(self, memo: dict[str, bytes], pieces: set[str], space: str) -> None:
         """Adds the ids of the pieces that memo lacks."""
-        cut = {p: [space + p] if p.isalpha() else self.find(space + p) for p in pieces if p not in memo}
+        cut = {p: [space + p] if p.isalpha() or not self.own_pattern else self.find(space + p) for p in pieces if p not in memo}
         words = {w: None for ws in cut.values() for w in ws}
         coded = {w: w.encode() for w in words}
         known = {w: self.ranks[b].to_bytes(4, "little") for w, b in coded.items() if b in self.ranks}
@@ -181,7 +193,7 @@ class Codec:
         for memo in (self.plain, self.spaced):
             if len(memo) > MEMO_PIECES:
                 memo.clear()
-        odd = [bool(self.odd_space(t)) for t in texts]  # runs of white space: cut by the pattern itself
+        odd = [not self.own_pattern or bool(self.odd_space(t)) for t in texts]  # cut by the pattern itself
         pieces = [self.find(t) if o else t.split(" ") for t, o in zip(texts, odd)]
         plain: set[str] = set()
         spaced: set[str] = set()
