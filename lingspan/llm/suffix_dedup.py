@@ -16,8 +16,9 @@ Every byte inside a string of LENGTH bytes that also starts elsewhere, in the sa
 4. Depths. Two anchors agree over L bytes leftward and R rightward, and repeat each other's windows if L + R >= LENGTH.
    R is a common prefix of the anchor with others in the first order and L in the second; so every longest repeat
    starts or ends with a window given by such a depth. These few windows of each class are compared by 128-bit hashes
-   of bytes and place, so that one window seen from two anchors is no repeat, among the classes of their gram. A gram is cut up by ranges only if it has over SPLIT classes; then all
-   depths that could lie in other ranges are tried.
+   of bytes and place, so that one window seen from two anchors is no repeat, among the classes of their gram. A gram is
+   cut up by ranges only if it has over SPLIT classes; then all depths that could lie in other ranges are tried. Classes
+   and rows are told apart by 128 bits too: of n of them two are taken for one with odds of about n * n / 2 ** 129.
 5. Repeated windows of a class hold for all its members; their union is cut out of each text.
 
 Bounds are drawn from a sample of SAMPLED classes a range; they decide where work is done, not results. A passage in a
@@ -275,17 +276,17 @@ def is_open(group: list[tuple[bytes, bytes, int]], bounds: list[bytes]) -> bool:
 def repeated(found: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int]]:
     """Of a whole gram's windows those that two classes have at one start, joined to (class, from, to) stretches. Equal
     windows of other grams are tried with those."""
-    hashes, classes, starts = array("Q"), array("q"), array("h")
+    hashes, classes, starts = bytearray(), array("q"), array("h")
     for cls, start, window in found:
-        hashes.append(xxhash.xxh3_64_intdigest(window, -start))
+        hashes += xxhash.xxh3_128_digest(window, -start)
         classes.append(cls)
         starts.append(start)
-    if len(hashes) < 2:
+    if len(classes) < 2:
         return
-    h, c, s = np.frombuffer(hashes, np.uint64), np.frombuffer(classes, np.int64), np.frombuffer(starts, np.int16).astype(np.int64)
-    order = np.lexsort((c, h))
+    h, c, s = np.frombuffer(hashes, np.uint64).reshape(-1, 2), np.frombuffer(classes, np.int64), np.frombuffer(starts, np.int16).astype(np.int64)
+    order = np.lexsort((c, h[:, 1], h[:, 0]))
     h, c, s = h[order], c[order], s[order]
-    edge = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    edge = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]).any(axis=1))))
     size = np.diff(np.concatenate((edge, [len(h)])))
     twice = np.repeat(c[edge] != c[edge + size - 1], size)
     c, s = c[twice], s[twice]
@@ -401,7 +402,7 @@ def cut_out(raw: bytes, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray,
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, removed array of (start, end), kept binary), a row for each row of docs."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("rid", F.xxhash64("key", "text"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("rid", F.struct(F.xxhash64("key", "text"), F.xxhash64(F.lit(1), "key", "text")))
     arrays = find_anchors(rows, ["rid"], "text")
     found = arrays.select("rid", F.explode(F.arrays_zip("places", "grams", "classes")).alias("a"))
     found = materialize(found.select("rid", F.col("a.places").alias("place"), F.col("a.grams").alias("gram"), F.col("a.classes").alias("class")), "anchors")
@@ -428,7 +429,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     part = ["gram", "class", "low", "high"]
     whole = classes.where("whole").select("gram", "class", F.lit(-BEFORE).alias("low"), F.lit(LENGTH).alias("high"))  # cut at the text's ends
     hits = tests.where("window IS NULL").select(part).unionAll(tried.join(twice, "window", "left_semi").select(part)).unionAll(whole)
-    by_class = hits.groupBy("gram", "class").agg(F.collect_set(F.struct("low", "high")).alias("parts"))  # within a context's bytes
+    # A table, so that the join can split a class that a great many places have. parts lie within a context's bytes.
+    by_class = materialize(hits.groupBy("gram", "class").agg(F.collect_set(F.struct("low", "high")).alias("parts")), "stretches")
     per_text = found.join(by_class, ["gram", "class"]).select("rid", F.expr("transform(parts, p -> struct(place + p.low AS low, place + p.high AS high))").alias("parts"))
     per_text = per_text.groupBy("rid").agg(F.flatten(F.collect_list("parts")).alias("found"))
     joined = rows.join(per_text, "rid", "left").select("key", "text", "found")
