@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .shared import free_names, map_texts, materialize, utf8
+from .shared import few_rows_a_batch, free_names, map_texts, materialize, utf8
 from .simhash import link_within_two, simhash
 
 WORDS = 5
@@ -187,12 +187,12 @@ def _key_rows(rows: DataFrame) -> DataFrame:
     return dealt.repartition("key", "salt").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long, size long, at long")
 
 
-def _mixed(shared: DataFrame, linked: DataFrame | None) -> DataFrame:
-    """(key, node, size, at, component) of keys whose nodes are not all in one component. A row whose key lies too late
-    in its prefix to be the first that the set shares with any other of that key is left out."""
-    of = shared.withColumn("component", F.col("node"))
+def _mixed(of: DataFrame, linked: DataFrame | None) -> DataFrame:
+    """(key, node, size, at, component), components as linked has them, of keys whose nodes are not all in one component.
+    A row whose key lies too late in its prefix to be the first that the set shares with any other of that key is left
+    out."""
     if linked is not None:
-        of = shared.join(linked, "node", "left").select("key", "node", "size", "at", F.coalesce("component", "node").alias("component"))
+        of = of.drop("component").join(linked, "node", "left").select("key", "node", "size", "at", F.coalesce("component", "node").alias("component"))
     mixed = of.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("size").alias("least")).where("low < high").select("key", "least")
     partner = F.greatest("least", F.ceil(F.col("size") * THRESHOLD[0] / THRESHOLD[1]))
     rows = of.join(mixed, "key").where(_enough(F.col("size") - F.col("at"), F.col("size") + partner))
@@ -245,25 +245,28 @@ def jaccard_reached(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, x, y), x and y their texts -> (a, b) at THRESHOLD or above. The last set of either side is kept."""
+    hashes = WordHashes()
+    last: list[tuple[str | None, np.ndarray | None]] = [(None, None), (None, None)]
     for batch in batches:
-        pairs = zip(batch.column("x"), batch.column("y"))
-        keep = pa.array([jaccard_reached(np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")) for x, y in pairs], pa.bool_())
-        yield batch.select(["a", "b"]).filter(keep)
+        keep = []
+        for x, y in zip(batch.column("x"), batch.column("y")):
+            for side, t in enumerate((x.as_py(), y.as_py())):
+                if last[side][1] is None or t != last[side][0]:
+                    last[side] = t, shingle_set(words_of(t), hashes)
+            keep.append(jaccard_reached(last[0][1], last[1][1]))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def _verified(found: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that reach THRESHOLD. nodes: (node, r1, r2) of one row each; texts: (r1, r2, text)."""
+    """Those of the pairs (a, b) that reach THRESHOLD, perhaps repeated. nodes: (node, r1, r2) of one row each; texts:
+    (r1, r2, text). Texts travel, not sets: they take less room."""
     wanted = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node"))).distinct()
     wanted = materialize(nodes.join(wanted, "node").select("r1", "r2", "node"), "wanted")
-
-    def make():
-        hashes = WordHashes()
-        return lambda texts: [[shingle_set(words_of(t), hashes).astype("<u8").tobytes() for t in texts]]
-
-    sets = map_texts(texts.join(wanted, ["r1", "r2"]), ["node"], "text", [T.StructField("shingles", T.BinaryType())], make)
-    sets = materialize(sets.dropDuplicates(["node"]), "sets")  # repeated rows of one key and text
-    checked = found.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    checked = checked.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    some = materialize(texts.join(wanted, ["r1", "r2"]).select("node", "text"), "texts")
+    checked = found.join(some.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+    checked = checked.join(some.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+    few_rows_a_batch(texts.sparkSession)
     return materialize(checked.mapInArrow(_similar, "a long, b long"), "links")
 
 
@@ -275,9 +278,9 @@ def _groups(texts: DataFrame) -> DataFrame:
     first = F.struct(F.col("key").isNull().alias("no_key"), "key", "r1", "r2")
     nodes = materialize(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min(first).alias("of")).select("node", "fp", "of.r1", "of.r2"), "nodes")
     shared = materialize(_key_rows(rows), "keys")
-    tried, linked = None, None
+    of, tried, linked = shared.withColumn("component", F.col("node")), None, None
     for turn in range(TURNS + 1):
-        of = _mixed(shared, linked)
+        of = _mixed(of, linked)
         pairs = _pivot_pairs(of, turn) if turn < TURNS else _pairs_across(of)
         if tried is None:
             pairs = pairs.unionAll(_golay_pairs(nodes)).distinct()

@@ -65,13 +65,17 @@ ARROW_ROWS = 1_000
 _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+def few_rows_a_batch(spark: SparkSession) -> None:
+    """Cuts the session's Arrow batches to ARROW_ROWS."""
+    if not 0 < int(spark.conf.get(_ROWS)) <= ARROW_ROWS:
+        spark.conf.set(_ROWS, str(ARROW_ROWS))
+
+
 def map_texts(docs: DataFrame, columns: list[str], text: str, fields: list[T.StructField], make: Callable[[], Callable[[list], list[list]]]) -> DataFrame:
     """The given columns of docs, then `fields`. make() runs once a task and gives a function from a list of texts to
     the lists of values of the fields. Batches are cut to ARROW_ROWS, a setting of the session, and to CHUNK_BYTES,
     which bounds a worker's memory."""
-    conf = docs.sparkSession.conf
-    if not 0 < int(conf.get(_ROWS)) <= ARROW_ROWS:
-        conf.set(_ROWS, str(ARROW_ROWS))
+    few_rows_a_batch(docs.sparkSession)
     kept = docs.select(*columns, docs[text].alias("_text"))
     n = len(columns)
     schema = T.StructType([*kept.schema.fields[:n], *fields])
