@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lingspan.functions import text as X
 from lingspan.schema import CO_SOURCE_LANG, SOURCE_LANG, Corpus
+from lingspan.tables import materialize
 
 
 def known_langs(corpus: Corpus) -> DataFrame:
@@ -69,17 +70,20 @@ def without_source(corpus: Corpus) -> DataFrame:
 
 
 def numbered(rows: DataFrame, *order: Column | str, by: str | None = None, name: str = "entry") -> DataFrame:
-    """rows plus a number from 1 in the given order, without a window over all rows: partitions by range are counted
-    and numbered by themselves, then shifted by the sum before them. by: a column whose groups number on their own."""
+    """rows plus a number from 1 in the given order, without a window over all rows: ranges are sorted by themselves and
+    written once, with the range and place of each row, so that rows and counts are of the same ranges; then each range is
+    shifted by the rows before it. by: a column whose groups number on their own, however many rows one has; null is a
+    group. Ties are in any order."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    if by is not None:
-        return rows.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*cols)))
-    ranged = rows.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_row", F.monotonically_increasing_id())
-    # monotonically_increasing_id is partition << 33 | row: both are read back from it.
-    parts = ranged.select(F.shiftright("_row", 33).alias("_part")).groupBy("_part").agg(F.count("*").alias("n"))
-    before = parts.withColumn("_before", F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    joined = ranged.withColumn("_part", F.shiftright("_row", 33)).join(F.broadcast(before), "_part")  # a row a partition
-    return joined.withColumn(name, F.col("_before") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_part", "_before", "_row")
+    keys = [F.col(by), *cols] if by is not None else cols
+    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    told = materialize(ranged.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "ranges")
+    group = F.col(by) if by is not None else F.lit(0)
+    parts = told.groupBy("_part", group.alias("_group")).agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))  # a row a range and group
+    before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_part", "_group", "_first", "_before")
+    joined = told.withColumn("_own", group).join(parts.withColumnRenamed("_part", "_of"), (F.col("_part") == F.col("_of")) & F.col("_own").eqNullSafe(F.col("_group")))
+    return joined.withColumn(name, F.col("_before") + F.col("_row") - F.col("_first") + 1).drop("_part", "_of", "_row", "_own", "_group", "_first", "_before")
 
 
 def slice_of(rows: DataFrame, start: int, end: int, name: str = "entry") -> DataFrame:

@@ -41,12 +41,6 @@ DYNAMIC = (
 POOLS = ("Localizable.strings", "Localizable.stringsdict", "InfoPlist.strings", "widget14.strings")
 POOLS_OF_TABLE = {"infoPlist": ("InfoPlist.strings",), "localizable": ("Localizable.strings", "Localizable.stringsdict"), "widget14": ("widget14.strings",)}
 POOLS_OF_SUFFIX = {".intentdefinition": ("widget14.strings",), ".plist": ("InfoPlist.strings",)}
-#: Names of the platform's own library: a context may cite them, so they are never dead. A parameter everywhere.
-LIBRARY_NAMES = (
-    "Calendar", "Date", "DateFormatter", "Locale", "TimeZone", "String", "Array", "Dictionary", "Set", "Int", "Double", "Float", "Bool", "URL", "Data",
-    "Notification", "UIView", "UILabel", "UIButton", "UIImage", "UIColor", "UIFont", "UIViewController", "Text", "View", "Image", "Color", "Font", "Button",
-    "VStack", "HStack", "AppDelegate", "SceneDelegate", "HealthKit", "WidgetKit", "SiriKit", "StoreKit", "UIApplication", "UIAccessibility", "JavaScript", "TypeScript",
-)
 CAP_TOLERANCE = 5
 
 
@@ -77,11 +71,13 @@ def literal_sites(lines: DataFrame, names: DataFrame, limit: int = 5) -> DataFra
     pieces = F.split("line", '"')
     inner = lines.where(F.size(pieces) > 2).select("path", "lineno", F.explode(F.array_distinct(F.slice(pieces, 2, F.size(pieces) - 2))).alias("name"))
     found = inner.join(names.select("name").distinct(), "name", "left_semi")
-    return found.groupBy("name").agg(F.slice(F.array_sort(F.collect_list(F.struct("path", "lineno"))), 1, limit).alias("s")).select("name", F.explode("s").alias("s")).select("name", "s.path", "s.lineno")
+    nth = F.row_number().over(Window.partitionBy("name").orderBy("path", "lineno"))  # each task keeps `limit` a name before the shuffle
+    return found.withColumn("_nth", nth).where(F.col("_nth") <= limit).drop("_nth")
 
 
-def cited_symbols(keys: DataFrame, allow: tuple[str, ...] = LIBRARY_NAMES, allow_files: tuple[str, ...] = ("R.swift",)) -> DataFrame:
-    """keys (rec_id, context) -> (rec_id, symbol, kind): what looks like code; the first of file, type, camel counts."""
+def cited_symbols(keys: DataFrame, allow: tuple[str, ...] = (), allow_files: tuple[str, ...] = ("R.swift",)) -> DataFrame:
+    """keys (rec_id, context) -> (rec_id, symbol, kind): what looks like code; the first of file, type, camel counts. allow:
+    names that a context may cite though the code does not define them, such as those of the platform's own library."""
     one = lambda p, kind, rank: keys.select("rec_id", F.explode(F.array_distinct(X.matches("context", p, 1))).alias("symbol"), F.struct(F.lit(rank).alias("r"), F.lit(kind).alias("kind")).alias("k"))
     files = one(CITED_FILE, "file", 0).where(~F.col("symbol").isin(*allow_files))
     code = one(CITED_TYPE, "type", 1).unionByName(one(CITED_CAMEL, "camel", 2)).where(~F.col("symbol").isin(*allow))
@@ -114,7 +110,7 @@ def cap_violations(corpus: Corpus, tolerance: int = CAP_TOLERANCE) -> DataFrame:
     return caps.join(longest_translation(corpus), "rec_id").withColumn("margin", F.col("longest") - F.col("cap")).where(F.col("margin") > tolerance)
 
 
-def lint_context_against_code(corpus: Corpus, ios_lines: DataFrame, ios_files: DataFrame, android_lines: DataFrame, android_files: DataFrame, allow: tuple[str, ...] = LIBRARY_NAMES) -> DataFrame:
+def lint_context_against_code(corpus: Corpus, ios_lines: DataFrame, ios_files: DataFrame, android_lines: DataFrame, android_files: DataFrame, allow: tuple[str, ...] = ()) -> DataFrame:
     """A row a key: its sites on either platform, where it is referenced, dead citations, citations of code elsewhere than
     its call-sites, cap violation, unexplained placeholders, and whether a register is given."""
     names = key_names(corpus)
@@ -125,7 +121,12 @@ def lint_context_against_code(corpus: Corpus, ios_lines: DataFrame, ios_files: D
     android = by_name(call_sites(android_lines, ANDROID_SITES))
     defined = _hits(android_lines.where(F.col("path").endswith(".xml")), "line", ANDROID_DEFINITION, "definition", "path").select("name").distinct()
     site = F.concat("path", F.lit(":"), F.col("lineno").cast("string"), F.lit(" ("), "kind", F.lit(")"))
-    listed = lambda sites, n, c: sites.groupBy("rec_id").agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("path", "lineno", "kind", site.alias("s")))), 1, n), lambda x: x["s"]).alias(c))
+    nth = F.row_number().over(Window.partitionBy("rec_id").orderBy("path", "lineno", "kind"))
+
+    def listed(sites: DataFrame, n: int, column: str) -> DataFrame:
+        first = sites.withColumn("_nth", nth).where(F.col("_nth") <= n)  # at most n a key are collected
+        return first.groupBy("rec_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_nth", site.alias("s")))), lambda x: x["s"]).alias(column))
+
     declared = names.join(defined, "name", "left_semi").select("rec_id").distinct().withColumn("declared", F.lit(True))
     symbols = cited_symbols(live_keys(corpus).where("context IS NOT NULL"), allow)
     file_alive = path_names(ios_files).select(F.col("name").alias("symbol"), F.lit("file").alias("kind"))

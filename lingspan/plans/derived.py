@@ -1,4 +1,7 @@
-"""A corpus derived from the documents table, in SQL that Spark and DuckDB read alike."""
+"""A corpus derived from the documents table, in SQL that Spark and DuckDB read alike.
+
+Four documents in a row are a key's translations, with their whole texts; their languages go round five, so every key
+lacks one language and each fifth key its source. Some key names break the grammar of names."""
 
 from __future__ import annotations
 
@@ -10,8 +13,8 @@ from lingspan.schema import Corpus
 TRANSLATIONS_SQL = """
 WITH base AS (
  SELECT CAST(floor(doc_id/4) AS BIGINT) AS key_id, doc_id,
-   CASE doc_id%4 WHEN 0 THEN 'en' WHEN 1 THEN 'de' WHEN 2 THEN 'fr' ELSE 'es' END AS lang,
-   substr(replace(text, chr(10), ' '),1,80) AS v
+   CASE doc_id%5 WHEN 0 THEN 'en' WHEN 1 THEN 'de' WHEN 2 THEN 'fr' WHEN 3 THEN 'es' ELSE 'it' END AS lang,
+   text AS v
  FROM documents)
 SELECT key_id, lang,
   CASE WHEN doc_id%31=5 THEN '' ELSE
@@ -24,14 +27,15 @@ SELECT key_id, lang,
      CASE WHEN doc_id%27=8 THEN ' %d' ELSE '' END,
      CASE WHEN doc_id%37=10 THEN ' (z' ELSE '' END,
      CASE WHEN doc_id%43=11 THEN ' ' ELSE '' END) END AS value,
-  doc_id%41=1 AND doc_id%4<>0 AS unverified, doc_id%47=3 AS dirty
-FROM base WHERE doc_id%53<>12
+  doc_id%41=1 AND doc_id%5<>0 AS unverified, doc_id%47=3 AS dirty
+FROM base
 """
 
 KEYS_SQL = """
 SELECT DISTINCT CAST(floor(doc_id/4) AS BIGINT) AS key_id,
   concat('fam', CAST(floor(doc_id/4) % 20 AS INT), '_', CAST(floor(doc_id/4) AS INT),
-         CASE CAST(floor(doc_id/4) AS BIGINT) % 4 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE '' END) AS key_name,
+         CASE CAST(floor(doc_id/4) AS BIGINT) % 4 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE '' END,
+         CASE WHEN CAST(floor(doc_id/4) AS BIGINT) % 45 = 7 THEN '-x' ELSE '' END) AS key_name,
   CASE CAST(floor(doc_id/4) AS BIGINT) % 5 WHEN 0 THEN 'ios' WHEN 1 THEN 'ios,android'
        WHEN 2 THEN 'web' WHEN 3 THEN 'other' ELSE '' END AS platforms_csv,
   CAST(floor(doc_id/4) AS BIGINT) % 97 = 13 AS archived,

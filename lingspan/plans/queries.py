@@ -94,7 +94,7 @@ def lint_placeholder_count(spark, sf_dir):
 @query(WITH + TOKENS + """, m AS (SELECT *, len(list_filter(tokens, lambda x: regexp_matches(x, '^\\[%\\d+\\$'))) > 0 AS ix FROM y WHERE len(tokens) >= 2),
 w AS (SELECT *, bool_or(ix) OVER (PARTITION BY rec_id) AS any_ix, row_number() OVER (PARTITION BY rec_id ORDER BY ix, lang <> 'en', lang) AS nth FROM m)
 SELECT rec_id, key, lang, CASE WHEN any_ix THEN 'error' ELSE 'warn' END AS severity, 'placeholder-indexing' AS code, '[%s]' AS token,
-CASE WHEN any_ix THEN 'mixes bare [%s] with indexed [%1$s] across languages — index all' ELSE '≥2 placeholders should be indexed [%1$s]/[%2$s] so translations can reorder' END AS snippet FROM w WHERE NOT ix AND (any_ix OR nth = 1)""")
+CASE WHEN any_ix THEN 'bare and numbered tokens are mixed over the languages of this key; number them all' ELSE 'several bare tokens; number them so that a translation may change their order' END AS snippet FROM w WHERE NOT ix AND (any_ix OR nth = 1)""")
 def lint_placeholder_indexing(spark, sf_dir):
     return lint.lint_placeholder_indexing(derived_corpus(spark, sf_dir))
 
@@ -430,11 +430,10 @@ def call_sites(spark, sf_dir):
     return usage.call_sites(_lines(spark, sf_dir), {"href": 'href="/([^"]+)"'})
 
 
-@query("""WITH d AS (SELECT DISTINCT unnest(regexp_extract_all(html, '<a [^>]*>([^<]+)</a>', 1)) AS name FROM pages), u AS (SELECT DISTINCT unnest(regexp_extract_all(html, 'href="/([^"]+)"', 1)) AS name FROM pages WHERE page_id % 2 = 0) SELECT name FROM d WHERE name NOT IN (SELECT name FROM u)""")
+@query("""WITH d AS (SELECT DISTINCT unnest(regexp_extract_all(html, '<a [^>]*>([^<]+)</a>', 1)) AS name FROM pages), u AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z_][A-Za-z0-9_]*')) AS name FROM conversations) SELECT name FROM d WHERE name NOT IN (SELECT name FROM u)""")
 def unused_keys(spark, sf_dir):
-    lines = _lines(spark, sf_dir)
     defined = table(spark, sf_dir, "pages").select(F.explode(X.matches("html", "<a [^>]*>([^<]+)</a>", 1)).alias("name"))
-    return usage.unused_keys(defined, usage.call_sites(lines.where("CAST(substr(path, 2, length(path) - 6) AS BIGINT) % 2 = 0"), {"href": 'href="/([^"]+)"'}).select(F.col("name").alias("key")))
+    return usage.unused_keys(defined, table(spark, sf_dir, "conversations").select(F.explode(X.matches("text", usage.IDENTIFIER)).alias("key")))
 
 
 @query("""WITH s AS (SELECT DISTINCT left(p_name, 1 + CAST(p_partkey % 9 AS INTEGER)) AS symbol FROM part), w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z_][A-Za-z0-9_]*')) AS name FROM conversations) SELECT symbol FROM s WHERE EXISTS (SELECT 1 FROM w WHERE starts_with(w.name, s.symbol))""")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 
 
+from pyspark.sql import functions as F
+
 from lingspan.operators import edits, glossary, lint, review, rules, usage
 from lingspan.plans import bundles, sync
 from lingspan.schema import GLOSSARY, GLOSSARY_T, KEYS, TRANSLATIONS, Corpus, Glossary
@@ -76,6 +78,21 @@ def test_backlog_states(spark):
     assert found(review.backlog(c, "de"), "key", "status") == [("a", "missing"), ("b", "empty"), ("c", "unverified")]
 
 
+def test_numbers_over_many_ranges(spark):
+    """Ranges that AQE joins together, ties, nulls, and a group with most of the rows."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        rows = spark.range(1_000_000).selectExpr("xxhash64(id) % 700000 AS k", "CASE WHEN id % 10 = 0 THEN NULL WHEN id % 10 < 8 THEN 'hot' ELSE concat('g', id % 7) END AS g", "repeat('x', 20) AS pad")
+        got = review.numbered(rows, "k").selectExpr("entry", "lead(entry) OVER (ORDER BY k, entry) - entry AS step")
+        assert got.selectExpr("count(*)", "min(entry)", "max(entry)", "count_if(step <> 1)").first()[:] == (1_000_000, 1, 1_000_000, 0)
+        mine = review.numbered(rows, "k", by="g").groupBy("g").agg(F.count("*").alias("n"), F.min("entry").alias("low"), F.max("entry").alias("high"), F.count_distinct("entry").alias("numbers"))
+        assert all(x["low"] == 1 and x["high"] == x["n"] == x["numbers"] for x in mine.collect()) and mine.count() == 9
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_numbering_and_slices(spark):
     c = small(spark)
     got = review.numbered(c.keys, *review.corpus_order())
