@@ -15,8 +15,9 @@ Every byte inside a string of LENGTH bytes that also starts elsewhere, in the sa
    winners come out with the common prefixes between neighbours.
 4. Depths. Two anchors agree over L bytes leftward and R rightward, and repeat each other's windows if L + R >= LENGTH.
    R is a common prefix of the anchor with others in the first order and L in the second; so every longest repeat
-   starts or ends with a window given by such a depth. These few windows of each class are compared by 128-bit hashes
-   of bytes and place, so that one window seen from two anchors is no repeat, among the classes of their gram. A gram is
+   starts or ends with a window given by such a depth. These few windows of each class are compared by hashes of
+   bytes and place, so that one window seen from two anchors is no repeat, among the classes of their gram: 64 bits
+   within a task, which are wrong with odds of n * n / 2 ** 65 of a gram's n windows, 128 bits across tasks. A gram is
    cut up by ranges only if it has over SPLIT classes; then all depths that could lie in other ranges are tried. Classes
    and rows are told apart by 128 bits too: of n of them two are taken for one with odds of about n * n / 2 ** 129.
 5. Repeated windows of a class hold for all its members; their union is cut out of each text.
@@ -276,17 +277,17 @@ def is_open(group: list[tuple[bytes, bytes, int]], bounds: list[bytes]) -> bool:
 def repeated(found: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int]]:
     """Of a whole gram's windows those that two classes have at one start, joined to (class, from, to) stretches. Equal
     windows of other grams are tried with those."""
-    hashes, classes, starts = bytearray(), array("q"), array("h")
+    hashes, classes, starts = array("Q"), array("q"), array("h")
     for cls, start, window in found:
-        hashes += xxhash.xxh3_128_digest(window, -start)
+        hashes.append(xxhash.xxh3_64_intdigest(window, -start))
         classes.append(cls)
         starts.append(start)
-    if len(classes) < 2:
+    if len(hashes) < 2:
         return
-    h, c, s = np.frombuffer(hashes, np.uint64).reshape(-1, 2), np.frombuffer(classes, np.int64), np.frombuffer(starts, np.int16).astype(np.int64)
-    order = np.lexsort((c, h[:, 1], h[:, 0]))
+    h, c, s = np.frombuffer(hashes, np.uint64), np.frombuffer(classes, np.int64), np.frombuffer(starts, np.int16).astype(np.int64)
+    order = np.lexsort((c, h))
     h, c, s = h[order], c[order], s[order]
-    edge = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]).any(axis=1))))
+    edge = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
     size = np.diff(np.concatenate((edge, [len(h)])))
     twice = np.repeat(c[edge] != c[edge + size - 1], size)
     c, s = c[twice], s[twice]
