@@ -138,8 +138,8 @@ def set_filename(corpus: Corpus, ops: DataFrame) -> Corpus:
 
 
 def import_packs(corpus: Corpus, packs: DataFrame, platforms: list[str], exclude: list[str] = ()) -> tuple[Corpus, DataFrame]:
-    """packs (key, lang, value) of keys the corpus lacks become new keys; languages without a value get ''. The report
-    has the keys that were there already."""
+    """packs (key, lang, value) of keys the corpus lacks become new keys; languages without a value get ''; of values
+    for one (key, lang) the least counts. The report has the keys that were there already."""
     names = key_names(corpus).select(F.col("name").alias("key")).distinct()
     wanted = packs.where(~F.col("key").isin(*exclude)) if exclude else packs
     fresh = wanted.join(names, "key", "left_anti")
@@ -151,7 +151,7 @@ def import_packs(corpus: Corpus, packs: DataFrame, platforms: list[str], exclude
     keys = one.withColumns({"rec_id": rec_id, "ord": last + 1, "key_name": F.col("key"), "platforms": F.array(*[F.lit(p) for p in platforms]), "plural": F.lit(False), "archived": F.lit(False), "dirty_meta": F.array().cast("array<string>"), **empty})
     langs = corpus.translations.select("lang").unionAll(packs.select("lang")).distinct()
     slots = one.crossJoin(F.broadcast(langs))  # languages are a handful
-    texts = slots.join(fresh.groupBy("key", "lang").agg(F.first("value").alias("value")), ["key", "lang"], "left")
+    texts = slots.join(fresh.groupBy("key", "lang").agg(F.min("value").alias("value")), ["key", "lang"], "left")
     rows = texts.select(rec_id.alias("rec_id"), "lang", F.lit("").alias("form"), F.coalesce("value", F.lit("")).alias("value"), ((F.col("lang") != SOURCE_LANG) & (F.coalesce("value", F.lit("")) != "")).alias("is_unverified"), F.lit(True).alias("is_dirty"))
     return Corpus(corpus.keys.unionByName(keys.select(corpus.keys.columns)), corpus.translations.unionByName(rows)), there
 

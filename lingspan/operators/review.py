@@ -101,8 +101,6 @@ def batches(rows: DataFrame, size: int, *order: Column | str, by: str) -> DataFr
     return numbered(rows, *order, by=by).withColumn("batch", F.ceil(F.col("entry") / size).cast("int"))
 
 
-
-
 def corpus_order() -> list[Column]:
     return [F.col("key_id").asc_nulls_last(), F.col("ord")]
 

@@ -83,12 +83,13 @@ def final_period(corpus: Corpus) -> DataFrame:
 
 def cjk_halfwidth(corpus: Corpus) -> DataFrame:
     script = r"[぀-ヿ㐀-鿿가-힯]"
-    return _warn(live_values(corpus).where(F.col("lang").isin(*CJK)), F.col("value").rlike(f"{script}[!?:,]|[!?:,]{script}"), "cjk-halfwidth", F.regexp_extract("value", f"{script}?([!?:,]){script}?", 1))
+    beside = F.regexp_extract("value", f"{script}[!?:,]|[!?:,]{script}", 0)
+    return _warn(live_values(corpus).where(F.col("lang").isin(*CJK)), beside != "", "cjk-halfwidth", F.regexp_replace(beside, script, ""))
 
 
 def formal_register_leak(corpus: Corpus) -> DataFrame:
     """Formal address in Russian; texts whose register is formal may have it."""
-    rows = live_values(corpus, "context").where((F.col("lang") == "ru") & ~F.coalesce(X.context_body("context", "Register").rlike("(?i)formal"), F.lit(False)))
+    rows = live_values(corpus, "context").where((F.col("lang") == "ru") & ~F.coalesce(X.context_body("context", "Register").rlike(r"(?i)\bformal"), F.lit(False)))
     words = F.filter(F.array_distinct(F.split(F.lower("value"), r"[^\p{L}]+")), lambda w: w.isin(*FORMAL_RU))
     return rows.select("rec_id", "lang", F.lit("formal-register").alias("code"), F.explode(words).alias("token"))
 
@@ -124,5 +125,3 @@ def platform_suggestions(corpus: Corpus, platform: str) -> DataFrame:
     source = flat_text(corpus).where((F.col("lang") == SOURCE_LANG) & (F.col("text") != "")).select("rec_id", X.casefold(X.strip("text")).alias("text"))
     rows = source.join(live_keys(corpus).select("rec_id", "key", X.has_platform("platforms", platform).alias("has")), "rec_id").withColumn("some", F.bool_or("has").over(Window.partitionBy("text")))
     return rows.where("some AND NOT has").select("rec_id", "key", "text")
-
-
