@@ -86,7 +86,8 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], sha
     Columns of docs whose names start with mix_ are replaced."""
     none = F.lit("none")
     keep = [c for c in docs.columns if not c.startswith("mix_")]
-    rows = docs.select(*keep, F.coalesce(domain, none).alias("mix_domain"), F.coalesce("lang", none).alias("mix_lang"), F.coalesce("source", none).alias("mix_source"), estimated_tokens().alias("mix_tokens"))
+    who = F.coalesce(F.col("doc_id").cast("string"), F.concat(none, F.md5(F.coalesce("text", F.lit("")))))  # before any shuffle, so texts that are not kept stay out of it
+    rows = docs.select(*keep, F.coalesce(domain, none).alias("mix_domain"), F.coalesce("lang", none).alias("mix_lang"), F.coalesce("source", none).alias("mix_source"), estimated_tokens().alias("mix_tokens"), who.alias("mix_who"))
     leaves = rows.groupBy(*LEVELS).agg(F.sum("mix_tokens").alias("tokens"))
     plan = budgets(leaves, weights, share, max_epochs).select(
         *LEVELS, F.col("leaf_budget").alias("mix_budget"),
@@ -94,7 +95,7 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], sha
         F.expr("CASE WHEN tokens > 0 THEN leaf_budget % tokens ELSE 0L END").alias("mix_part"),
     )
     rows = rows.join(plan, list(LEVELS))
-    rows = rows.withColumn("mix_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("mix_epochs").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.concat(none, F.md5(F.coalesce("text", F.lit(""))))))))
+    rows = rows.withColumn("mix_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("mix_epochs").cast("string"), "mix_who")))
     rows = rows.withColumn("mix_slice", F.substring("mix_order", 1, SLICE_DIGITS))
     cut = rows.groupBy(*LEVELS, "mix_slice").agg(F.sum("mix_tokens").alias("tokens"))
     before = Window.partitionBy(*LEVELS).orderBy("mix_slice").rowsBetween(Window.unboundedPreceding, -1)
