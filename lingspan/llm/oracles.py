@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+
 def _case(column: str, weights: dict[str, int]) -> str:
     return f"CASE {column} {' '.join(f'WHEN {k!r} THEN {v}' for k, v in weights.items())} ELSE 1 END" if weights else "1"
 
@@ -21,7 +22,7 @@ def _share(name: str, source: str, parent: list[str], names: list[str], weight:
 
 def mixing_sql(weights: dict[str, dict[str, int]], share: tuple[int, int] = (3, 5), max_epochs: int = 4, seed: int = 7) -> str:
     d, la, s = "mix_domain", "mix_lang", "mix_source"
-    return f"""WITH d AS (SELECT doc_id, coalesce('d' || right(source, 1), 'none') AS {d}, coalesce(lang, 'none') AS {la}, coalesce(source, 'none') AS {s}, (coalesce(strlen(text), 0) + 3) // 4 AS mix_tokens FROM documents),
+    return f"""WITH d AS (SELECT doc_id, coalesce('d' || right(source, 1), 'none') AS {d}, coalesce(lang, 'none') AS {la}, coalesce(source, 'none') AS {s}, (coalesce(strlen(text), 0) + 3) // 4 AS mix_tokens, coalesce(CAST(doc_id AS VARCHAR), concat('none', md5(coalesce(text, '')))) AS who FROM documents),
 leaves AS (SELECT {d}, {la}, {s}, sum(mix_tokens) AS tokens, sum(mix_tokens) * {max_epochs} AS supply FROM d GROUP BY ALL),
 top AS (SELECT {d}, sum(supply) AS supply, least((SELECT sum(tokens) * {share[0]} // {share[1]} FROM leaves), (SELECT sum(supply) FROM leaves)) AS budget FROM leaves GROUP BY {d}),
 {_share('a', 'top', [], [d], _case(d, weights.get('domain', {})))},
@@ -30,6 +31,6 @@ mid AS (SELECT l.{d}, l.{la}, sum(l.supply) AS supply, any_value(a.given) AS bud
 low AS (SELECT l.{d}, l.{la}, l.{s}, l.supply, l.tokens, b.given AS budget FROM leaves l JOIN b ON l.{d} = b.{d} AND l.{la} = b.{la}),
 {_share('c', 'low', [d, la], [d, la, s], _case(s, weights.get('source', {})))},
 p AS (SELECT {d}, {la}, {s}, given, CASE WHEN tokens > 0 THEN given // tokens ELSE 0 END AS epochs, CASE WHEN tokens > 0 THEN given % tokens ELSE 0 END AS part FROM c),
-o AS (SELECT d.*, p.given, p.epochs, p.part, md5(concat('{seed}:', CAST(p.epochs AS BIGINT), ':', coalesce(CAST(doc_id AS VARCHAR), concat('none', md5(coalesce(text, '')))))) AS h FROM d JOIN p USING ({d}, {la}, {s})),
+o AS (SELECT d.*, p.given, p.epochs, p.part, md5(concat('{seed}:', CAST(p.epochs AS BIGINT), ':', who)) AS h FROM d JOIN p USING ({d}, {la}, {s})),
 q AS (SELECT *, sum(mix_tokens) OVER (PARTITION BY {d}, {la}, {s} ORDER BY h, mix_tokens ROWS UNBOUNDED PRECEDING) AS upto FROM o)
 SELECT doc_id, {d}, {la}, {s}, CAST(mix_tokens AS BIGINT) AS mix_tokens, CAST(given AS BIGINT) AS mix_budget, CAST(epochs + CASE WHEN part > 0 AND upto <= part THEN 1 ELSE 0 END AS BIGINT) AS mix_copies FROM q"""
