@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, flac, gam, langid, pii
+from . import bpe, flac, gam, langid, pii, secret_scan, spelling
 from .mixing import mix
-from .oracles import mixing_sql
+from .oracles import mixing_sql, secrets_sql, spelling_sql
 from .repetition import repetition
 from .ring import shard_by_ring
+from .runs import periodic_runs
 from .shared import documents, held_out
 from .simhash import simhash_components
 from .suffix_dedup import repeated_spans
@@ -99,5 +100,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_budget", "mix_copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_simhash_golay, op3_pii, op4_ring_sharding, op5_byte_bpe, op6_repetition, op7_flac, op8_quality_gam, op9_language_id, op10_mixing)}
-ORACLES = {"op10_mixing": mixing_sql(MIX_WEIGHTS)}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(spelling.misspelt(spelling.runs(documents(spark, sf_dir), 7))))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan(documents(spark, sf_dir), ["doc_id"])
+    base, added = F.col("base_spans"), F.col("added_spans")
+    counts = [F.expr(f"CAST(size(filter(base_spans, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in secret_scan.BASE]
+    said = secret_scan.text_of
+    return rows.select("doc_id", *counts, F.sha2(said(base).cast("binary"), 256).alias("base_sha256"), said(secret_scan.by_start(base, added)).alias("spans"), F.size(added).cast("long").alias("n_added"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs(documents(spark, sf_dir).withColumn("seed", F.crc32(F.col("doc_id").cast("string").cast("binary"))), ["doc_id"], loop_by="seed")
+    return rows.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256", "n_words")
+
+
+_ALL = (
+    op1_suffix_dedup, op2_simhash_golay, op3_pii, op4_ring_sharding, op5_byte_bpe, op6_repetition, op7_flac, op8_quality_gam, op9_language_id, op10_mixing,
+    op11_spelling_variants, op12_secret_scan, op13_periodic_runs,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+ORACLES = {"op10_mixing": mixing_sql(MIX_WEIGHTS), "op11_spelling_variants": spelling_sql(), "op12_secret_scan": secrets_sql()}

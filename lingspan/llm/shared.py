@@ -76,7 +76,8 @@ def map_texts(docs: DataFrame, columns: list[str], text: str, fields: list[T.Str
     the lists of values of the fields. Batches are cut to ARROW_ROWS, a setting of the session, and to CHUNK_BYTES,
     which bounds a worker's memory."""
     few_rows_a_batch(docs.sparkSession)
-    kept = docs.select(*columns, docs[text].alias("_text"))
+    (read,) = free_names([*columns, *(f.name for f in fields)], "text")
+    kept = docs.select(*columns, docs[text].alias(read))
     n = len(columns)
     schema = T.StructType([*kept.schema.fields[:n], *fields])
 
