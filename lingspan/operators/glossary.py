@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lingspan.functions import text as X
 from lingspan.schema import CO_SOURCE_LANG, SOURCE_LANG, TAG_VOCABULARY, Glossary
+from lingspan.tables import materialize
 
 
 def normalize(glossary: Glossary) -> Glossary:
@@ -168,19 +169,33 @@ def checklist_totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("section").agg(F.count("*").alias("n"))
 
 
+def _words(text: str) -> Column:
+    return F.filter(F.split(F.lower(text), r"(?U)[^\w]+"), lambda w: w != "")
+
+
+def anchors(terms: DataFrame, words: DataFrame) -> DataFrame:
+    """terms (term, parts) and words (word, ...), a row for each text that has the word -> (term, word): of each term's words
+    the one that the fewest texts have, the first of equally rare ones. A term with a word that no text has is not in it."""
+    parts = terms.select("term", F.explode(F.array_distinct("parts")).alias("word"))
+    rare = words.groupBy("word").agg(F.count("*").alias("texts"))
+    ranked = parts.join(rare, "word", "left").groupBy("term").agg(F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "word")).alias("m"))
+    return ranked.where("m.texts > 0").select("term", "m.word")
+
+
 def hits(glossary: Glossary, values: DataFrame) -> DataFrame:
     """values (rec_id, lang, source, value) -> (rec_id, lang, term, kind): a frozen term that the value lacks (freeze), a
-    canonical rendering that it lacks (divergence), a forbidden term's rendering that it has (forbidden). Source texts
-    are cut into word n-grams of the lengths that the glossary's terms have, so terms meet them by equality."""
+    canonical rendering that it lacks (divergence), a forbidden term's rendering that it has (forbidden).
+
+    A term meets the texts that have its rarest word, and is then looked for in the whole text as a sequence of words. Only
+    words of the glossary leave the texts, each once a text; a long term costs no more than a short one."""
     g = normalize(glossary)
-    words = F.filter(F.split(F.lower("source"), r"(?U)[^\w]+"), lambda w: w != "")
-    parts = F.filter(F.split(F.lower("term"), r"(?U)[^\w]+"), lambda w: w != "")
-    terms = g.terms.select("term", "translatable", "forbidden", F.array_join(parts, " ").alias("gram"), F.size(parts).alias("n"))
-    lengths = terms.where("n > 0").select("n").distinct()
-    src = values.select("rec_id", "source").distinct().withColumn("w", words).join(F.broadcast(lengths), F.size("w") >= F.col("n"))
-    grams = F.transform(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1), lambda i: F.array_join(F.slice("w", i, F.col("n")), " "))
-    src = src.withColumn("gram", F.explode(F.array_distinct(grams)))
-    found = src.join(terms.drop("n"), "gram").select("rec_id", "term", "translatable", "forbidden")
+    terms = g.terms.select("term", "translatable", "forbidden", _words("term").alias("parts")).where(F.size("parts") > 0)
+    sources = values.select("rec_id", "source").distinct()
+    known = terms.select(F.explode("parts").alias("word")).distinct()
+    words = materialize(sources.select("rec_id", F.explode(F.array_distinct(_words("source"))).alias("word")).join(known, "word", "left_semi"), "words")
+    near = words.join(anchors(terms, words), "word").select("rec_id", "term").distinct()
+    padded = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
+    found = near.join(terms, "term").join(sources, "rec_id").where(padded(_words("source")).contains(padded(F.col("parts")))).select("rec_id", "term", "translatable", "forbidden")
     rows = values.join(found, "rec_id").join(g.texts.select("term", "lang", "text"), ["term", "lang"], "left")
     has = lambda c: F.lower("value").contains(F.lower(c))
     kind = (

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lingspan.functions import text as X
 from lingspan.operators.lint import live_keys, live_values
-from lingspan.operators.review import flat_text
+from lingspan.operators.reuse import source_texts
 from lingspan.schema import SOURCE_LANG, Corpus
 
 # Facts of languages and budgets by kind of text.
@@ -114,14 +114,14 @@ def key_name_grammar(corpus: Corpus) -> DataFrame:
 
 
 def reuse_candidates(corpus: Corpus) -> DataFrame:
-    """(text, n, keys, platforms): source texts that several keys have, by folded and stripped text."""
-    source = flat_text(corpus).where((F.col("lang") == SOURCE_LANG) & (F.col("text") != "")).select("rec_id", X.casefold(X.strip("text")).alias("text"))
-    rows = source.join(live_keys(corpus).select("rec_id", "key", "platforms"), "rec_id")
-    return rows.groupBy("text").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("key")).alias("keys"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("platforms")))).alias("platforms")).where("n > 1")
+    """(text, n, rec_id, key, platforms): keys whose source text, folded and stripped, n keys have, n over 1. A row a key."""
+    rows = source_texts(corpus)
+    counts = rows.groupBy("text").agg(F.count("*").alias("n")).where("n > 1")
+    return rows.join(counts, "text").select("text", "n", "rec_id", "key", "platforms")
 
 
 def platform_suggestions(corpus: Corpus, platform: str) -> DataFrame:
     """Keys whose source text another key already carries on the platform, which they lack."""
-    source = flat_text(corpus).where((F.col("lang") == SOURCE_LANG) & (F.col("text") != "")).select("rec_id", X.casefold(X.strip("text")).alias("text"))
-    rows = source.join(live_keys(corpus).select("rec_id", "key", X.has_platform("platforms", platform).alias("has")), "rec_id").withColumn("some", F.bool_or("has").over(Window.partitionBy("text")))
-    return rows.where("some AND NOT has").select("rec_id", "key", "text")
+    rows = source_texts(corpus).withColumn("has", X.has_platform("platforms", platform))
+    carried = rows.where("has").select("text").distinct()
+    return rows.where("NOT has").join(carried, "text", "left_semi").select("rec_id", "key", "text")

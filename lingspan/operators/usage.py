@@ -163,17 +163,18 @@ def context_summary(results: DataFrame) -> DataFrame:
 
 def family_register(keys: DataFrame) -> DataFrame:
     """keys (key, context) -> members without a register in families where others have one."""
-    family = Window.partitionBy("family")
     rows = keys.select("key", X.family_of("key").alias("family"), has_register(F.coalesce("context", F.lit(""))).alias("r"))
-    rows = rows.withColumns({"with_register": F.count_if("r").over(family), "without_register": F.count_if(~F.col("r")).over(family)})
-    return rows.where("NOT r AND with_register > 0").select("key", "family", "with_register", "without_register")
+    counts = rows.groupBy("family").agg(F.count_if("r").alias("with_register"), F.count_if(~F.col("r")).alias("without_register")).where("with_register > 0")
+    return rows.where("NOT r").join(counts, "family").select("key", "family", "with_register", "without_register")
 
 
 def shared_boilerplate(keys: DataFrame, least: int = 3) -> DataFrame:
-    """(family, line, n, keys): Surface and Constraints lines of over 25 characters in `least` keys of a family or more."""
+    """(family, line, n, key): Surface and Constraints lines of over 25 characters that occur `least` times in a family or
+    more. A row a member."""
     lines = keys.select("key", X.family_of("key").alias("family"), F.explode(F.split("context", r"\r?\n")).alias("line")).withColumn("line", X.strip("line"))
     lines = lines.where((F.col("line").startswith("Surface:") | F.col("line").startswith("Constraints:")) & (F.char_length("line") > 25))
-    return lines.groupBy("family", "line").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("key")).alias("keys")).where(F.col("n") >= least)
+    counts = lines.groupBy("family", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return lines.join(counts, ["family", "line"]).select("family", "line", "n", "key")
 
 
 # Usage scan

@@ -44,12 +44,13 @@ def _file_of(platform: str, file: Column) -> Column:
 
 
 def bundle_entries(corpus: Corpus, platform: str) -> DataFrame:
-    """(platform, file, lang, key, value): keys of the platform in every language; a blank value falls back to the source."""
+    """(platform, file, lang, key, value): keys of the platform in every language; a blank value falls back to the source. A key that
+    has names by platform, but none for this one, is left out."""
     p = PLATFORM_OF[platform]
     keys = corpus.keys.where(X.has_platform("platforms", p) & ~F.coalesce("archived", F.lit(False)))
     name = F.coalesce(F.try_element_at("key_by_platform", F.lit(p)), F.col("key_name"))
     file = F.coalesce(F.nullif(F.try_element_at("filenames", F.lit(p)), F.lit("")), F.lit("Localizable.strings"))
-    keys = keys.select("rec_id", name.alias("key"), file.alias("f"))
+    keys = keys.select("rec_id", name.alias("key"), file.alias("f")).where("key IS NOT NULL")
     texts = flat_text(corpus).select("rec_id", "lang", "text")
     source = texts.where(F.col("lang") == SOURCE_LANG).select("rec_id", F.col("text").alias("source"))
     plan = export_plan(corpus.translations.select("lang"), platform)
@@ -59,8 +60,8 @@ def bundle_entries(corpus: Corpus, platform: str) -> DataFrame:
     return rows.select(F.lit(platform).alias("platform"), _file_of(platform, F.col("f")).alias("file"), "lang", "key", convert_placeholders(value, platform).alias("value"))
 
 
-def render_bundle(corpus: Corpus, platform: str) -> DataFrame:
-    """(platform, rel_path, text): files with their entries from A to Z. A file holds one language of one platform's keys."""
+def _entry_lines(corpus: Corpus, platform: str) -> tuple[DataFrame, tuple[str, str, str]]:
+    """(platform, file, key, line) of the entries, and what stands before, between and after a file's."""
     json_text = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
     xml_text = F.replace(F.replace(F.replace(F.replace("value", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("'"), F.lit("\\'")), F.lit('"'), F.lit('\\"'))
     line = {
@@ -68,11 +69,42 @@ def render_bundle(corpus: Corpus, platform: str) -> DataFrame:
         "android": F.concat(F.lit('    <string name="'), "key", F.lit('">'), xml_text, F.lit("</string>")),
         "server": F.concat(F.lit("  "), json_text(F.col("key")), F.lit(": "), json_text(F.col("value"))),
     }[platform]
-    head, between, tail = {"ios": ("", "\n", "\n"), "android": ('<?xml version="1.0" encoding="utf-8"?>\n<resources>\n', "\n", "\n</resources>\n"), "server": ("{\n", ",\n", "\n}\n")}[platform]
-    rows = bundle_entries(corpus, platform).groupBy("platform", "file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key", line.alias("line")))), lambda x: x["line"]), between).alias("body"))
+    around = {"ios": ("", "\n", "\n"), "android": ('<?xml version="1.0" encoding="utf-8"?>\n<resources>\n', "\n", "\n</resources>\n"), "server": ("{\n", ",\n", "\n}\n")}[platform]
+    return bundle_entries(corpus, platform).select("platform", "file", "key", line.alias("line")), around
+
+
+def render_bundle(corpus: Corpus, platform: str) -> DataFrame:
+    """(platform, rel_path, text): files with their entries from A to Z. A file holds one language of one platform's keys, and is
+    one value here; `write_bundle_parts` writes bundles whose files are too large for that."""
+    lines, (head, between, tail) = _entry_lines(corpus, platform)
+    rows = lines.groupBy("platform", "file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key", "line"))), lambda x: x["line"]), between).alias("body"))
     return rows.select("platform", F.col("file").alias("rel_path"), F.concat(F.lit(head), "body", F.lit(tail)).alias("text"))
 
 
+def bundle_pieces(corpus: Corpus, platform: str) -> DataFrame:
+    """(platform, rel_path, key, nth, text): a row an entry. In the order of key and nth, with a line end after each, the texts of a
+    file are the file: the first carries what comes before the entries, the last what comes after. First and last are
+    found by an aggregation that a shuffle combines, not by an order of whole files; entries of one key and one line, which
+    are equal, are told apart by `nth`, counted within such a group."""
+    lines, (head, between, tail) = _entry_lines(corpus, platform)
+    same = lines.groupBy("platform", "file", "key", "line").agg(F.count("*").alias("times"))
+    ends = same.groupBy("platform", "file").agg(F.min(F.struct("key", "line")).alias("first"), F.max(F.struct("key", "line")).alias("last"))
+    here = F.struct("key", "line")
+    rows = same.join(ends, ["platform", "file"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    opened = F.when((here == F.col("first")) & (F.col("copy") == 1), F.lit(head)).otherwise(F.lit(""))
+    closed = F.when((here == F.col("last")) & (F.col("copy") == F.col("times")), F.lit(tail.removesuffix("\n"))).otherwise(F.lit(between.removesuffix("\n")))
+    return rows.select("platform", F.col("file").alias("rel_path"), "key", F.struct("line", "copy").alias("nth"), F.concat(opened, "line", closed).alias("text"))
+
+
+def write_bundle_parts(corpus: Corpus, platform: str, path: str, parts: int | None = None) -> None:
+    """The bundle as text parts under platform=/file=: ranges of (file, key), so a file of any size is written by many tasks and
+    its parts, joined in the order of their names, are its text. Reading a part again gives back no other file's lines."""
+    order = ["rel_path", "key", "nth"]
+    rows = bundle_pieces(corpus, platform)
+    dealt = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).select("platform", F.col("rel_path").alias("file"), F.col("text").alias("value")).write.partitionBy("platform", "file").text(path)
+
+
 def diff_set(expected: DataFrame, produced: DataFrame, column: str) -> DataFrame:
     """(column, side): missing or unexpected."""
     a, b = expected.select(column).distinct(), produced.select(column).distinct()

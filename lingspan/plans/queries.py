@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lingspan.functions import text as X
-from lingspan.operators import edits, glossary, lint, review, rules, usage
+from lingspan.operators import edits, glossary, lint, reuse, review, rules, usage
 from lingspan.plans import bundles, sync
 from lingspan.plans.derived import KEYS_SQL, TRANSLATIONS_SQL, derived_corpus, table
 from lingspan.schema import Glossary
@@ -283,6 +283,12 @@ def push_plan(spark, sf_dir):
     return updates.select("key_id", F.explode("translations").alias("t")).select("key_id", F.col("t.language_iso").alias("lang"), F.col("t.translation").alias("sent"), F.col("t.is_unverified").alias("is_unverified"))
 
 
+@query(WITH + """, u AS (SELECT 'update' AS action, key_id, CAST(key_id AS VARCHAR) AS label, string_agg(lang, ',' ORDER BY lang) AS detail FROM tr WHERE dirty GROUP BY key_id), n AS (SELECT *, row_number() OVER (ORDER BY key_id) AS nth, count(*) OVER () AS c FROM u)
+SELECT action, CAST(nth AS INTEGER) AS nth, label, detail, greatest(c - 3, 0) AS rest FROM n WHERE nth <= 3""")
+def push_preview(spark, sf_dir):
+    return sync.preview(*sync.push_plan(derived_corpus(spark, sf_dir)))
+
+
 def _sent_and_stored(spark: SparkSession, sf_dir: str):
     c = derived_corpus(spark, sf_dir)
     sent = sync.sent_values(sync.push_plan(c)[0])
@@ -414,10 +420,9 @@ def family_register(spark, sf_dir):
     return usage.family_register(lint.live_keys(derived_corpus(spark, sf_dir)))
 
 
-@query(WITH + FAMILY + """, l AS (SELECT key, family, trim(unnest(string_split(context, chr(10)))) AS line FROM f) SELECT family, line, count(*) AS n, string_agg(key, ',' ORDER BY key) AS keys FROM l WHERE (starts_with(line, 'Surface:') OR starts_with(line, 'Constraints:')) AND length(line) > 25 GROUP BY ALL HAVING count(*) >= 3""")
+@query(WITH + FAMILY + """, l AS (SELECT key, family, trim(unnest(string_split(context, chr(10)))) AS line FROM f), m AS (SELECT *, count(*) OVER (PARTITION BY family, line) AS n FROM l WHERE (starts_with(line, 'Surface:') OR starts_with(line, 'Constraints:')) AND length(line) > 25) SELECT family, line, n, key FROM m WHERE n >= 3""")
 def shared_boilerplate(spark, sf_dir):
-    rows = usage.shared_boilerplate(lint.live_keys(derived_corpus(spark, sf_dir)))
-    return rows.select("family", "line", "n", F.array_join("keys", ",").alias("keys"))
+    return usage.shared_boilerplate(lint.live_keys(derived_corpus(spark, sf_dir)))
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -476,9 +481,27 @@ def bundle_diff(spark, sf_dir):
     return bundles.diff_set(c.where("role = 'user'"), c.where("role <> 'user'"), "text").select(F.md5("text").alias("h"), "side")
 
 
-@query(WITH + """, s AS (SELECT replace(lower(upper(bare)), 'ß', 'ss') AS text, key, platforms_csv FROM fl WHERE lang = 'en' AND value <> '') SELECT text, count(*) AS n, string_agg(key, ',' ORDER BY key) AS keys FROM s GROUP BY text HAVING count(*) > 1""")
+SOURCES = """, s AS (SELECT replace(lower(upper(bare)), 'ß', 'ss') AS text, key, rec_id, platforms_csv FROM fl WHERE lang = 'en' AND value <> '')"""
+
+
+@query(WITH + SOURCES + "SELECT text, n, rec_id, key FROM (SELECT *, count(*) OVER (PARTITION BY text) AS n FROM s) WHERE n > 1")
 def reuse_candidates(spark, sf_dir):
-    return rules.reuse_candidates(derived_corpus(spark, sf_dir)).select("text", "n", F.array_join("keys", ",").alias("keys"))
+    return rules.reuse_candidates(derived_corpus(spark, sf_dir)).select("text", "n", "rec_id", "key")
+
+
+@query(WITH + SOURCES + "SELECT rec_id, key, md5(text) AS h FROM s WHERE platforms_csv <> '' AND NOT contains(platforms_csv, 'android') AND text IN (SELECT text FROM s WHERE platforms_csv = '' OR contains(platforms_csv, 'android'))")
+def platform_suggestions(spark, sf_dir):
+    return rules.platform_suggestions(derived_corpus(spark, sf_dir), "android").select("rec_id", "key", F.md5("text").alias("h"))
+
+
+@query(WITH.replace("WITH ", "WITH RECURSIVE ", 1) + SOURCES + """, d AS MATERIALIZED (SELECT md5(text) AS id, list_distinct(list_transform(range(1, greatest(length(text) - 3, 1) + 1), lambda i: substr(text, i, 4))) AS g FROM (SELECT DISTINCT text FROM s)),
+c AS (SELECT a.id AS a, b.id AS b, len(list_intersect(a.g, b.g)) AS i, len(a.g) + len(b.g) AS u FROM d a JOIN d b ON a.id < b.id AND 5 * least(len(a.g), len(b.g)) >= 4 * greatest(len(a.g), len(b.g))),
+e AS MATERIALIZED (SELECT a, b FROM c WHERE 5 * i >= 4 * (u - i)), e2 AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT id, id AS at_ FROM d UNION SELECT reach.id, e2.b FROM reach JOIN e2 ON reach.at_ = e2.a), r AS (SELECT id, min(at_) AS grp FROM reach GROUP BY id),
+m AS (SELECT grp, rec_id, key, id FROM s JOIN r ON md5(text) = id), n AS (SELECT grp, count(*) AS n_keys, count(DISTINCT id) AS n_texts FROM m GROUP BY grp HAVING count(*) > 1)
+SELECT grp AS "group", rec_id, key, id AS text_id, n_keys, n_texts FROM m JOIN n USING (grp)""")
+def near_reuse(spark, sf_dir):
+    return reuse.near_reuse(derived_corpus(spark, sf_dir))
 
 
 @query(WITH + """SELECT concat('id:', key_id) AS rec_id, lang, 'hard-break' AS code, '\\n' AS token FROM lv WHERE contains(value, chr(10)) OR contains(value, '\\n')""")

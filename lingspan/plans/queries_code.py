@@ -158,12 +158,36 @@ v AS (SELECT ks.key, l.lang, coalesce(nullif(ft.text, ''), en.text, '') AS v FRO
 """
 
 
-@query(FORMS + ANDROID + f"""SELECT 'android' AS platform, CASE lang WHEN 'en' THEN 'values/strings.xml' WHEN 'id' THEN 'values-in/strings.xml' ELSE concat('values-', lang, '/strings.xml') END AS rel_path, concat('<?xml version="1.0" encoding="utf-8"?>', chr(10), '<resources>', chr(10),
-string_agg(concat('    <string name="', key, '">', replace(replace(replace(replace({CONVERT.format('v')}, '&', '&amp;'), '<', '&lt;'), '''', '\\'''), '"', '\\"'), '</string>'), chr(10) ORDER BY key), chr(10), '</resources>', chr(10)) AS text FROM v GROUP BY lang""")
+def _entries(platform: str, name: str, has: str) -> str:
+    return ANDROID.replace("SELECT key_id, coalesce(name_android, key_name) AS key", f"SELECT key_id, coalesce({name}, key_name) AS key, coalesce(file_ios, 'Localizable.strings') AS file").replace("'android'", f"'{has}'").replace("SELECT ks.key, l.lang", "SELECT ks.key, ks.file, l.lang")
+
+
+CONVERT_IOS = CONVERT.replace("'%\\1s'", "'%\\1@'").replace("'%\\1d'", "'%\\1li'").format("v")
+CONVERT_SERVER = CONVERT.replace("'%%'", "'%'").format("v")
+#: The rendered files of a platform: common tables, and a query over them.
+RENDERED = {
+    "android": (FORMS + ANDROID, f"""SELECT 'android' AS platform, CASE lang WHEN 'en' THEN 'values/strings.xml' WHEN 'id' THEN 'values-in/strings.xml' ELSE concat('values-', lang, '/strings.xml') END AS rel_path, concat('<?xml version="1.0" encoding="utf-8"?>', chr(10), '<resources>', chr(10),
+string_agg(concat('    <string name="', key, '">', replace(replace(replace(replace({CONVERT.format('v')}, '&', '&amp;'), '<', '&lt;'), '''', '\\'''), '"', '\\"'), '</string>'), chr(10) ORDER BY key), chr(10), '</resources>', chr(10)) AS text FROM v GROUP BY lang"""),
+    "ios": (FORMS + _entries("ios", "name_ios", "ios"), f"""SELECT 'ios' AS platform, concat(lang, '.lproj/', file) AS rel_path, concat(string_agg(concat(CAST(to_json(key) AS VARCHAR), ' = ', CAST(to_json({CONVERT_IOS}) AS VARCHAR), ';'), chr(10) ORDER BY key), chr(10)) AS text FROM v GROUP BY lang, file"""),
+    "server": (FORMS + _entries("server", "NULL", "other"), f"""SELECT 'server' AS platform, concat(lang, '.json') AS rel_path, concat(chr(123), chr(10), string_agg(concat('  ', CAST(to_json(key) AS VARCHAR), ': ', CAST(to_json({CONVERT_SERVER}) AS VARCHAR)), concat(',', chr(10)) ORDER BY key), chr(10), chr(125), chr(10)) AS text FROM v WHERE key IS NOT NULL GROUP BY lang"""),
+}
+
+
+@query("".join(RENDERED["android"]))
 def render_android(spark, sf_dir):
     return bundles.render_bundle(forms_corpus(spark, sf_dir), "android")
 
 
+@query("".join(RENDERED["ios"]))
+def render_ios(spark, sf_dir):
+    return bundles.render_bundle(forms_corpus(spark, sf_dir), "ios")
+
+
+@query("".join(RENDERED["server"]))
+def render_server(spark, sf_dir):
+    return bundles.render_bundle(forms_corpus(spark, sf_dir), "server")
+
+
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("page_id")
     path = F.concat(_one_of(k, 4, F.lit("en"), F.lit("de"), F.lit("fr"), F.lit("xx")), F.lit(".lproj/F"), F.floor(k / 4).cast("string"), F.lit(".strings"))

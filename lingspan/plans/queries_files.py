@@ -12,11 +12,11 @@ from lingspan.plans import bundles, sync
 from lingspan.plans.derived import table
 from lingspan.plans.forms import forms_corpus
 from lingspan.plans.queries import G, MERGED, _glossary, _passes, query
-from lingspan.plans.queries_code import ANDROID
+from lingspan.plans.queries_code import ANDROID, RENDERED
 from lingspan.plans.queries_forms import FORMS
 from lingspan.schema import Glossary
 from lingspan.sources import corpus as corpora
-from lingspan.sources import dumps
+from lingspan.sources import dumps, lines, versions
 from lingspan.tables import shared_dir
 
 
@@ -243,3 +243,64 @@ def plan_chunks(spark, sf_dir):
 @query(G + "SELECT DISTINCT 'de' AS lang FROM x")
 def glossary_langs_without_id(spark, sf_dir):
     return glossary.missing_lang_ids(_glossary(spark, sf_dir), spark.createDataFrame([("fr", 641)], "lang string, lang_id bigint"))
+
+
+# Files of any size
+
+
+def _parts_of(spark: SparkSession, sf_dir: str, platform: str) -> DataFrame:
+    """A bundle written in ranges, its parts joined again in the order of their names: (platform, rel_path, chars, h)."""
+    path = _folder(spark, "parts")
+    bundles.write_bundle_parts(forms_corpus(spark, sf_dir), platform, path)
+    parts = spark.read.text(path, wholetext=True).select("platform", F.col("file").alias("rel_path"), F.struct(F.col("_metadata.file_name").alias("name"), "value").alias("part"))
+    whole = parts.groupBy("platform", "rel_path").agg(F.array_join(F.transform(F.array_sort(F.collect_list("part")), lambda p: p["value"]), "").alias("text"))
+    return whole.select("platform", "rel_path", F.char_length("text").cast("bigint").alias("chars"), F.md5("text").alias("h"))
+
+
+def _sums(platform: str) -> str:
+    tables, files = RENDERED[platform]
+    return f"{tables} SELECT platform, rel_path, length(text) AS chars, md5(text) AS h FROM ({files})"
+
+
+@query(_sums("android"))
+def bundle_parts_android(spark, sf_dir):
+    return _parts_of(spark, sf_dir, "android")
+
+
+@query(_sums("ios"))
+def bundle_parts_ios(spark, sf_dir):
+    return _parts_of(spark, sf_dir, "ios")
+
+
+@query(_sums("server"))
+def bundle_parts_server(spark, sf_dir):
+    return _parts_of(spark, sf_dir, "server")
+
+
+@query("""WITH l AS (SELECT CAST(floor(p_partkey / 50) AS BIGINT) AS g, row_number() OVER (PARTITION BY floor(p_partkey / 50) ORDER BY p_partkey) AS lineno, p_partkey, p_name FROM part)
+SELECT g, lineno, CASE WHEN p_partkey % 7 = 3 THEN concat('{"key": ', p_name) ELSE concat('"', p_name, '"') END AS line FROM l WHERE p_partkey % 7 = 3 OR p_partkey % 11 = 6""")
+def bad_line_numbers(spark, sf_dir):
+    k, g = F.col("p_partkey"), F.floor(F.col("p_partkey") / 50).alias("g")
+    line = F.when(k % 7 == 3, F.concat(F.lit('{"key": '), "p_name")).when(k % 11 == 6, F.concat(F.lit('"'), "p_name", F.lit('"'))).when(k % 5 == 2, "  ").otherwise(F.concat(F.lit('{"key": "'), "p_name", F.lit('"}')))
+    rows = table(spark, sf_dir, "part").select(g, k, line.alias("value")).repartition("g").sortWithinPartitions("g", "p_partkey").select("g", "value")
+    bad = corpora.bad_lines(spark, _files(rows, "lines", "g"))
+    return bad.select(F.regexp_extract("path", r"/g=(\d+)/", 1).cast("bigint").alias("g"), "lineno", "line")
+
+
+@query("""WITH l AS (SELECT page_id, string_split(html, chr(10)) AS ls FROM pages), n AS (SELECT page_id, CAST(unnest(range(1, len(ls) + 1)) AS BIGINT) AS lineno, ls FROM l) SELECT page_id, lineno, md5(ls[lineno]) AS h FROM n""")
+def file_line_numbers(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("value"))
+    found = lines.numbered_lines(spark, _files(rows, "pages", "page_id"))
+    return found.select(F.regexp_extract("path", r"/page_id=(\d+)/", 1).cast("bigint").alias("page_id"), "lineno", F.md5("line").alias("h"))
+
+
+@query("""WITH v AS (SELECT 2 AS number, 'thirds' AS note, 3 AS m UNION ALL SELECT 3, 'restored 1', 2) SELECT number, note, p_partkey AS key_id, p_name AS name FROM v JOIN part ON p_partkey % m = 0""")
+def version_rows(spark, sf_dir):
+    """Four versions: all parts, each second, each third, the second again; the newest two are kept."""
+    base, parts = _folder(spark, "versions"), table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key_id"), F.col("p_name").alias("name"))
+    for number, (step, note) in enumerate(((1, "all"), (2, "halves"), (3, "thirds"))):
+        versions.publish(parts.where(F.col("key_id") % step == 0), base, number - 1, note)
+    versions.restore(spark, base, 1, 2)
+    versions.retain(spark, base, 2)
+    kept = [versions.read_version(spark, base, v.number).select(F.lit(v.number).alias("number"), F.lit(v.note).alias("note"), "key_id", "name") for v in versions.history(spark, base)]
+    return kept[0].unionAll(kept[1])

@@ -76,6 +76,20 @@ def push_plan(corpus: Corpus, langs: list[str] | None = None, keys: list[str] |
     return updates, creates, meta
 
 
+def preview(updates: DataFrame, creates: DataFrame, meta: DataFrame, shown: int = 3) -> DataFrame:
+    """push_plan's tables -> (action, nth, label, detail, rest): the first `shown` of each action, keys by id, new keys by name, with
+    their languages or fields, and how many more there are. Only the shown rows of each part of a plan are ordered
+    together; an action without rows has none."""
+    langs = F.array_join(F.transform("translations", lambda t: t["language_iso"]), ",")
+    by_id = F.col("key_id").cast("string")
+    said = lambda rows, action, ord_, label, detail: rows.select(F.lit(action).alias("action"), ord_.alias("ord"), label.alias("label"), detail.alias("detail"))
+    rows = said(updates, "update", F.col("key_id"), by_id, langs).unionAll(said(creates, "create", F.lit(0).cast("long"), F.col("key_name"), langs))
+    rows = rows.unionAll(said(meta, "update-meta", F.col("key_id"), by_id, F.array_join(F.array_sort("fields"), ",")))
+    counts = rows.groupBy("action").agg(F.count("*").alias("n"))
+    first = rows.withColumn("nth", F.row_number().over(Window.partitionBy("action").orderBy("ord", "label", "detail"))).where(F.col("nth") <= shown)
+    return first.join(counts, "action").select("action", "nth", "label", "detail", F.greatest(F.col("n") - shown, F.lit(0)).alias("rest"))
+
+
 def chunks(plan: DataFrame, size: int = CHUNK, buckets: int = 64) -> DataFrame:
     """plan plus bucket and chunk: at most `size` rows share a (bucket, chunk)."""
     rows = plan.withColumn("bucket", F.pmod(F.xxhash64("rec_id"), F.lit(buckets)).cast("int"))

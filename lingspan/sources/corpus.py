@@ -10,6 +10,7 @@ from lingspan.functions import text as X
 from lingspan.operators.glossary import glossary_order, normalize
 from lingspan.operators.review import numbered
 from lingspan.schema import DEFAULT_LANGUAGES, PLURAL_FORMS, SOURCE_LANG, CO_SOURCE_LANG, Corpus, Glossary
+from lingspan.sources.lines import placed_lines, with_line_numbers
 
 _LINE = (
     "key_id bigint, key string, platforms array<string>, plural boolean, filenames map<string,string>, context string, char_limit int, archived boolean, "
@@ -21,19 +22,27 @@ _TERM = (
 )
 
 
-def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """(path, lineno, line, r): parsed lines that aren't blank. A line that is no JSON object makes the read fail, with
-    its file and number, when the row is used."""
-    files = spark.read.text(path, wholetext=False).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"))
-    rows = files.where(F.trim("line") != "").withColumn("r", F.from_json("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
-    bad = (F.trim("line") != "") & (F.col("r._bad").isNotNull() | ~F.col("line").rlike(r"^\s*\{"))
-    said = F.concat(F.lit("no JSON object in "), "path", F.lit(": "), F.substring("line", 1, 80))
-    return rows.withColumn("r", F.when(bad, F.raise_error(said).cast(rows.schema["r"].dataType)).otherwise(F.col("r")))
+def _parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """Lines that aren't blank, with their object `r` and whether they are none."""
+    rows = lines.where(F.trim("line") != "").withColumn("r", F.from_json("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    return rows.withColumn("bad", F.col("r._bad").isNotNull() | ~F.col("line").rlike(r"^\s*\{"))
 
 
 def bad_lines(spark: SparkSession, path: str, schema: str = _LINE) -> DataFrame:
-    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")).where(F.trim("value") != "")
-    return rows.withColumn("r", F.from_json("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})).where(F.col("r._bad").isNotNull() | ~F.col("line").rlike(r"^\s*\{")).select("path", "line")
+    """(path, line, lineno) of lines that are no JSON objects."""
+    lines = placed_lines(spark, path)
+    return with_line_numbers(_parsed(lines, schema).where("bad").select("path", "split", "at", "line"), lines)
+
+
+def json_lines(spark: SparkSession, path: str, schema: str, shown: int = 5) -> DataFrame:
+    """(path, at, line, r): parsed lines that aren't blank, in the order of `at` within a file. The files are checked first, in
+    a pass of its own: a line that is no JSON object is an error that names the file and number of `shown` such lines."""
+    lines = placed_lines(spark, path)
+    rows = _parsed(lines, schema)
+    if not rows.where("bad").isEmpty():
+        some = bad_lines(spark, path, schema).orderBy("path", "lineno").limit(shown).collect()
+        raise ValueError("no JSON object in " + "; ".join(f"{r['path']}:{r['lineno']}: {r['line'][:80]}" for r in some))
+    return rows.select("path", "at", "line", "r")
 
 
 def read_corpus(spark: SparkSession, path: str) -> Corpus:
@@ -100,7 +109,8 @@ def write_corpus(corpus: Corpus, path: str) -> None:
 
 
 def write_versioned(df: DataFrame, base: str, version: str, retain: int = 20) -> list[str]:
-    """Writes base/v=<version> and names the versions beyond the newest `retain`; nothing is overwritten."""
+    """Writes base/v=<version> and names the versions beyond the newest `retain`; nothing is overwritten. One writer names its
+    versions here; `lingspan.sources.versions` publishes those of several."""
     df.write.parquet(f"{base}/v={version}")
     return expired_versions(df.sparkSession, base, retain)
 
