@@ -103,7 +103,8 @@ class Scorer(dict):
         """Rows for new pieces: the sum of their words' means, and the number of words."""
         at, to, of, weight = len(self), [], [], []
         for row, piece in enumerate(pieces, at):
-            words = [piece.lower()] if piece.isalpha() else _letters(piece.lower())
+            low = piece.lower()  # first: a letter may become a letter and a mark
+            words = [low] if low.isalpha() else _letters(low)
             self[piece] = row
             self.rows[row, -1] = len(words)
             for w in words:

@@ -83,11 +83,15 @@ def budgets(leaves: DataFrame, weights: dict[str, dict[str, int]], share: tuple[
 def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], share: tuple[int, int] = (3, 5), max_epochs: int = 4, seed: int = 7) -> DataFrame:
     """docs plus mix_domain, mix_lang, mix_source, mix_tokens, mix_budget (the leaf's) and mix_copies (0: not taken).
 
-    Columns of docs whose names start with mix_ are replaced."""
+    Columns of docs with the result's names are replaced, all others stay."""
     none = F.lit("none")
-    keep = [c for c in docs.columns if not c.startswith("mix_")]
+    keep = [c for c in docs.columns if c not in RESULT]
+    aside = dict(zip(keep, free_names([*keep, *RESULT], *(f"kept_{i}" for i in range(len(keep))))))  # the steps' own names start with mix_
     who = F.coalesce(F.col("doc_id").cast("string"), F.concat(none, F.md5(F.coalesce("text", F.lit("")))))  # before any shuffle, so texts that are not kept stay out of it
-    rows = docs.select(*keep, F.coalesce(domain, none).alias("mix_domain"), F.coalesce("lang", none).alias("mix_lang"), F.coalesce("source", none).alias("mix_source"), estimated_tokens().alias("mix_tokens"), who.alias("mix_who"))
+    rows = docs.select(
+        *[F.col(c).alias(a) for c, a in aside.items()], F.coalesce(domain, none).alias("mix_domain"), F.coalesce("lang", none).alias("mix_lang"), F.coalesce("source", none).alias("mix_source"),
+        estimated_tokens().alias("mix_tokens"), who.alias("mix_who"),
+    )
     leaves = rows.groupBy(*LEVELS).agg(F.sum("mix_tokens").alias("tokens"))
     plan = budgets(leaves, weights, share, max_epochs).select(
         *LEVELS, F.col("leaf_budget").alias("mix_budget"),
@@ -103,12 +107,13 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], sha
     inside = Window.partitionBy(*LEVELS, "mix_slice").orderBy("mix_order", "mix_tokens").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.join(cut, [*LEVELS, "mix_slice"]).withColumn("mix_upto", F.col("mix_base") + F.sum("mix_tokens").over(inside))
     copies = F.col("mix_epochs") + F.when((F.col("mix_part") > 0) & (F.col("mix_upto") <= F.col("mix_part")), 1).otherwise(0)
-    return rows.select(*keep, *LEVELS, "mix_tokens", "mix_budget", copies.cast("long").alias("mix_copies"))
+    return rows.select(*[F.col(a).alias(c) for c, a in aside.items()], *LEVELS, "mix_tokens", "mix_budget", copies.cast("long").alias("mix_copies"))
 
 
 def mixture(docs: DataFrame, *args, **kwargs) -> DataFrame:
     """The chosen documents themselves, a row for each copy, with the input's columns only."""
-    aside = {c: f"kept_{i}_{c}" for i, c in enumerate(docs.columns) if c.startswith("mix_")}
-    chosen = mix(docs.withColumnsRenamed(aside), *args, **kwargs).where("mix_copies > 0")
-    copies = chosen.select("*", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias("mix_copy"))
+    aside = dict(zip(RESULT, free_names([*docs.columns, *RESULT], *(f"kept_{c}" for c in RESULT))))
+    chosen = mix(docs.withColumns({a: F.col(c) for c, a in aside.items() if c in docs.columns}), *args, **kwargs).where("mix_copies > 0")
+    (copy,) = free_names(chosen.columns, "copy")
+    copies = chosen.select("*", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))).alias(copy))
     return copies.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])

@@ -149,10 +149,14 @@ def describe(docs: DataFrame, columns: list[str], common: np.ndarray, text: str
 
 
 def _told_apart(rows: DataFrame) -> DataFrame:
-    """rows with the other half of the hash as node where different words have equal halves; a handful, if any: about
-    n * n / 2 ** 65 of n texts."""
-    twice = [x["node"] for x in rows.groupBy("node").agg((F.min("check") < F.max("check")).alias("clash")).where("clash").select("node").limit(1000).collect()]
-    return rows.withColumn("node", F.when(F.col("node").isin(twice), F.col("check")).otherwise(F.col("node"))) if twice else rows
+    """rows with the other half of the hash as node where different words have equal halves: about n * n / 2 ** 65 of n texts.
+    Such nodes are written, and rows meet them only if there are any."""
+    twice = rows.groupBy("node").agg((F.min("check") < F.max("check")).alias("clash")).where("clash").select("node")
+    twice = materialize(twice.withColumn("twice", F.lit(True)), "clashes")
+    if twice.isEmpty():
+        return rows
+    met = rows.join(twice, "node", "left")
+    return met.withColumn("node", F.when(F.col("twice"), F.col("check")).otherwise(F.col("node"))).select(rows.columns)
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
