@@ -20,9 +20,12 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .shared import free_names
+
 #: Hex digits of the order hash that make a slice: 16 ** 3 slices a leaf.
 SLICE_DIGITS = 3
 LEVELS = ("mix_domain", "mix_lang", "mix_source")
+RESULT = (*LEVELS, "mix_tokens", "mix_budget", "mix_copies")
 
 
 def estimated_tokens(text: str = "text") -> Column:
