@@ -293,6 +293,22 @@ def test_ring_against_a_walk(spark):
         assert sorted(x["slot"] for x in mine) == list(range(len(mine))) and sum(x["size"] for x in mine) <= bound + max(loads.values())
 
 
+@pytest.mark.parametrize("kind", ["texts", "copies"])
+def test_ring_splits_a_hot_key(spark, kind):
+    """A third of the rows under one key, with texts of their own or all with one text."""
+    r = random.Random(8)
+    rows = [(5, "y" * r.randint(1, 400) if kind == "texts" else "y" * 200) if i % 3 == 0 else (i, "x" * r.randint(1, 400)) for i in range(12_000)]
+    got = ring.shard_by_ring(spark.createDataFrame(rows, "doc_id long, text string"), 16).collect()
+    bytes_of, slots = defaultdict(int), defaultdict(list)
+    for x in got:
+        bytes_of[x["shard"]] += x["size"]
+        slots[x["shard"]].append(x["slot"])
+    mean = sum(bytes_of.values()) / 16
+    assert len(got) == len(rows) and len(bytes_of) == 16 and Counter((x["doc_id"], x["text"]) for x in got) == Counter(rows)
+    assert all(0.95 * mean <= b <= 1.05 * mean for b in bytes_of.values()), {s: b / mean for s, b in bytes_of.items()}
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
 def test_ring_is_native(spark, odd):
     assert "Python" not in ring.shard_by_ring(odd)._jdf.queryExecution().executedPlan().toString()
 
