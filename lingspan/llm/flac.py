@@ -1,10 +1,11 @@
 """FLAC: 8-bit mono streams from texts, and seekable PCM blocks back from streams.
 
-The decoder reads frames side by side. A stream's seek table says where its frames start; without one they are found by
-their headers: sync code, next frame number, CRC-8. So the frames of many streams are lanes of one numpy loop over the
+The decoder reads frames side by side. A stream's seek table says where frames start; those between its points, or all
+without a table, are found by their headers: sync code, next frame or sample number, CRC-8, and the CRC-16 of the frame
+before. So the frames of many streams are lanes of one numpy loop over the
 sample index: each step takes a Rice code from every lane's bit position (leading zeros from a float's exponent, then
 the low bits), adds the linear predictor's forecast from the lane's last samples, and moves on. Both Rice methods,
-escaped partitions and quotients of any length are read. CRC-8 of every frame header and CRC-16 of every frame are
+escaped partitions, quotients of any length, blocks of any sizes and wasted bits are read. CRC-8 of every frame header and CRC-16 of every frame are
 verified the same way, as is the MD5 of all samples. Fixed predictors are linear predictors with given coefficients. The
 encoder takes, for each frame, the best of fixed predictors of order 0 to 2 and a linear one of order LPC_ORDER.
 
@@ -198,35 +199,46 @@ def encode(payloads: list[bytes]) -> list[bytes]:
     return out
 
 
-def _frame_at(raw: bytes, i: int) -> tuple[int, int, int] | None:
-    """Number, samples and header length of the frame that starts at i, if a whole header with the right CRC-8 does."""
-    if len(raw) < i + 6 or raw[i] != 0xFF or raw[i + 1] != 0xF8 or raw[i + 3] != 0x02:
+def _frame_at(raw: bytes, i: int) -> tuple[bool, int, int, int] | None:
+    """Of the frame that starts at i, if a whole mono header with the right CRC-8 does: whether it is numbered by samples, its
+    number, samples and header length."""
+    if len(raw) < i + 6 or raw[i] != 0xFF or raw[i + 1] & 0xFE != 0xF8 or raw[i + 3] not in (0x00, 0x02):  # sizes of 8 bits: as the stream says, or said again
         return None
     lead = raw[i + 4]
     more = 0 if lead < 0x80 else 8 - (lead ^ 0xFF).bit_length()  # ones at the front, the first byte among them
     more = max(0, more - 1)
-    code = raw[i + 2] >> 4
-    h = i + 5 + more + (code == 7) * 2 + (code == 6)
-    if code == 0 or len(raw) <= h or crc8(raw[i:h]) != raw[h]:
+    code, rate = raw[i + 2] >> 4, raw[i + 2] & 15
+    sized = i + 5 + more + (code == 7) * 2 + (code == 6)
+    h = sized + (rate == 12) + (rate in (13, 14)) * 2
+    if code == 0 or rate == 15 or len(raw) <= h or crc8(raw[i:h]) != raw[h]:
         return None
     number = lead if lead < 0x80 else lead & (1 << (6 - more)) - 1
     for b in raw[i + 5 : i + 5 + more]:
         number = number << 6 | b & 0x3F
-    size = struct.unpack(">H", raw[h - 2 : h])[0] + 1 if code == 7 else raw[h - 1] + 1 if code == 6 else 256 << (code - 8) if code >= 8 else 192 if code == 1 else 576 << (code - 2)
-    return number, size, h + 1 - i
-
-
-def _found(raw: bytes, at: int) -> list[tuple[int, int]]:
-    """(place, first sample) of the frames from `at` on, by their headers. Every frame but the last has as many samples
-    as the first."""
-    out, number, each = [], 0, 0
-    while at >= 0:
-        head = _frame_at(raw, at)
-        if head and head[0] == number:
-            each = each or head[1]
-            out.append((at, number * each))
-            number += 1
-        at = raw.find(b"\xff\xf8", at + 1)
+    size = struct.unpack(">H", raw[sized - 2 : sized])[0] + 1 if code == 7 else raw[sized - 1] + 1 if code == 6 else 256 << (code - 8) if code >= 8 else 192 if code == 1 else 576 << (code - 2)
+    return bool(raw[i + 1] & 1), number, size, h + 1 - i
+
+
+def _sound(raw: bytes, begin: int, end: int) -> bool:
+    """Whether a frame from begin to end has the right CRC-16."""
+    return end - begin > 8 and int(crc16(np.frombuffer(raw, np.uint8), np.array([begin]), np.array([end - 2]))[0]) == int.from_bytes(raw[end - 2 : end], "big")
+
+
+def _found(raw: bytes, at: int, upto: int, first: int) -> list[tuple[int, int]]:
+    """(place, first sample) of the frames from `at`, whose first sample is `first`, to before `upto`: a header counts if its
+    number is the next and the frame before it, ending there, has the right CRC-16. Numbers count samples, or frames
+    of as many samples as the first in this range."""
+    head = _frame_at(raw, at)
+    if head is None:
+        raise ValueError("a frame header is damaged")
+    out, each, base = [(at, first)], head[2], head[1]
+    expected, place = first + head[2], raw.find(b"\xff", at + 1, upto)
+    while place >= 0:
+        head = _frame_at(raw, place)
+        if head and (head[1] == expected if head[0] else head[1] == base + len(out) and expected == first + len(out) * each) and _sound(raw, out[-1][0], place):
+            out.append((place, expected))
+            expected += head[2]
+        place = raw.find(b"\xff", place + 1, upto)
     return out
 
 
@@ -244,25 +256,29 @@ class Frames:
     def _index(self, s: int, raw: bytes, base: int) -> None:
         if raw[:4] != b"fLaC":
             raise ValueError("no FLAC stream")
-        at, table, last = 4, b"", False
+        at, table, last, total = 4, b"", False, 0
         while not last:
             last, kind, size = bool(raw[at] & 0x80), raw[at] & 0x7F, int.from_bytes(raw[at + 1 : at + 4], "big")
             part = raw[at + 4 : at + 4 + size]
             if kind == 0:
                 self.digests.append(part[18:34])
                 fields = int.from_bytes(part[10:18], "big")
-                self.totals.append(fields & (1 << 36) - 1)
+                total = fields & (1 << 36) - 1
+                self.totals.append(total)
                 if fields >> 36 & 31 != 7 or fields >> 41 & 7:
                     raise ValueError("only 8-bit mono streams")
             elif kind == 3:
                 table = part
             at += 4 + size
-        points = [(at + p[1], p[0]) for p in struct.iter_unpack(">QQH", table) if p[0] < 1 << 63] or _found(raw, at)
-        for (i, first), j in zip(points, [*(p[0] for p in points[1:]), len(raw)]):
+        known = sorted({(at + p[1], p[0]) for p in struct.iter_unpack(">QQH", table) if p[0] < 1 << 63 and p[0] < (total or 1 << 36)} | {(at, 0)}) if at < len(raw) else []
+        points: list[tuple[int, int]] = []
+        for (i, first), (j, after) in zip(known, [*known[1:], (len(raw), total)]):  # a table may name some frames only
             head = _frame_at(raw, i)
             if head is None:
                 raise ValueError("a frame header is damaged")
-            _, counted, length = head
+            points += [(i, first)] if first + head[2] == after else _found(raw, i, j, first)
+        for (i, first), j in zip(points, [*(p[0] for p in points[1:]), len(raw)]):
+            _, _, counted, length = _frame_at(raw, i)
             self.stream.append(s)
             self.first.append(first)
             self.size.append(counted)
@@ -313,7 +329,17 @@ def _decoded(raw: bytes, begin: np.ndarray, sub: np.ndarray, end: np.ndarray, si
 
     n = len(size)
     every = np.arange(n)
-    kind = take(every, 8) >> 1
+    kind = take(every, 8)
+    wasted = np.zeros(n, np.int64)
+    lanes = np.flatnonzero(kind & 1)
+    if lanes.size:  # low bits that are 0 in all samples, counted by zeros and a one
+        ahead = take(lanes, 8)
+        if (ahead < 2).any():
+            raise ValueError("a subframe without a bit")
+        wasted[lanes] = 8 - np.floor(np.log2(ahead)).astype(np.int64)
+        at[lanes] += wasted[lanes] - 8
+    depth = 8 - wasted
+    kind >>= 1
     constant, verbatim, fixed, linear = kind == 0, kind == 1, (kind >> 3) == 1, kind >= 32
     if not (constant | verbatim | fixed | linear).all() or (fixed & (kind > 12)).any():
         raise ValueError("a subframe of an unknown kind")
@@ -322,9 +348,9 @@ def _decoded(raw: bytes, begin: np.ndarray, sub: np.ndarray, end: np.ndarray, si
     out = np.zeros((int(size[0]) if n else 0, n), np.int64)
     for i in range(int(order.max(initial=0))):
         lanes = np.flatnonzero(order > i)
-        out[i, lanes] = signed(take(lanes, 8), 8)
+        out[i, lanes] = signed(take(lanes, depth[lanes]), depth[lanes])
     lanes = np.flatnonzero(constant)
-    out[:, lanes] = signed(take(lanes, 8), 8)
+    out[:, lanes] = signed(take(lanes, depth[lanes]), depth[lanes])
     coefs, shift = np.zeros((deepest, n), np.int64), np.zeros(n, np.int64)
     for o, c in enumerate(FIXED):
         if o and o <= deepest:
@@ -394,7 +420,7 @@ def _decoded(raw: bytes, begin: np.ndarray, sub: np.ndarray, end: np.ndarray, si
     if ((at + 7) // 8 != end[order_of] - 2).any():
         raise ValueError("a frame has another length")
     samples = np.empty((n, len(out)), np.int64)
-    samples[order_of] = out.T
+    samples[order_of] = (out << wasted).T if wasted.any() else out.T
     return samples
 
 

@@ -4,9 +4,11 @@ A text is read as UTF-8 bytes. Words are runs of bytes other than the six ASCII
 hash from prefix sums, and n-gram hashes for all lengths grow from the ones a word shorter, all in numpy. An n-gram
 that occurs twice or more (the first included) covers its words; the coverage of a length is the share of the words'
 characters that are covered. Lines that equal an earlier line cover theirs. A text fails when a coverage exceeds its
-limit, when it has fewer than MIN_WORDS words, or when its 3-word windows repeat over most words.
+limit, when it has fewer than MIN_WORDS words, when its 3-word windows repeat over most words, or when it has over
+SYMBOL_PERCENT symbols for every hundred words, as tables and debris of markup have.
 
-Null is the empty text: no words, so it fails. Each row is judged alone, so ties and repeated rows get equal results.
+Null is the empty text: no words, so it fails. Each row is judged alone, so ties and repeated rows get equal results; an
+empty table gives an empty one.
 Memory is a few arrays of the longest text.
 """
 
@@ -23,6 +25,8 @@ MIN_WORDS = 50
 #: short clean text, far below what looped text reaches.
 NGRAM_LIMITS = {5: 0.40, 6: 0.39, 7: 0.38, 8: 0.37, 9: 0.36, 10: 0.35}
 LINE_LIMIT = 0.35
+#: Most symbols for a hundred words; the limit that published rule sets give for symbols.
+SYMBOL_PERCENT = 10
 #: Greatest percentage of words in repeated 3-word windows.
 WINDOW_PERCENT = 50
 
@@ -128,7 +132,7 @@ def repetition(docs: DataFrame, columns: list[str] | None = None, text: str = "t
     def values(texts):
         found = [measure(t) for t in texts]
         failed = [x[0] < MIN_WORDS or 100 * x[4] > WINDOW_PERCENT * x[0] for x in found]
-        kept = [not f and bool((np.array(x[5:]) <= limits).all()) for f, x in zip(failed, found)]
+        kept = [not f and 100 * x[2] <= SYMBOL_PERCENT * x[0] and bool((np.array(x[5:]) <= limits).all()) for f, x in zip(failed, found)]
         return [*map(list, zip(*found)), failed, kept]
 
     return map_texts(docs, columns, text, fields, lambda: values)

@@ -7,6 +7,7 @@ import hashlib
 import os
 import random
 import re
+import struct
 import unicodedata
 from collections import Counter, defaultdict
 
@@ -384,6 +385,13 @@ def test_verdict_against_counting(spark):
     assert verdicts == {(True, False), (False, False), (False, True)}
 
 
+def test_symbols_decide(spark):
+    r = random.Random(19)
+    words = words_of(r, 200, "abcdefghijklmnop").split()
+    rows = [(k, " ".join(w + ("*" if i < k else "") for i, w in enumerate(words))) for k in (0, 20, 21, 150)]
+    assert {x["doc_id"]: (x["n_symbols"], x["base_failed"], x["kept"]) for x in repetition.repetition(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {k: (k, False, k <= 20) for k, _ in rows}
+
+
 # 7
 
 
@@ -446,6 +454,130 @@ def test_flac_streams_of_other_encoders(monkeypatch):
         assert got == [(0, bytes(x + 128 for x in samples))]
 
 
+def sequential(stream):
+    """A plain decoder, a bit at a time: the samples of an 8-bit mono stream and the first sample and place of each frame."""
+    at, last, total = 4, False, 0
+    while not last:
+        last, kind, size = bool(stream[at] & 0x80), stream[at] & 0x7F, int.from_bytes(stream[at + 1 : at + 4], "big")
+        if kind == 0:
+            total = int.from_bytes(stream[at + 14 : at + 22], "big") & (1 << 36) - 1
+        at += 4 + size
+    bits = "".join(f"{b:08b}" for b in stream)
+    pos, out, frames = at * 8, [], []
+
+    def take(n):
+        nonlocal pos
+        pos += n
+        return int(bits[pos - n : pos] or "0", 2)
+
+    def signed(n):
+        v = take(n)
+        return v - (1 << n) if n and v >> (n - 1) else v
+
+    def unary():
+        nonlocal pos
+        n = bits.index("1", pos) - pos
+        pos += n + 1
+        return n
+
+    while len(out) < total:
+        frames.append((len(out), pos // 8 - at))
+        assert take(15) == 0x7FFC
+        take(1)
+        size_code, rate = take(4), take(4)
+        take(8)
+        lead = take(8)
+        while lead & 0x80 and lead & 0x40:
+            take(8)
+            lead = lead << 1 & 0xFF | 0x80 if lead << 1 & 0x80 else 0
+        size = take(8) + 1 if size_code == 6 else take(16) + 1 if size_code == 7 else 192 if size_code == 1 else 576 << (size_code - 2) if size_code < 6 else 256 << (size_code - 8)
+        take({12: 8, 13: 16, 14: 16}.get(rate, 0) + 8)
+        kind, wasted = take(7), 0
+        if take(1):
+            wasted = unary() + 1
+        depth, x = 8 - wasted, []
+        if kind == 0:
+            x = [signed(depth)] * size
+        elif kind == 1:
+            x = [signed(depth) for _ in range(size)]
+        else:
+            order = kind & 7 if kind < 32 else (kind & 31) + 1
+            x, shift = [signed(depth) for _ in range(order)], 0
+            coefs = flac.FIXED[order] if kind < 32 else None
+            if coefs is None:
+                precision, shift = take(4) + 1, take(5)
+                coefs = [signed(precision) for _ in range(order)]
+            method, parts = take(2), 1 << take(4)
+            for part in range(parts):
+                k = take(4 + method)
+                width = take(5) if k == (15, 31)[method] else None
+                for _ in range(size // parts - (order if part == 0 else 0)):
+                    if width is None:
+                        z = unary() << k | take(k)
+                        e = z >> 1 ^ -(z & 1)
+                    else:
+                        e = signed(width)
+                    x.append(e + (sum(c * x[-1 - j] for j, c in enumerate(coefs)) >> shift))
+        out += [v << wasted for v in x]
+        pos = -(-pos // 8) * 8 + 16
+    return bytes(v + 128 for v in out), frames
+
+
+def with_table(stream, points):
+    """The stream with a seek table of the given (first sample, place, samples)."""
+    bare = without_table(stream)
+    assert bare[4] == 0x80
+    table = b"".join(struct.pack(">QQH", *p) for p in points)
+    return b"fLaC\x00" + bare[5:42] + b"\x83" + len(table).to_bytes(3, "big") + table + bare[42:]
+
+
+def recoded(r, sizes, variable, size_code, rate_code, wasted):
+    """A stream of verbatim and fixed frames of these sizes, with the options that other encoders use."""
+    samples, body, number = [], b"", 0
+    for n, size in enumerate(sizes):
+        x = [r.randint(-(1 << 7 - wasted), (1 << 7 - wasted) - 1) for _ in range(size)]
+        number = len(samples) if variable else n
+        extra = {12: b"\x08", 13: (8000).to_bytes(2, "big"), 14: (800).to_bytes(2, "big")}.get(rate_code, b"")
+        head = bytes([0xFF, 0xF9 if variable else 0xF8, 0x70 | rate_code, size_code]) + flac._number(number) + (size - 1).to_bytes(2, "big") + extra
+        head += bytes([flac.crc8(head)])
+        flag = "0" * (wasted - 1) + "1" if wasted else ""
+        depth = 8 - wasted
+        put = lambda v, w: f"{v & (1 << w) - 1:0{w}b}"
+        if n % 2:
+            bits = "0000001" + ("1" if wasted else "0") + flag + "".join(put(v, depth) for v in x)
+        else:
+            bits = "0001000" + ("1" if wasted else "0") + flag + "00" + "0000" + "0110" + "".join("0" * (z >> 6) + "1" + put(z & 63, 6) for v in x for z in [2 * v if v >= 0 else -2 * v - 1])
+        bits += "0" * (-len(bits) % 8)
+        frame = head + int(bits, 2).to_bytes(len(bits) // 8, "big")
+        frame += int(flac.crc16(np.frombuffer(frame, np.uint8), np.array([0]), np.array([len(frame)]))[0]).to_bytes(2, "big")
+        body, samples = body + frame, samples + [v << wasted for v in x]
+    info = min(sizes).to_bytes(2, "big") + max(sizes).to_bytes(2, "big") + bytes(6) + (flac.RATE << 44 | 7 << 36 | len(samples)).to_bytes(8, "big") + hashlib.md5(bytes(v & 0xFF for v in samples)).digest()
+    return b"fLaC\x80" + len(info).to_bytes(3, "big") + info + body, bytes(v + 128 for v in samples)
+
+
+def test_flac_against_a_sequential_decoder():
+    r = random.Random(3)
+    data = [words_of(r, 900).encode(), "é".encode() * 3000, os.urandom(5000), b"\0" * 3000]
+    for stream, whole in zip(flac.encode(data), data):
+        pcm, frames = sequential(stream)
+        assert pcm == whole
+        points = [(first, place, 0) for first, place in frames]
+        hole = ((1 << 64) - 1, 0, 0)
+        for some in (points[::2], points[:1], points[-1:], points[1:3], [*points[::3], hole], [hole], []):
+            got = flac.decode([with_table(stream, some)])[0]
+            assert b"".join(b for _, b in got) == whole and [i for i, _ in got] == [i for i, _ in frames]
+    for variable in (False, True):
+        for size_code in (0x00, 0x02):
+            for wasted in (0, 1, 5):
+                sizes = [r.randint(20, 900) for _ in range(6)] if variable else [300, 300, 300, 120]
+                stream, whole = recoded(r, sizes, variable, size_code, r.choice((0, 4, 12, 13, 14)), wasted)
+                assert sequential(stream)[0] == whole
+                _, frames = sequential(stream)
+                for table in (None, frames[::2]):
+                    made = stream if table is None else with_table(stream, [(a, b, 0) for a, b in table])
+                    assert b"".join(b for _, b in flac.decode([made])[0]) == whole
+
+
 def test_flac_blocks_seek_by_sample(spark):
     texts = [None, "", "a" * 5000, "b\u00e9" * 999]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
