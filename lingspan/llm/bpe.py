@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .shared import map_texts
+from .shared import map_texts, utf8
 
 #: A worker's memo of pieces is emptied before a batch once it holds more than this.
 MEMO_PIECES = 200_000
@@ -230,22 +230,23 @@ def _spec(spark, path: str, pattern: str):
     return spark.sparkContext.broadcast((name, ranks, pattern))  # the vocabulary: a fixed file
 
 
-def encode(docs: DataFrame, path: str, pattern: str, columns: list[str] | None = None, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, columns: list[str] | None = None, text: str = "text", check: str | None = None) -> DataFrame:
     """docs (or the given columns of it) plus token_ids (binary: little-endian unsigned 32-bit) and n_tokens; such
-    names in docs are replaced."""
+    names in docs are replaced. `check` names a column that says whether the ids, decoded, are the text's bytes."""
     spec = _spec(docs.sparkSession, path, pattern)
-    columns = [c for c in (docs.columns if columns is None else columns) if c not in ("token_ids", "n_tokens")]
+    fields = [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()), *([T.StructField(check, T.BooleanType())] if check else [])]
+    columns = [c for c in (docs.columns if columns is None else columns) if c not in [f.name for f in fields]]
 
     def make():
         codec = codec_of(spec.value)
 
         def values(texts):
             ids = codec.encode(texts)
-            return [ids, [len(x) // 4 for x in ids]]
+            return [ids, [len(x) // 4 for x in ids], *([[codec.decode(x) == utf8(t) for x, t in zip(ids, texts)]] if check else [])]
 
         return values
 
-    return map_texts(docs, columns, text, [T.StructField("token_ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())], make)
+    return map_texts(docs, columns, text, fields, make)
 
 
 def decode(docs: DataFrame, path: str, pattern: str, columns: list[str] | None = None) -> DataFrame:

@@ -2,15 +2,19 @@
 
 Rules give e-mail addresses, IPv4 addresses, payment card numbers and international phone numbers; they are certain
 and stay. Beside them, generators with high recall propose overlapping spans: groups of digits, long keys, account
-numbers that start with letters, mixed words of letters and digits, spelled-out addresses. Boosted trees look at a
-candidate's format and context; their margin is calibrated on texts they were not fitted on, by pooling adjacent
-violators. Each kind has its threshold, the least calibrated probability from which PRECISION of its calibration rows
-are positive; candidates from it on are added, the likeliest first, unless they overlap something already there.
-
-Fitting takes a bounded sample, SAMPLE documents by a hash of doc_id and at most CANDIDATES of their candidates.
-Nobody labels the tables' spans, so a candidate counts as positive if it overlaps a rule's span or a cue word such as
-'token' or 'password' stands before it; features hold neither. Texts are dealt to fitting and calibration by a hash, so
-copies are on one side. With too few candidates, or of one label only, only the rules work.
+numbers that start with letters, mixed words of letters and digits, spelled-out addresses, names behind a title, postal
+addresses. Boosted trees look at a candidate's format and context; their margin is calibrated on texts they were not fitted
+on, by pooling adjacent violators. Each kind has its threshold, the least calibrated probability from which PRECISION of
+its calibration rows are positive; candidates from it on are added, the likeliest first, unless they overlap something
+already there.
+
+Fitting takes a bounded sample, SAMPLE documents by a hash of doc_id and at most CANDIDATES of their candidates. Nobody
+labels the tables' spans, so each sampled text gets a made piece of personal data of some kind and a harmless look-alike,
+such as a date, a version or a path, at places of its own; what the generators propose there is positive or negative.
+Candidates that overlap a rule's span teach nothing that could be added and are left out. Of the others, the text's own, one
+behind a cue word such as 'token' or 'password' is positive, one without a digit is negative, and one with digits and
+without a cue is unknown and left out; features do not hold cue words. Texts are dealt to fitting and calibration by a
+hash, so copies are on one side. With too few candidates, or of one label only, only the rules work.
 
 Spans are in code points, end exclusive. Null is the empty text: no spans. Texts of any length are read whole in time
 linear in their length but for sorting candidates; rows are judged alone, so repeated rows have equal spans. An empty
@@ -19,18 +23,20 @@ table gives an empty one. Columns that are called like a result are replaced; al
 
 from __future__ import annotations
 
+import random
 import re
 from math import log2
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import free_names, map_texts
+from .shared import free_names, map_texts, utf8
 
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("number", "key", "spelled", "account", "mixed")
+ADDED = ("number", "key", "spelled", "account", "mixed", "name", "address")
 SAMPLE = 8_000
 CANDIDATES = 60_000
 PRECISION = 0.9
@@ -49,6 +55,14 @@ _long = re.compile(r"[A-Za-z0-9_+/-]{20}").search
 _spelled = re.compile(r"(?<!\S)[A-Za-z0-9._-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z]{2,24})+").finditer
 _account = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])").finditer
 _mixed = re.compile(r"(?<![^\s\"'`=:(])(?=[^\s0-9]{0,18}[0-9])(?=[^\sA-Za-z]{0,18}[A-Za-z])[A-Za-z0-9_!#$%^&*-]{8,19}(?![A-Za-z0-9_!#$%^&*-])").finditer
+_UPPER, _LOWER = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
+TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Señor", "Señora", "Madame", "Monsieur")
+_name = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.? [{_UPPER}][{_LOWER}]{{1,30}}(?:[ -][{_UPPER}][{_LOWER}]{{1,30}}){{0,2}}(?!\w)").finditer
+STREETS = ("Street", "Road", "Avenue", "Lane", "Drive", "Square", "straße", "strasse", "platz", "allee", "rue ", "avenue ", "boulevard ", "Calle ", "Avenida ", "Plaza ")
+_address = re.compile(
+    rf"(?<!\w)(?:[0-9]{{1,5}} (?:[{_UPPER}][{_LOWER}]{{1,30}} ){{1,3}}(?:Street|Road|Avenue|Lane|Drive|Square)|[{_UPPER}][{_LOWER}]{{1,30}}(?:straße|strasse|platz|allee) [0-9]{{1,4}}[a-z]?"
+    rf"|[0-9]{{1,4}},? (?:rue|avenue|boulevard) (?:de la |des |du |de |d')?[{_UPPER}][{_LOWER}]{{1,30}}|(?:Calle|Avenida|Plaza) [{_UPPER}][{_LOWER}]{{1,30}},? [0-9]{{1,4}})(?!\w)"
+).finditer
 _cue = re.compile(r"(?i)(?:token|secret|password|passwd|api.?key|key|iban|account|ssn|tel|phone|fax|mobile|card|e.?mail|contact)\W{0,6}$").search
 
 
@@ -101,6 +115,10 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
         found += [("mixed", *m.span()) for m in _mixed(text)]
     if "at" in text and "dot" in text:
         found += [("spelled", *m.span()) for m in _spelled(text)]
+    if any(t in text for t in TITLES):
+        found += [("name", *m.span()) for m in _name(text)]
+    if any(t in text for t in STREETS) and _digit(text):
+        found += [("address", *m.span()) for m in _address(text)]
     return found
 
 
@@ -134,8 +152,96 @@ def covered(text: str, spans: list[tuple[int, int]]) -> bytearray:
     return out
 
 
-def weak_label(text: str, base: bytearray, start: int, end: int) -> int:
-    return int(base.find(1, start, end) >= 0 or bool(_cue(text[max(0, start - 24) : start])))
+def _some(r: random.Random, letters: str, n: int) -> str:
+    return "".join(r.choice(letters) for _ in range(n))
+
+
+_DIGITS, _HEX, _BIG, _SMALL = "0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _word(r: random.Random) -> str:
+    return _some(r, _SMALL, r.randint(3, 9))
+
+
+def _cap(r: random.Random) -> str:
+    return _word(r).capitalize()
+
+
+def made_personal(r: random.Random) -> tuple[str, str]:
+    """What stands before a made piece of personal data, and the piece."""
+    d = lambda n: _some(r, _DIGITS, n)
+    kind = r.choice(ADDED)
+    if kind == "number":
+        return r.choice(("", "", "tel. ", "call ")), r.choice((f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}-{d(2)}-{d(4)}", f"0{d(2)} {d(4)} {d(4)}", f"{d(3)}.{d(3)}.{d(4)}"))
+    if kind == "key":
+        made = r.choice((f"AKIA{_some(r, _BIG + _DIGITS, 16)}", _some(r, _HEX, r.choice((32, 40, 64))), _some(r, _BIG + _SMALL + _DIGITS, r.randint(24, 44)), f"{_some(r, _SMALL, 3)}_{_some(r, _BIG + _SMALL + _DIGITS, 36)}"))
+        return r.choice(("", "", 'token = "', "secret: ", "api_key=")), made
+    if kind == "spelled":
+        return "", f"{_word(r)}{r.choice((' (at) ', ' at ', '[at]'))}{_word(r)}{r.choice((' dot ', ' (dot) '))}{_some(r, _SMALL, r.randint(2, 3))}"
+    if kind == "account":
+        groups = [d(4) for _ in range(r.randint(3, 6))]
+        return r.choice(("", "IBAN: ", "account ")), f"{_some(r, _BIG, 2)}{d(2)}" + r.choice(("", " ")).join(["", *groups])
+    if kind == "mixed":
+        made = _some(r, _SMALL + _BIG + _DIGITS, r.randint(7, 17)) if r.random() < 0.5 else _some(r, _HEX, r.randint(7, 17))
+        return r.choice(("password=", "passwd: ", "pwd=", "pin: ", 'secret="')), f"{made[:3]}{r.choice(_SMALL)}{made[3:]}{r.choice(_DIGITS)}"
+    if kind == "name":
+        return "", f"{r.choice(TITLES)}{r.choice(('', '.'))} {_cap(r)}{r.choice(('', ' ' + _cap(r)))}"
+    n = r.randint(1, 999)
+    return "", r.choice((f"{n} {_cap(r)} {r.choice(STREETS[:6])}", f"{_cap(r)}{r.choice(STREETS[6:10])} {n}", f"{n}, {r.choice(STREETS[10:13])}{r.choice(('de ', 'du ', ''))}{_cap(r)}", f"{r.choice(STREETS[13:])}{_cap(r)}, {n}"))
+
+
+def made_harmless(r: random.Random) -> str:
+    """A look-alike that is no personal data."""
+    d = lambda n: _some(r, _DIGITS, n)
+    date = f"{r.randint(1900, 2099)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}"
+    return r.choice((
+        lambda: str(r.randrange(10**6, 10**10)), lambda: date, lambda: f"{date} {r.randint(0, 23):02d}.{d(2)}", lambda: f"978-{d(1)}-{d(2)}-{d(6)}-{d(1)}", lambda: f"{r.randint(1800, 1999)}-{r.randint(1800, 2099)}", lambda: f"{d(1)}.{d(9)}",
+        lambda: f"{d(1)} {d(3)} {d(3)}", lambda: f"{d(2)}.{d(3)}.{d(3)}", lambda: "_".join(_word(r) for _ in range(r.randint(3, 6))), lambda: "/".join(_word(r) for _ in range(r.randint(3, 6))), lambda: "-".join([*(_word(r) for _ in range(r.randint(3, 6))), str(r.randint(1990, 2030))]),
+        lambda: "".join(_cap(r) for _ in range(r.randint(3, 6))), lambda: r.choice("-_=/aA") * r.randint(20, 60), lambda: f"{_word(r)}{r.choice(('', '-', '_'))}{d(r.randint(1, 4))}", lambda: f"{_some(r, _BIG, 3)}-{d(r.randint(4, 6))}", lambda: f"{_cap(r)}{d(2)}{_cap(r)}",
+        lambda: f"{_some(r, _HEX, 8)}-{_some(r, _HEX, 4)}-{_some(r, _HEX, 4)}-{_some(r, _HEX, 4)}-{_some(r, _HEX, 12)}", lambda: f"{_word(r)}={_word(r)}{d(2)}", lambda: f"id: {_word(r)}_{d(4)}",
+    ))()
+
+
+def planted(text: str) -> tuple[str, tuple[int, int], tuple[int, int]]:
+    """The text with a made piece and a look-alike at two places between words, and their spans; equal texts get the same."""
+    r = random.Random(xxhash.xxh3_64_intdigest(utf8(text)))
+    before, piece = made_personal(r)
+    other, after = made_harmless(r), '"' if before.endswith('"') else ""
+    places = sorted(text.rfind(" ", 0, r.randint(0, len(text))) + 1 for _ in range(2))
+    first = r.random() < 0.5
+    put = [(f"{before}{piece}{after} ", len(before), len(piece)), (f"{other} ", 0, len(other))]
+    (one, skip, size), (two, skip2, size2) = put if first else put[::-1]
+    start = places[0] + skip
+    start2 = places[1] + len(one) + skip2
+    spans = [(start, start + size), (start2, start2 + size2)]
+    return f"{text[: places[0]]}{one}{text[places[0] : places[1]]}{two}{text[places[1] :]}", *(spans if first else spans[::-1])
+
+
+def _alike(i: int, j: int, span: tuple[int, int]) -> float:
+    """The part that two spans share of both together."""
+    shared = min(j, span[1]) - max(i, span[0])
+    return max(shared, 0) / (j - i + span[1] - span[0] - max(shared, 0))
+
+
+def labelled(text: str) -> list[list[float]]:
+    """The label and the features of the candidates of a planted text, without those of unknown label."""
+    text, good, bad = planted(text)
+    found, out = candidates(text), []
+    base = covered(text, [s for spans in base_spans(text).values() for s in spans]) if found else bytearray()
+    for kind, i, j in found:
+        if base.find(1, i, j) >= 0:
+            continue
+        if i < good[1] and good[0] < j:
+            label = 1 if _alike(i, j, good) >= 0.7 else None
+        elif i < bad[1] and bad[0] < j:
+            label = 0
+        elif _cue(text[max(0, i - 24) : i]):
+            label = 1
+        else:
+            label = None if _digit(text, i, j) else 0
+        if label is not None:
+            out.append([float(label), *describe(text, kind, i, j)])
+    return out
 
 
 class Boosted:
@@ -249,12 +355,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Boosted:
     some = docs.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("doc_id", (F.pmod(F.xxhash64("text"), F.lit(2)) == 0).alias("fit"), "text")  # at most `sample` ids
 
     def values(texts):
-        out = []
-        for t in texts:
-            t = t or ""
-            base = covered(t, [s for spans in base_spans(t).values() for s in spans]) if (found := candidates(t)) else bytearray()
-            out.append([[float(weak_label(t, base, i, j)), *describe(t, k, i, j)] for k, i, j in found])
-        return [out]
+        return [[labelled(t or "") for t in texts]]
 
     rows = map_texts(some, ["doc_id", "fit"], "text", [T.StructField("c", T.ArrayType(T.ArrayType(T.DoubleType())))], lambda: values)
     rows = rows.select("doc_id", "fit", F.posexplode("c").alias("at", "c")).orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at").limit(CANDIDATES)

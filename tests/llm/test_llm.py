@@ -223,6 +223,40 @@ def test_added_spans_keep_base(spark):
     assert np.mean([keys[i] for i in range(0, 400, 3)]) > 0.9 and not any(keys[i] for i in range(400) if i % 3)
 
 
+def test_recall_and_precision_by_kind(spark):
+    """Made pieces of every kind behind and before words, and look-alikes, in texts that the model was not fitted on."""
+    r = random.Random(21)
+    docs = spark.createDataFrame([(i, words_of(r, r.randint(5, 60), "abcdefghijklmnop")) for i in range(4000)], "doc_id long, text string")
+    model = pii.fit(docs)
+    made, found, wrong = Counter(), Counter(), Counter()
+    for _ in range(2000):
+        left, right = words_of(r, 8, "abcdefghijklmnop"), words_of(r, 4, "abcdefghijklmnop")
+        before, piece = pii.made_personal(r)
+        text = f"{left} {before}{piece} {right}"
+        at = len(left) + 1 + len(before)
+        kinds = {k for k, i, j in pii.candidates(text) if pii._alike(i, j, (at, at + len(piece))) >= 0.7}
+        base, added = pii.spans_of(text, model)
+        hit = any(i < at + len(piece) and at < j for part in (base, added) for v in part.values() for i, j in v)
+        assert kinds or piece.isalpha()
+        for k in kinds:
+            made[k] += 1
+            found[k] += hit
+        _, added = pii.spans_of(f"{left} {pii.made_harmless(r)} {right}", model)
+        for k, v in added.items():
+            wrong[k] += len(v)
+    assert set(made) == set(pii.ADDED) and all(found[k] >= 0.95 * made[k] for k in made), (made, found)
+    assert sum(wrong.values()) <= 0.02 * 2000, wrong
+
+
+def test_what_overlaps_a_rule_teaches_nothing():
+    text = "write to a.b@c.de or +1 (487) 555-7209 today"
+    rows = pii.labelled(text)
+    kinds = [pii.ADDED[int(x[1])] for x in rows]
+    assert all(x[0] in (0.0, 1.0) for x in rows) and len(kinds) <= 6
+    new, good, bad = pii.planted(text)
+    assert pii.planted(text) == (new, good, bad) and new[slice(*good)] not in text and len(new) > len(text)
+
+
 def test_selection_is_linear_and_spans_do_not_overlap():
     """All candidates of a list of numbers, each with the same chance."""
     model = pii.Boosted(np.zeros((0, len(pii.FEATURES))), np.zeros(0), np.zeros(0, bool))

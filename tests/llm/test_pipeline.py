@@ -48,3 +48,28 @@ def test_run(spark, tmp_path):
     final = seen[4][1].collect()
     assert all(x["round_trip"] and len(x["token_ids"]) == 4 * x["n_tokens"] for x in final) and len(final) == seen[3][1].count()
     assert np.frombuffer(final[0]["token_ids"], "<u4").max() < 50_256
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _text string, _features string, score double, mix_a string, kept string, token_ids binary, round_trip string"
+
+
+@pytest.mark.parametrize("kind", ["odd", "empty"])
+def test_odd_rows_and_names(spark, tmp_path, kind):
+    """Nulls in every column, empty and long texts, repeated rows, no rows; names that the stages use themselves."""
+    r = random.Random(2)
+    texts = [None, "", " \n", "word", "x " * 30_000, "same words " * 30, words(r, 100) + " +1 (487) 555-7209"] + [words(r, 80) for _ in range(40)]
+    rows = [(i if i % 9 else None, t, "en" if i % 5 else None, "src1" if i % 4 else None, len(t) if t else None, "a", None, 0.5 if i % 2 else None, "m", "k", b"z", "r") for i, t in enumerate(texts * 2)]
+    spark.createDataFrame(rows if kind == "odd" else [], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 3 // 2, 0) for i in range(90)] if kind == "odd" else [], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for n, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        got = stage(spark, docs, str(tmp_path))
+        assert got.columns == docs.columns
+        got.write.parquet(str(tmp_path / f"s{n}"))
+        if n in (1, 2):
+            assert spark.read.parquet(str(tmp_path / f"s{n}")).where("_text <> 'a' OR mix_a <> 'm' OR kept <> 'k' OR round_trip <> 'r' OR score <> 0.5").isEmpty()
+        docs = docs if n == 0 else spark.read.parquet(str(tmp_path / f"s{n}"))  # whatever the tiny classifier keeps, the others see all rows
+        assert (docs.count() == 0) == (kind == "empty")
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
+    assert len(last) == docs.count() and all(x["round_trip"] is True for x in last)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
