@@ -95,11 +95,17 @@ def _reference(rows: DataFrame, column: str, count_empty: bool) -> DataFrame:
     return rows.withColumn("ref", F.when(has_source, source).otherwise(F.coalesce(best, F.array().cast("array<string>")))).drop("_n", "_first")
 
 
+def _of_keys_with(rows: DataFrame, column: str) -> DataFrame:
+    """Narrow rows of the keys that have anything in `column` in any language. The window's shuffle by key is the one that
+    comparisons need anyway, so values are read once and never shuffled."""
+    some = F.max(F.size(column)).over(Window.partitionBy("rec_id"))
+    return rows.withColumn("_some", some).where("_some > 0").drop("_some")
+
+
 def lint_urls(corpus: Corpus, langs: list[str] | None = None) -> DataFrame:
-    """Links that differ from the source's; keys without any link are left out before the shuffle by key."""
-    rows = _flat(corpus)
-    some = rows.where(F.col("value").contains("http")).select("rec_id").distinct()
-    rows = _reference(rows.join(some, "rec_id", "left_semi").withColumn("urls", X.urls("value")), "urls", count_empty=True)
+    """Links that differ from the source's."""
+    rows = _flat(corpus).select("rec_id", "key", "lang", X.urls("value").alias("urls"))
+    rows = _reference(_of_keys_with(rows, "urls"), "urls", count_empty=True)
     said = lambda c: F.when(F.size(c) == 0, "none").otherwise(F.array_join(c, ", "))
     bad = rows.where(F.col("urls") != F.col("ref"))
     found = bad.select("rec_id", "key", "lang", F.lit("warn").alias("severity"), F.lit("url-mismatch").alias("code"), said("urls").alias("token"), F.concat(F.lit("has "), said("urls"), F.lit(f", {SOURCE_LANG} has "), said("ref")).alias("snippet"))
@@ -140,16 +146,14 @@ def lint_placeholders(corpus: Corpus, langs: list[str] | None = None) -> DataFra
 
 
 def _with_tokens(corpus: Corpus) -> DataFrame:
-    """Flat values of keys in which any language has a placeholder."""
-    rows = _flat(corpus)
-    some = rows.where(F.col("value").contains("[%")).select("rec_id").distinct()
-    return rows.join(some, "rec_id", "left_semi").withColumn("tokens", X.universal_tokens("value"))
+    """(rec_id, key, lang, tokens) of flat values; only a value with an opening mark is looked through."""
+    tokens = F.when(F.col("value").contains("[%"), X.universal_tokens("value")).otherwise(F.array().cast("array<string>"))
+    return _flat(corpus).select("rec_id", "key", "lang", tokens.alias("tokens"))
 
 
 def lint_placeholder_count(corpus: Corpus, langs: list[str] | None = None) -> DataFrame:
-    rows = _with_tokens(corpus).withColumn("types", F.array_sort(F.transform("tokens", X.placeholder_type)))
-    any_ = F.max(F.size("tokens")).over(Window.partitionBy("rec_id")) > 0
-    rows = _reference(rows.withColumn("_any", any_).where("_any"), "types", count_empty=False).where(F.col("types") != F.col("ref"))
+    rows = _of_keys_with(_with_tokens(corpus), "tokens").withColumn("types", F.array_sort(F.transform("tokens", X.placeholder_type)))
+    rows = _reference(rows, "types", count_empty=False).where(F.col("types") != F.col("ref"))
     got, ref = X.multiset_text(F.col("types")), X.multiset_text(F.col("ref"))
     found = rows.select("rec_id", "key", "lang", F.lit("error").alias("severity"), F.lit("placeholder-count").alias("code"), got.alias("token"), F.concat(F.lit("has "), got, F.lit(f", {SOURCE_LANG} has "), ref).alias("snippet"))
     return in_langs(found, langs)

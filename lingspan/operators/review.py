@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lingspan.functions import text as X
 from lingspan.schema import CO_SOURCE_LANG, SOURCE_LANG, Corpus
-from lingspan.tables import materialize
+from lingspan.tables import free_names, materialize
 
 
 def known_langs(corpus: Corpus) -> DataFrame:
@@ -74,16 +74,17 @@ def numbered(rows: DataFrame, *order: Column | str, by: str | None = None, name:
     written once, with the range and place of each row, so that rows and counts are of the same ranges; then each range is
     shifted by the rows before it. by: a column whose groups number on their own, however many rows one has; null is a
     group. Ties are in any order."""
+    part, row, own, of, group, n, first, before = free_names(rows.columns, "part", "row", "own", "of", "group", "n", "first", "before")
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     keys = [F.col(by), *cols] if by is not None else cols
     ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    told = materialize(ranged.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "ranges")
-    group = F.col(by) if by is not None else F.lit(0)
-    parts = told.groupBy("_part", group.alias("_group")).agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))  # a row a range and group
-    before = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_part", "_group", "_first", "_before")
-    joined = told.withColumn("_own", group).join(parts.withColumnRenamed("_part", "_of"), (F.col("_part") == F.col("_of")) & F.col("_own").eqNullSafe(F.col("_group")))
-    return joined.withColumn(name, F.col("_before") + F.col("_row") - F.col("_first") + 1).drop("_part", "_of", "_row", "_own", "_group", "_first", "_before")
+    told = materialize(ranged.withColumns({part: F.spark_partition_id(), row: F.monotonically_increasing_id()}), "ranges")
+    member = F.col(by) if by is not None else F.lit(0)
+    parts = told.groupBy(part, member.alias(group)).agg(F.count("*").alias(n), F.min(row).alias(first))  # a row a range and group
+    earlier = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn(before, F.coalesce(F.sum(n).over(earlier), F.lit(0))).select(F.col(part).alias(of), group, first, before)
+    joined = told.withColumn(own, member).join(parts, (F.col(part) == F.col(of)) & F.col(own).eqNullSafe(F.col(group)))
+    return joined.withColumn(name, F.col(before) + F.col(row) - F.col(first) + 1).drop(part, of, row, own, group, first, before)
 
 
 def slice_of(rows: DataFrame, start: int, end: int, name: str = "entry") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from lingspan.plans.queries_code import ANDROID, RENDERED
 from lingspan.plans.queries_forms import FORMS
 from lingspan.schema import Glossary
 from lingspan.sources import corpus as corpora
-from lingspan.sources import dumps, lines, versions
+from lingspan.sources import dumps, lines, trees, versions
 from lingspan.tables import shared_dir
 
 
@@ -304,3 +305,38 @@ def version_rows(spark, sf_dir):
     versions.retain(spark, base, 2)
     kept = [versions.read_version(spark, base, v.number).select(F.lit(v.number).alias("number"), F.lit(v.note).alias("note"), "key_id", "name") for v in versions.history(spark, base)]
     return kept[0].unionAll(kept[1])
+
+
+FOLDERS = ("src", "build", "Pods", "fastlane", "node_modules", ".gradle", "Icons.xcassets", "app")
+
+
+def _tree_files(spark: SparkSession, sf_dir: str, rules: trees.TreeRules) -> DataFrame:
+    """Pages dealt over folders, read back by a rule set; the text sink names folders d=<name> and all files .txt."""
+    k = F.col("page_id")
+    folder = F.get(F.array(*map(F.lit, FOLDERS)), (k % len(FOLDERS)).cast("int"))
+    root = _files(table(spark, sf_dir, "pages").select(folder.alias("d"), k, F.col("html").alias("value")), "tree", "d", "page_id")
+    here = replace(rules, suffixes=(".txt",), skipped=tuple(f"d={name}" for name in rules.skipped))
+    rows = trees.tree(spark, root, here)
+    text = F.regexp_replace("text", "\n\\z", "")  # the sink's last line end
+    return rows.select(F.regexp_extract("path", r"^d=([^/]+)/", 1).alias("folder"), F.regexp_extract("path", r"/page_id=(\d+)/", 1).cast("bigint").alias("page_id"), F.md5(text).alias("h"))
+
+
+def _tree_sql(rules: trees.TreeRules) -> str:
+    left = [i for i, name in enumerate(FOLDERS) if name not in rules.skipped and not name.endswith(rules.skipped_suffixes or ("?",))]
+    named = " ".join(f"WHEN {i} THEN '{FOLDERS[i]}'" for i in left)
+    return f"SELECT CASE page_id % {len(FOLDERS)} {named} END AS folder, page_id, md5(html) AS h FROM pages WHERE page_id % {len(FOLDERS)} IN ({', '.join(map(str, left))})"
+
+
+@query(_tree_sql(trees.UNUSED_KEYS))
+def tree_unused_keys(spark, sf_dir):
+    return _tree_files(spark, sf_dir, trees.UNUSED_KEYS)
+
+
+@query(_tree_sql(trees.CONTEXTS))
+def tree_contexts(spark, sf_dir):
+    return _tree_files(spark, sf_dir, trees.CONTEXTS)
+
+
+@query(_tree_sql(trees.ANDROID_TREE))
+def tree_android(spark, sf_dir):
+    return _tree_files(spark, sf_dir, trees.ANDROID_TREE)

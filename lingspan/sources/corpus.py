@@ -102,10 +102,13 @@ def _filled(items: Column) -> Column:
     return F.when(F.size(items) > 0, items)
 
 
-def write_corpus(corpus: Corpus, path: str) -> None:
-    """Ordered text parts: key ids first, keys without one last."""
+def write_corpus(corpus: Corpus, path: str, parts: int | None = None) -> None:
+    """Text parts by ranges of the order, key ids first and keys without one last: read in the order of their names they are the
+    corpus in its order."""
     order = [F.col("key_id").asc_nulls_last(), F.col("ord")]
-    to_json_lines(corpus).repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.text(path)
+    rows = to_json_lines(corpus)
+    dealt = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).select("line").write.text(path)
 
 
 def write_versioned(df: DataFrame, base: str, version: str, retain: int = 20) -> list[str]:

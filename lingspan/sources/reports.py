@@ -12,7 +12,7 @@ def context_report(results: DataFrame, boilerplate: DataFrame, top: int = 40, or
         "dead": results.where(F.size("dead_citations") > 0).select("key", F.array_join("dead_citations", ", ").alias("symbols")).orderBy("key"),
         "mismatch": results.where(F.size("surface_mismatch") > 0).select("key", F.array_join("surface_mismatch", ", ").alias("symbols")).orderBy("key"),
         "caps": results.where("margin IS NOT NULL").select("key", "cap", "longest", "margin").orderBy(F.desc("margin"), "key"),
-        "boilerplate": boilerplate.orderBy(F.desc("n"), "family", "line").limit(top),
+        "boilerplate": boilerplate.select("family", "line", "n").distinct().orderBy(F.desc("n"), "family", "line").limit(top),
         "orphans": results.where("referenced = 'none'").select("key").orderBy("key").limit(orphans),
     }
 

@@ -27,3 +27,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """Names for columns that a step adds for itself: the wanted ones, with underscores before those that are taken."""
+    known = {c.lower() for c in taken} | set(wanted)
+    return [name if name not in {c.lower() for c in taken} else next(x for i in range(1, len(known) + 2) if (x := "_" * i + name) not in known) for name in wanted]

@@ -4,6 +4,7 @@ glossary terms by their rarest word, previews, and groups without arrays."""
 from __future__ import annotations
 
 import glob
+import json
 import os
 import random
 import urllib.parse
@@ -12,11 +13,11 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from lingspan.operators import glossary, graph, reuse, rules, usage
+from lingspan.operators import glossary, graph, lint, reuse, review, rules, usage
 from lingspan.plans import bundles, sync
 from lingspan.schema import GLOSSARY, GLOSSARY_T, KEYS, TRANSLATIONS, Corpus, Glossary
 from lingspan.sources import corpus as corpora
-from lingspan.sources import lines, versions
+from lingspan.sources import lines, trees, versions
 
 
 def corpus_of(spark, texts, langs=("de",)):
@@ -205,3 +206,55 @@ def test_groups_are_rows(spark):
     assert usage.shared_boilerplate(c.keys.select(F.col("key_name").alias("key"), "context")).select("n").distinct().first()["n"] == 40
     for df in (rules.reuse_candidates(c), usage.shared_boilerplate(c.keys.select(F.col("key_name").alias("key"), "context"))):
         assert "collect_" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+# Trees, order, names, narrow lints
+
+TREE = ("src/A.swift", "build/B.swift", "src/X.xcassets/C.swift", "src/R.x.generated.swift", "src/L.strings", "src/D.kt", "fastlane/E.swift", "node_modules/F.kt", ".gradle/G.kt", "Podfile", "a b+c/é.test.swift", "m/x.yml", "Pods/y.yml")
+
+
+@pytest.mark.parametrize(
+    "rules, want",
+    [
+        (trees.UNUSED_KEYS, {"src/A.swift", "fastlane/E.swift", "Podfile", "a b+c/é.test.swift", "m/x.yml"}),
+        (trees.CONTEXTS, {"src/A.swift", "src/X.xcassets/C.swift", "src/R.x.generated.swift", "a b+c/é.test.swift"}),
+        (trees.ANDROID_TREE, {"src/D.kt", "node_modules/F.kt"}),
+    ],
+)
+def test_trees_open_chosen_files_only(spark, tmp_path, rules, want):
+    root = tmp_path / "my tree"
+    for name in TREE:
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(f"in {name}", encoding="utf-8")
+    df = trees.tree(spark, str(root), rules)
+    assert {r["path"]: r["text"] for r in df.collect()} == {name: f"in {name}" for name in want}
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().get("numFiles").get().value() == len(want)
+
+
+def test_ten_parts_in_the_order_of_their_names(spark, tmp_path):
+    c = corpus_of(spark, [(f"k{i}", f"text {i}") for i in range(500)])
+    shuffled = Corpus(c.keys.withColumn("key_id", F.when(F.col("ord") % 7 != 0, (F.col("ord") * 37) % 1009)), c.translations)
+    corpora.write_corpus(shuffled, f"{tmp_path}/c", parts=10)
+    parts = sorted(glob.glob(f"{tmp_path}/c/part-*"))
+    got = [json.loads(line) for p in parts for line in open(p, encoding="utf-8")]
+    want = sorted((x["key_id"] is None, x["key_id"] or 0, x["ord"]) for x in shuffled.keys.collect())
+    assert len(parts) == 10 and [(x.get("key_id") is None, x.get("key_id") or 0) for x in got] == [w[:2] for w in want]
+    assert [x["key"] for x in got if "key_id" not in x] == [f"k{w[2]}" for w in want if w[0]]
+
+
+def test_numbers_keep_columns_of_any_name(spark):
+    rows = spark.createDataFrame([(i % 3, i, f"p{i}", i, i, i, i) for i in range(50)], "g int, x int, part string, _row int, _first int, n int, of int")
+    got = review.numbered(rows, F.desc("x"), by="g").collect()
+    assert set(got[0].asDict()) == {"g", "x", "part", "_row", "_first", "n", "of", "entry"} and all(r["part"] == f"p{r['x']}" and r["n"] == r["_row"] == r["x"] for r in got)
+    assert sorted((r["g"], r["entry"]) for r in got) == sorted((g, k + 1) for g in range(3) for k in range(len(range(g, 50, 3))))
+
+
+def test_lints_shuffle_no_values(spark):
+    """Values are read once, and what is shuffled by key is narrow."""
+    c = corpus_of(spark, [(f"k{i}", f"see https://x.example/{i} [%s] [%s]") for i in range(5)])
+    for check, n in ((lint.lint_urls, 0), (lint.lint_placeholder_count, 0), (lint.lint_placeholder_indexing, 5)):
+        made = check(c)
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("value#") > 0 and not any("value#" in line for line in plan.splitlines() if line.strip().startswith(("Window", "+- Window", "Filter (_some")))
+        assert made.count() == n
