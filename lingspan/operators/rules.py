@@ -63,10 +63,36 @@ def plural_categories(corpus: Corpus, table: dict[str, tuple[str, ...]] = PLURAL
     return forms.select("rec_id", "lang", F.lit("plural-category").alias("code"), F.explode(items).alias("token"))
 
 
-def us_spelling(corpus: Corpus, table: dict[str, str] = US_SPELLING) -> DataFrame:
-    lookup = F.broadcast(corpus.keys.sparkSession.createDataFrame(list(table.items()), "word string, us string"))
+# Endings in which British and US spelling differ, as patterns, and what US spelling has for them.
+US_ENDINGS = (
+    (r"^(.{2,})our(s|ed|ing|ite|ites|able|ful|less|ist|ists|er|ers)?$", "$1or$2"),
+    (r"^(.{3,})is(e|es|ed|ing|er|ers|ation|ations)$", "$1iz$2"),
+    (r"^(.{2,})ys(e|es|ed|ing|er|ers)$", "$1yz$2"),
+    (r"^(.+[bt])re(s|d)?$", "$1er$2"),
+    (r"^(.{3,}[aeiou])ll(ed|ing|er|ers|or|ors)$", "$1l$2"),
+    (r"^(.{3,})ogue(s|d)?$", "$1og$2"),
+    (r"^(def|off|lic|pret)ence(s|d)?$", "$1ense$2"),
+)
+#: Words that stay British here: units of measure.
+KEPT_SPELLINGS = ("litre", "litres", "millilitre", "millilitres")
+
+
+def us_pairs(words: DataFrame, least: int = 1, kept: tuple[str, ...] = KEPT_SPELLINGS) -> DataFrame:
+    """words (word, n) -> (word, us, n, us_n): words with a British ending whose US spelling, by US_ENDINGS, is itself a word of
+    the texts, found `least` times or more. So a corpus says by its own words what is a variant: 'promise' has no 'promize'
+    beside it and is none."""
+    made = F.array_compact(F.array(*[F.when(F.col("word").rlike(p), F.regexp_replace("word", p, us)) for p, us in US_ENDINGS]))
+    british = words.where(~F.col("word").isin(*kept)).select("word", "n", F.explode(F.array_distinct(made)).alias("us")).where("us <> word")
+    return british.join(words.where(F.col("n") >= least).select(F.col("word").alias("us"), F.col("n").alias("us_n")), "us").select("word", "us", "n", "us_n")
+
+
+def us_spelling(corpus: Corpus, table: dict[str, str] = US_SPELLING, least: int = 1) -> DataFrame:
+    """British spellings in source texts: words of the table, and words of us_pairs over the source texts."""
     words = live_values(corpus).where(F.col("lang") == SOURCE_LANG).select("rec_id", "lang", F.explode(F.array_distinct(F.split(F.lower("value"), r"[^\p{L}]+"))).alias("word"))
-    return words.join(lookup, "word").select("rec_id", "lang", F.lit("us-spelling").alias("code"), F.concat("word", F.lit(" -> "), "us").alias("token"))
+    listed = corpus.keys.sparkSession.createDataFrame(list(table.items()), "word string, us string")
+    ruled = us_pairs(words.where("word <> ''").groupBy("word").agg(F.count("*").alias("n")), least).select("word", "us")
+    pairs = listed.unionAll(ruled.join(listed.select("word"), "word", "left_anti"))
+    return words.join(pairs, "word").select("rec_id", "lang", F.lit("us-spelling").alias("code"), F.concat("word", F.lit(" -> "), "us").alias("token"))
 
 
 def length_budget(corpus: Corpus, budgets: dict[str, int] = BUDGETS) -> DataFrame:

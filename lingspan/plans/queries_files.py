@@ -8,16 +8,17 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingspan.operators import glossary, review
+from lingspan.operators import edits, glossary, lint, review, rules, usage
 from lingspan.plans import bundles, sync
-from lingspan.plans.derived import table
+from lingspan.plans.derived import derived_corpus, table
 from lingspan.plans.forms import forms_corpus
-from lingspan.plans.queries import G, MERGED, _glossary, _passes, query
+from lingspan.plans.queries import FAMILY, G, MERGED, WITH, _glossary, _passes, query
 from lingspan.plans.queries_code import ANDROID, RENDERED
 from lingspan.plans.queries_forms import FORMS
+from lingspan.functions import text as X
 from lingspan.schema import Glossary
 from lingspan.sources import corpus as corpora
-from lingspan.sources import dumps, lines, trees, versions
+from lingspan.sources import dumps, lines, reports, trees, versions
 from lingspan.tables import shared_dir
 
 
@@ -340,3 +341,62 @@ def tree_contexts(spark, sf_dir):
 @query(_tree_sql(trees.ANDROID_TREE))
 def tree_android(spark, sf_dir):
     return _tree_files(spark, sf_dir, trees.ANDROID_TREE)
+
+
+# Reports, names, contexts, spelling, edits
+
+
+@query("""WITH w AS (SELECT unnest(string_split(lower(concat(p_name, ' ', p_type)), ' ')) AS stem, p_partkey AS k FROM part), v AS (SELECT concat(stem, CASE WHEN k % 4 = 0 THEN 'our' WHEN k % 4 = 1 THEN 'or' WHEN k % 4 = 2 THEN 'ised' ELSE 'tre' END) AS word FROM w),
+c AS (SELECT word, count(*) AS n FROM v GROUP BY 1)
+SELECT a.word, b.word AS us, a.n, b.n AS us_n FROM c a JOIN c b ON b.word = regexp_replace(a.word, 'our$', 'or') WHERE a.word LIKE '__%our'""")
+def us_spelling_pairs(spark, sf_dir):
+    k = F.col("p_partkey")
+    stems = table(spark, sf_dir, "part").select(k, F.explode(F.split(F.lower(F.concat("p_name", F.lit(" "), "p_type")), " ")).alias("stem"))
+    word = F.concat("stem", F.when(k % 4 == 0, "our").when(k % 4 == 1, "or").when(k % 4 == 2, "ised").otherwise("tre"))
+    return rules.us_pairs(stems.groupBy(word.alias("word")).agg(F.count("*").alias("n")))
+
+
+@query(FORMS + """SELECT key_id, CASE WHEN platforms_csv = '' OR contains(platforms_csv, 'android') THEN coalesce(name_android, key_name) END AS name FROM k""")
+def android_names(spark, sf_dir):
+    return forms_corpus(spark, sf_dir).keys.select("key_id", dumps.android_name("key_name", "key_by_platform", "platforms").alias("name"))
+
+
+@query("""SELECT p_partkey AS key_id, concat('Surface: ', p_name, chr(10), 'Type: ', p_type, chr(10), 'Context: of ', p_brand, chr(10), 'Constraints: at most ', p_size) AS context, concat('of ', p_brand) AS said FROM part""")
+def built_contexts(spark, sf_dir):
+    built = X.build_context(F.col("p_name"), F.col("p_type"), F.concat(F.lit("of "), "p_brand"), F.concat(F.lit("at most "), F.col("p_size").cast("string")))
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key_id"), built.alias("context"))
+    return rows.select("key_id", "context", X.strip(X.context_fields("context")["Context"]).alias("said"))
+
+
+@query("""WITH a AS (SELECT DISTINCT p_brand AS key FROM part), b AS (SELECT DISTINCT p_brand AS key FROM part WHERE p_partkey % 2 = 0)
+SELECT 'all' AS name, true AS same UNION ALL SELECT 'halves', NOT EXISTS (SELECT 1 FROM a WHERE key NOT IN (SELECT key FROM b))""")
+def same_key_sets(spark, sf_dir):
+    keys = table(spark, sf_dir, "part").select(F.col("p_brand").alias("key"), "p_partkey")
+    return spark.createDataFrame([("all", bundles.same_key_set(keys, keys)), ("halves", bundles.same_key_set(keys, keys.where("p_partkey % 2 = 0")))], "name string, same boolean")
+
+
+@query(WITH + FAMILY + """, l AS (SELECT family, trim(unnest(string_split(context, chr(10)))) AS line FROM f), m AS (SELECT family, line, count(*) AS n FROM l WHERE (starts_with(line, 'Surface:') OR starts_with(line, 'Constraints:')) AND length(line) > 25 GROUP BY ALL HAVING count(*) >= 3)
+SELECT family, line, n FROM m ORDER BY n DESC, family, line LIMIT 40""")
+def context_report_boilerplate(spark, sf_dir):
+    none = spark.createDataFrame([], "key string, dead_citations array<string>, surface_mismatch array<string>, margin int, cap int, longest int, referenced string")
+    return reports.context_report(none, usage.shared_boilerplate(lint.live_keys(derived_corpus(spark, sf_dir))))["boilerplate"]
+
+
+@query("""WITH p AS (SELECT p_name AS key, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS pools, count(DISTINCT CASE WHEN p_partkey % 40 = 0 THEN p_brand END) AS used, count(DISTINCT p_brand) AS n FROM part GROUP BY 1) SELECT key, pools FROM p WHERE used = 0""")
+def usage_report_candidates(spark, sf_dir):
+    parts = table(spark, sf_dir, "part")
+    entries = parts.select(F.col("p_brand").alias("pool"), F.col("p_name").alias("key")).distinct()
+    used = parts.where("p_partkey % 40 = 0").select(F.col("p_brand").alias("pool"), F.col("p_name").alias("key")).distinct()
+    path = _folder(spark, "usage")
+    reports.write_usage_report(usage.pool_status(entries, used), usage.pool_counts(entries, used), parts.select(F.col("p_name").alias("name")), path)
+    return spark.read.option("sep", "\t").option("header", True).csv(f"{path}/candidates").select("key", "pools")
+
+
+@query(FORMS + "SELECT concat('id:', key_id) AS rec_id, lang, form, CASE WHEN lang = 'pl' AND form = '' AND key_id % 6 = 4 AND key_id % 11 <> 4 AND unverified THEN concat('nowy ', key_id) ELSE value END AS value FROM t")
+def backlog_edits(spark, sf_dir):
+    """Edits of flat Polish values that wait for review: none is refused, so all are applied."""
+    c = forms_corpus(spark, sf_dir)
+    named = c.keys.where("key_id % 6 = 4 AND key_id % 11 <> 4 AND NOT plural").select("rec_id", "key_id", F.col("key_name").alias("key"))
+    rows = named.join(c.translations.where("lang = 'pl' AND is_unverified").select("rec_id").distinct(), "rec_id").select("key", F.lit("pl").alias("lang"), F.lit("").alias("form"), F.concat(F.lit("nowy "), F.col("key_id").cast("string")).alias("value"), F.lit(0).alias("pos"))
+    changed, refused = edits.apply_backlog_edits(c, rows, "pl")
+    return changed.translations.select("rec_id", "lang", "form", "value")

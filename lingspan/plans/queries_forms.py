@@ -42,8 +42,16 @@ def plural_categories(spark, sf_dir):
     return rules.plural_categories(forms_corpus(spark, sf_dir))
 
 
-@query(FORMS + """, w AS (SELECT rec_id, lang, unnest(list_distinct(regexp_split_to_array(lower(value), '[^\\p{L}]+'))) AS word FROM lv WHERE lang = 'en')
-SELECT rec_id, lang, 'us-spelling' AS code, concat(word, ' -> ', us) AS token FROM w JOIN (VALUES ('fulfil', 'fulfill'), ('favourite', 'favorite'), ('colour', 'color'), ('centre', 'center'), ('behaviour', 'behavior'), ('organise', 'organize'), ('analyse', 'analyze')) s(word, us) USING (word)""")
+def _endings_sql() -> str:
+    made = ", ".join(f"CASE WHEN regexp_matches(word, '{p}') THEN regexp_replace(word, '{p}', '{us.replace('$', chr(92))}') END" for p, us in rules.US_ENDINGS)
+    return f"list_distinct(list_filter([{made}], lambda x: x IS NOT NULL))"
+
+
+@query(FORMS + f""", w AS (SELECT rec_id, lang, unnest(list_distinct(regexp_split_to_array(lower(value), '[^\\p{{L}}]+'))) AS word FROM lv WHERE lang = 'en'),
+s(word, us) AS (VALUES ('fulfil', 'fulfill'), ('favourite', 'favorite'), ('colour', 'color'), ('centre', 'center'), ('behaviour', 'behavior'), ('organise', 'organize'), ('analyse', 'analyze')),
+d AS (SELECT DISTINCT word FROM w), r AS (SELECT word, unnest({_endings_sql()}) AS us FROM d WHERE word NOT IN ('litre', 'litres', 'millilitre', 'millilitres')),
+b AS (SELECT * FROM s UNION ALL SELECT word, us FROM r WHERE us <> word AND us IN (SELECT word FROM d) AND word NOT IN (SELECT word FROM s))
+SELECT rec_id, lang, 'us-spelling' AS code, concat(word, ' -> ', us) AS token FROM w JOIN b USING (word)""")
 def us_spelling(spark, sf_dir):
     return rules.us_spelling(forms_corpus(spark, sf_dir))
 

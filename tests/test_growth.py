@@ -258,3 +258,22 @@ def test_lints_shuffle_no_values(spark):
         plan = made._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("value#") > 0 and not any("value#" in line for line in plan.splitlines() if line.strip().startswith(("Window", "+- Window", "Filter (_some")))
         assert made.count() == n
+
+
+# Spelling
+
+
+def test_us_pairs_by_the_texts_own_words(spark):
+    pairs = {
+        "colour": "color", "colours": "colors", "favourite": "favorite", "behaviour": "behavior", "organise": "organize", "organisation": "organization", "analyse": "analyze", "centre": "center", "fibre": "fiber",
+        "cancelled": "canceled", "travelling": "traveling", "catalogue": "catalog", "defence": "defense", "licences": "licenses", "neighbourhood": None,
+    }
+    innocent = ["promise", "advise", "four", "for", "hour", "your", "more", "before", "there", "litre", "liter", "called", "filling", "filing", "rise", "rize", "science", "absence", "sunrise", "exercise", "contour", "are", "acre", "league", "our", "or"]
+    words = [w for w in [*pairs, *pairs.values(), *innocent] if w]
+    got = rules.us_pairs(spark.createDataFrame([(w, 3) for w in words], "word string, n long")).collect()
+    found = {(r["word"], r["us"]) for r in got}
+    want = {(w, u) for w, u in pairs.items() if u}
+    assert found == want, found ^ want
+    assert rules.us_pairs(spark.createDataFrame([("colour", 3), ("color", 1)], "word string, n long"), least=2).count() == 0
+    c = corpus_of(spark, [("a", "Neighbours, colour and flavour"), ("b", "a flavor; organise"), ("c", "promise")])
+    assert {(r["rec_id"], r["token"]) for r in rules.us_spelling(c).collect()} == {("id:0", "colour -> color"), ("id:0", "flavour -> flavor"), ("id:1", "organise -> organize")}
