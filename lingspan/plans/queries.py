@@ -509,9 +509,10 @@ def hard_breaks(spark, sf_dir):
     return rules.hard_breaks(derived_corpus(spark, sf_dir))
 
 
+@query(WITH + """, a AS (SELECT key_id, string_agg(concat(CAST(to_json(lang) AS VARCHAR), ':', CAST(to_json(value) AS VARCHAR)), ',' ORDER BY lang) AS t, max(CASE WHEN lang = 'en' THEN CAST(to_json(value) AS VARCHAR) END) AS en,
+string_agg(CAST(to_json(lang) AS VARCHAR), ',' ORDER BY lang) FILTER (unverified) AS u, string_agg(CAST(to_json(lang) AS VARCHAR), ',' ORDER BY lang) FILTER (dirty) AS d FROM tr GROUP BY key_id)
+SELECT k.key_id, concat('{"key_id":', k.key_id, ',"key":', CAST(to_json(key_name) AS VARCHAR), ',"platforms":[', CASE WHEN platforms_csv <> '' THEN concat('"', replace(platforms_csv, ',', '","'), '"') END, ']', ',"en":' || en, ',"context":' || CAST(to_json(nullif(context, '')) AS VARCHAR),
+CASE WHEN archived THEN ',"archived":true' END, ',"unverified":[' || u || ']', ',"dirty":[' || d || ']', ',"t":{', t, '}}') AS line FROM k LEFT JOIN a USING (key_id)""")
 def json_lines(spark, sf_dir):
     """The corpus as lean JSON lines, in order of nothing."""
     return corpora.to_json_lines(derived_corpus(spark, sf_dir)).select("key_id", "line")
-
-
-QUERIES["json_lines"] = json_lines
