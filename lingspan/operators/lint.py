@@ -59,18 +59,32 @@ def value_items(value: Column | str) -> Column:
     return F.concat(single, _items(F.transform(X.invisible_spaces(value), X.space_name), "error", "invisible-space"))
 
 
+def values_found(rows: DataFrame) -> DataFrame:
+    """Findings of value_items in rows (rec_id, key, lang, value), of a table or a stream."""
+    return _findings(rows, value_items("value"), "value")
+
+
 def lint_values(corpus: Corpus, langs: list[str] | None = None) -> DataFrame:
-    return in_langs(_findings(live_values(corpus), value_items("value"), "value"), langs)
+    return in_langs(values_found(live_values(corpus)), langs)
 
 
-def lint_source_script(corpus: Corpus) -> DataFrame:
-    rows = live_values(corpus).where(F.col("lang") == SOURCE_LANG)
+def script_found(rows: DataFrame) -> DataFrame:
+    """Cyrillic in source values of rows (rec_id, key, lang, value), of a table or a stream."""
     run = X.cyrillic_run("value")
-    return _findings(rows, F.array_compact(F.array(_item(run.isNotNull(), "error", "cyrillic-in-source", run))), "value")
+    return _findings(rows.where(F.col("lang") == SOURCE_LANG), F.array_compact(F.array(_item(run.isNotNull(), "error", "cyrillic-in-source", run))), "value")
+
+
+def lint_source_script(corpus: Corpus) -> DataFrame:
+    return script_found(live_values(corpus))
 
 
 def lint_context(corpus: Corpus) -> DataFrame:
-    rows = live_keys(corpus).where(F.coalesce("context", F.lit("")) != "").withColumn("lang", F.lit("(context)"))
+    return contexts_found(live_keys(corpus))
+
+
+def contexts_found(rows: DataFrame) -> DataFrame:
+    """Empty fields and Cyrillic phrases in contexts of rows (rec_id, key, context), of a table or a stream."""
+    rows = rows.where(F.coalesce("context", F.lit("")) != "").withColumn("lang", F.lit("(context)"))
     empty = [_item(X.strip(X.context_body("context", f)) == "", "error", "context-empty-field", f) for f in OPTIONAL_CONTEXT_FIELDS]
     phrase = _item(X.has_loose_cyrillic_phrase("context"), "error", "context-cyrillic-block", "Cyrillic phrase (multi-word)")
     return _findings(rows, F.array_compact(F.array(*empty, phrase)), "context")
@@ -127,7 +141,12 @@ def lint_placeholders(corpus: Corpus, langs: list[str] | None = None) -> DataFra
     """Tokens of a value that the corpus does not allow; wrapped ones and substitution variables are peeled off first."""
     rows = live_values(corpus, "platforms").where(F.col("value").contains("%"))
     owners = key_names(corpus).join(companions(corpus), "name", "left_semi").select("rec_id").distinct().withColumn("paired", F.lit(True))
-    rows = rows.join(owners, "rec_id", "left")
+    return in_langs(placeholders_found(rows.join(owners, "rec_id", "left")), langs)
+
+
+def placeholders_found(rows: DataFrame) -> DataFrame:
+    """lint_placeholders in rows (rec_id, key, lang, value, platforms, paired), of a table or a stream; `paired` says that the key owns
+    a plural companion."""
     none = F.size("platforms") == 0
     runtime = none | F.arrays_overlap("platforms", F.array(F.lit("ios"), F.lit("android")))
     leaks = none | (F.size(F.array_except("platforms", F.array(F.lit("ios")))) > 0)
@@ -142,7 +161,7 @@ def lint_placeholders(corpus: Corpus, langs: list[str] | None = None) -> DataFra
         )),
         F.when(F.size(variables) > 0, F.array().cast(f"array<{_ITEM}>")).otherwise(_items(X.matches(plain, X.BARE), "error", "bare-placeholder")),
     )
-    return in_langs(_findings(rows, items, "value"), langs)
+    return _findings(rows, items, "value")
 
 
 def _with_tokens(corpus: Corpus) -> DataFrame:

@@ -18,6 +18,7 @@ from lingspan.plans import bundles, sync
 from lingspan.schema import GLOSSARY, GLOSSARY_T, KEYS, TRANSLATIONS, Corpus, Glossary
 from lingspan.sources import corpus as corpora
 from lingspan.sources import lines, trees, versions
+from lingspan.streaming import lints as streams
 
 
 def corpus_of(spark, texts, langs=("de",)):
@@ -277,3 +278,30 @@ def test_us_pairs_by_the_texts_own_words(spark):
     assert rules.us_pairs(spark.createDataFrame([("colour", 3), ("color", 1)], "word string, n long"), least=2).count() == 0
     c = corpus_of(spark, [("a", "Neighbours, colour and flavour"), ("b", "a flavor; organise"), ("c", "promise")])
     assert {(r["rec_id"], r["token"]) for r in rules.us_spelling(c).collect()} == {("id:0", "colour -> color"), ("id:0", "flavour -> flavor"), ("id:1", "organise -> organize")}
+
+
+# Streams
+
+
+def test_streams_find_what_batches_find(spark, tmp_path):
+    """Two runs of a query over files that come in between; the second goes on from the checkpoint of the first."""
+    texts = [(f"k{i}", ["fine", "a — b", "ночь 5% off [%s]", " %d gone", "%1$#@v@ of", "two  gaps%%"][i % 6]) for i in range(60)] + [("k4::v", "x")]
+    c = corpus_of(spark, texts)
+    contexts = F.when(F.col("ord") % 3 == 0, "Surface: x\nRegister: \nTone: calm").when(F.col("ord") % 3 == 1, "Surface: это длинная фраза").otherwise("Surface: x")
+    c = Corpus(c.keys.withColumn("context", contexts), c.translations)
+    values, keys = lint.live_values(c, "platforms").select("rec_id", "key", "lang", "value", "platforms"), lint.live_keys(c).select("rec_id", "key", "context")
+    owners = lint.key_names(c).join(lint.companions(c), "name", "left_semi").select("rec_id").distinct()
+    runs = 0
+    for half in (0, 1):
+        values.where(F.abs(F.xxhash64("rec_id")) % 2 == half).write.mode("append").parquet(f"{tmp_path}/values")
+        keys.where(F.abs(F.xxhash64("rec_id")) % 2 == half).write.mode("append").parquet(f"{tmp_path}/keys")
+        found = streams.stream_lints(spark.readStream.schema(values.schema).parquet(f"{tmp_path}/values"), owners)
+        said = streams.stream_lint_contexts(spark.readStream.schema(keys.schema).parquet(f"{tmp_path}/keys"))
+        for df, name in ((found, "found"), (said, "said")):
+            query = streams.append_findings(df, f"{tmp_path}/{name}", f"{tmp_path}/{name}-checkpoint")
+            assert query.awaitTermination(120) and query.exception() is None
+            runs += 1
+    batch = lint.lint_values(c).unionByName(lint.lint_source_script(c)).unionByName(lint.lint_placeholders(c))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert runs == 4 and rows(spark.read.parquet(f"{tmp_path}/found")) == rows(batch) and len({r[4] for r in rows(batch)}) >= 6
+    assert rows(spark.read.parquet(f"{tmp_path}/said")) == rows(lint.lint_context(c)) and lint.lint_context(c).count() > 20
