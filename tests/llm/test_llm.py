@@ -696,4 +696,4 @@ def test_mixing(spark):
 
 
 def test_queries_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
