@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .shared import few_rows_a_batch, free_names, map_texts, materialize, utf8
+from .shared import few_rows_a_batch, free_names, map_texts, materialize, scratch, utf8
 from .simhash import link_within_two, simhash
 
 WORDS = 5
@@ -311,9 +311,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without all but one row of each near_groups component: the one of the smallest key, rows without a key last;
     of different texts under one key the one of the smallest hash; of repeated rows one."""
-    groups = _groups(_texts(docs, key, text))
     first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "r1", "r2")).alias("of")
-    kept = groups.groupBy("component").agg(first).select("of.r1", "of.r2")
+    with scratch(docs.sparkSession) as keep:  # the steps' tables go before the next stage runs
+        kept = keep(_groups(_texts(docs, key, text)).groupBy("component").agg(first).select("of.r1", "of.r2"), "kept")
     r1, r2, nth = free_names(docs.columns, "r1", "r2", "nth")
     rows = docs.withColumns({r1: F.xxhash64(F.col(key).cast("string"), text), r2: F.xxhash64(F.lit(1), F.col(key).cast("string"), text)})
     rows = rows.join(kept.select(F.col("r1").alias(r1), F.col("r2").alias(r2)), [r1, r2], "left_semi")

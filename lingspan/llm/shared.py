@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Folders made in local mode, by application: the setting itself can't be changed in a session.
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors see, from spark.checkpoint.dir. In local mode, as in tests, where driver and executors
     are one process, one is made if none is named; on a cluster that is an error."""
@@ -22,19 +28,46 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="lingspan-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own.get(spark.sparkContext.applicationId) or _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="lingspan-"))
     return folder.rstrip("/")
 
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet under the shared folder and read it back: lineage is cut, lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (mine := _written.get()) is not None:
+        mine.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Deletes at its end the tables that materialize has written inside, so that they take no room while later steps run. It
+    gives a function like materialize for what is to outlive it; nothing else made inside may be used after it."""
+    outer, mine = _written.get(), []
+    token = _written.set(mine)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        inner = _written.set(outer)
+        try:
+            return materialize(df, name)
+        finally:
+            _written.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        _written.reset(token)
+        for path in mine:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def free_names(taken: list[str], *wanted: str) -> list[str]:
     """The wanted column names, with as many underscores before them as keep them apart from the taken ones."""
     taken, out = {c.lower() for c in taken}, []

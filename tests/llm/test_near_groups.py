@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lingspan.llm import near
+from lingspan.llm import near, shared
 
 
 def words_of(r, n):
@@ -145,3 +145,13 @@ def test_long_texts_near_the_threshold(spark):
             u[j] = "zz"
         texts += [t, u]
     assert 60 < len(set(check(spark, texts))) < 120
+
+
+def test_tables_of_the_steps_are_deleted(spark, tmp_path, monkeypatch):
+    r = random.Random(9)
+    base = words_of(r, 60)
+    docs = spark.createDataFrame([(i, " ".join(base if i % 2 else words_of(r, 60))) for i in range(20)], "doc_id long, text string")
+    monkeypatch.setattr(shared, "shared_dir", lambda spark: str(tmp_path))
+    kept = near.drop_near_duplicates(docs)
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["kept"]
+    assert kept.count() == 11 and kept.count() == 11
