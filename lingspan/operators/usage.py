@@ -229,27 +229,44 @@ def android_defined_keys(files: DataFrame) -> DataFrame:
     return _hits(xml, "text", tag, "d").unionByName(_hits(xml, "text", item, "d")).select("name").distinct()
 
 
+def _android_references(files: DataFrame) -> DataFrame:
+    """(path, name, kind, field): every reference of a file, told in one pass over the files; `field` marks a name that may be an
+    R field, in which other characters than letters and digits are underscores."""
+    xml, code = F.col("path").endswith(".xml"), ~F.col("path").endswith(".xml")
+    said = lambda names, kind, field: F.transform(names, lambda n: F.struct(n.alias("name"), F.lit(kind).alias("kind"), F.lit(field).alias("field")))
+    none = F.array().cast("array<struct<name:string,kind:string,field:boolean>>")
+    aliases = F.transform(X.matches("text", CLASS_IMPORT, 1), lambda a: F.when(F.coalesce(a, F.lit("")) == "", "string").otherwise(a))
+    member = r"\b([A-Za-z_][A-Za-z0-9_]*)\s*\.\s*([A-Za-z_][A-Za-z0-9_]*)\b"
+    members = F.arrays_zip(X.matches("text", member, 1).alias("o"), X.matches("text", member, 2).alias("f"))
+    of_alias = F.get(F.transform(F.array(aliases), lambda z: F.filter(members, lambda m: F.array_contains(z, m["o"]))), F.lit(0))  # the aliases of a file are looked up once
+    dotted = F.transform(of_alias, lambda m: F.struct(m["f"].alias("name"), m["o"].alias("kind"), F.lit(True).alias("field")))
+    found = F.concat(
+        F.when(xml, said(X.matches("text", RESOURCE, 1), "@resource", False)).otherwise(none),
+        *[F.when(code, said(X.matches("text", p, 1), "dynamic-string", False)).otherwise(none) for p in DYNAMIC],
+        F.when(code, F.concat(said(X.matches("text", STATIC_IMPORT, 1), "import", True), said(X.matches("text", R_FIELD, 1), "R.string", True))).otherwise(none),
+        F.when(code & F.col("text").rlike(CLASS_IMPORT), dotted).otherwise(none),
+    )
+    # outer, as Spark would search each file once more to leave out files without a reference before the explode
+    rows = files.where("path IS NOT NULL").select("path", F.explode_outer(found).alias("r")).where("r IS NOT NULL")
+    name = F.when(F.col("r.kind") == "dynamic-string", X.unescape_json("r.name")).otherwise(F.col("r.name"))
+    return rows.select("path", name.alias("name"), "r.kind", "r.field").distinct()
+
+
 def android_usage(files: DataFrame) -> DataFrame:
-    """(key, evidence): resource references, R fields, imports with their aliases, and names in code."""
+    """(key, evidence): resource references, R fields, imports with their aliases, and names in code. A field that is no
+    defined name stands for the names that are written so. References meet the names in one shuffled join: how many there
+    are can't be told from the size of the files, so no side may be sent to all executors on a guess."""
     defined = android_defined_keys(files)
-    direct = _hits(files.where(F.col("path").endswith(".xml")), "text", RESOURCE, "@resource", "path")
-    code = files.where(~F.col("path").endswith(".xml"))
-    for p in DYNAMIC:
-        direct = direct.unionByName(_hits(code, "text", p, "dynamic-string", "path").withColumn("name", X.unescape_json("name")))
-    fields = _hits(code, "text", STATIC_IMPORT, "import", "path").unionByName(_hits(code, "text", R_FIELD, "R.string", "path"))
-    alias = code.where(F.col("text").rlike(CLASS_IMPORT)).select("path", "text", F.explode(F.array_distinct(X.matches("text", CLASS_IMPORT, 1))).alias("alias")).withColumn("alias", F.coalesce(F.nullif("alias", F.lit("")), F.lit("string")))
-    member = r"\b([A-Za-z_][A-Za-z0-9_]*)\s*\.\s*([A-Za-z_][A-Za-z0-9_]*)\b"
-    dotted = alias.select("path", "alias", F.explode(F.arrays_zip(X.matches("text", member, 1).alias("o"), X.matches("text", member, 2).alias("f"))).alias("m")).where("m.o = alias")
-    fields = fields.unionByName(dotted.select("path", F.col("m.f").alias("name"), F.col("alias").alias("kind")))
-    exact = fields.join(defined, "name", "left_semi").select("path", F.col("name").alias("key"), "kind")
-    other = fields.join(defined, "name", "left_anti").join(defined.select(F.col("name").alias("key"), X.android_field("name").alias("name")), "name").select("path", "key", "kind")
-    found = direct.join(defined, "name", "left_semi").select("path", F.col("name").alias("key"), "kind").unionByName(exact).unionByName(other)
+    written = defined.select(X.android_field("name").alias("name"), F.col("name").alias("key"), F.lit(False).alias("exact"))
+    other = written.join(defined.hint("merge"), "name", "left_anti")
+    names = defined.select("name", F.col("name").alias("key"), F.lit(True).alias("exact")).unionByName(other)
+    found = _android_references(files).join(names.hint("merge"), "name").where("exact OR field")
     return found.select("key", F.concat("path", F.lit(":"), "kind").alias("evidence")).distinct()
 
 
 def unused_keys(defined: DataFrame, used: DataFrame, dynamic: list[str] = ()) -> DataFrame:
     """Defined names that nothing uses, in case-insensitive order; names put together at run time count as used."""
-    rows = defined.select("name").distinct().join(used.select(F.col("key").alias("name")).distinct(), "name", "left_anti")
+    rows = defined.select("name").distinct().join(used.select(F.col("key").alias("name")).distinct().hint("merge"), "name", "left_anti")  # of unknown size
     return (rows.where(~F.col("name").isin(*dynamic)) if dynamic else rows).orderBy(F.lower("name"), "name")
 
 

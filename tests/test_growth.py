@@ -305,3 +305,18 @@ def test_streams_find_what_batches_find(spark, tmp_path):
     rows = lambda df: sorted(map(tuple, df.collect()))
     assert runs == 4 and rows(spark.read.parquet(f"{tmp_path}/found")) == rows(batch) and len({r[4] for r in rows(batch)}) >= 6
     assert rows(spark.read.parquet(f"{tmp_path}/said")) == rows(lint.lint_context(c)) and lint.lint_context(c).count() > 20
+
+
+# Names of resources
+
+
+def test_names_of_resources_are_not_broadcast(spark, tmp_path):
+    """How many names files hold can't be told from their size: no side of the joins is sent whole to the executors. Fields with an
+    exact name stand for it alone, others for every name written so."""
+    rows = [("res/values/s.xml", '<string name="a.b"/><string name="a-b"/><string name="c.d"/><string name="c_d"/><string name="e"/>'), ("F.kt", 'R.string.a_b R.string.c_d\nimport x.R.string as S\nS.e getString("c.d")'), ("l.xml", "@string/a.b @string/a_b"), (None, "R.string.e")]
+    spark.createDataFrame(rows, "path string, text string").write.parquet(f"{tmp_path}/files")
+    files = spark.read.parquet(f"{tmp_path}/files")
+    used = usage.android_usage(files)
+    assert sorted(map(tuple, used.collect())) == [("a-b", "F.kt:R.string"), ("a.b", "F.kt:R.string"), ("a.b", "l.xml:@resource"), ("c.d", "F.kt:dynamic-string"), ("c_d", "F.kt:R.string"), ("e", "F.kt:S")]
+    for df in (used, usage.unused_keys(usage.android_defined_keys(files), used)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
