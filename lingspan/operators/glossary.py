@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lingspan.functions import text as X
 from lingspan.schema import CO_SOURCE_LANG, SOURCE_LANG, TAG_VOCABULARY, Glossary
-from lingspan.tables import materialize
 
 
 def normalize(glossary: Glossary) -> Glossary:
@@ -182,28 +181,39 @@ def anchors(terms: DataFrame, words: DataFrame) -> DataFrame:
     return ranked.where("m.texts > 0").select("term", "m.word")
 
 
+def term_places(terms: DataFrame, sources: DataFrame) -> DataFrame:
+    """terms (term, parts) and distinct sources (rec_id, source) -> (rec_id, term) where the words of a term stand in a row. A text
+    gives the hashes of its runs of words, of the lengths that terms have; a run that meets a term's is compared in the
+    whole text. Equal terms and equal texts are matched once."""
+    padded = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
+    known = terms.select("term", F.xxhash64(F.size("parts"), F.array_join("parts", " ")).alias("run"), padded("parts").alias("phrase")).distinct()
+    lengths = F.coalesce(terms.agg(F.collect_set(F.size("parts"))).scalar(), F.array().cast("array<int>"))  # as many as terms differ in length
+    texts = sources.select("source").distinct().select(F.md5("source").alias("text_id"), _words("source").alias("said"))
+    run = "transform(filter(sequence(0, greatest(size(z) - n, 0)), i -> i + n <= size(z)), i -> xxhash64(n, array_join(slice(z, i + 1, n), ' ')))"
+    runs = F.array_distinct(F.expr(f"flatten(get(transform(array(said), z -> transform(lengths, n -> {run})), 0))"))
+    places = texts.withColumn("lengths", lengths).select("text_id", F.explode_outer(runs).alias("run")).where("run IS NOT NULL").join(known, "run")
+    places = places.join(texts, "text_id").where(padded("said").contains(F.col("phrase"))).select("text_id", "term")
+    return sources.select("rec_id", F.md5("source").alias("text_id")).join(places, "text_id").select("rec_id", "term")
+
+
 def hits(glossary: Glossary, values: DataFrame) -> DataFrame:
     """values (rec_id, lang, source, value) -> (rec_id, lang, term, kind): a frozen term that the value lacks (freeze), a
     canonical rendering that it lacks (divergence), a forbidden term's rendering that it has (forbidden).
 
-    A term meets the texts that have its rarest word, and is then looked for in the whole text as a sequence of words. Only
-    words of the glossary leave the texts, each once a text; a long term costs no more than a short one."""
+    A term meets the texts that have its words in a row, and no others, however many share some of its words. A term that
+    the glossary has several times is looked for once; its findings are repeated at the end."""
     g = normalize(glossary)
     terms = g.terms.select("term", "translatable", "forbidden", _words("term").alias("parts")).where(F.size("parts") > 0)
-    sources = values.select("rec_id", "source").distinct()
-    known = terms.select(F.explode("parts").alias("word")).distinct()
-    words = materialize(sources.select("rec_id", F.explode(F.array_distinct(_words("source"))).alias("word")).join(known, "word", "left_semi"), "words")
-    near = words.join(anchors(terms, words), "word").select("rec_id", "term").distinct()
-    padded = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
-    found = near.join(terms, "term").join(sources, "rec_id").where(padded(_words("source")).contains(padded(F.col("parts")))).select("rec_id", "term", "translatable", "forbidden")
-    rows = values.join(found, "rec_id").join(g.texts.select("term", "lang", "text"), ["term", "lang"], "left")
+    near = term_places(terms, values.select("rec_id", "source").distinct())
+    found = near.join(terms.groupBy("term", "translatable", "forbidden").agg(F.count("*").cast("int").alias("times")), "term")
+    rows = values.where((F.col("lang") != SOURCE_LANG) & (F.col("value") != "")).select("rec_id", "lang", "value").join(found, "rec_id").join(g.texts.select("term", "lang", "text"), ["term", "lang"], "left")
     has = lambda c: F.lower("value").contains(F.lower(c))
     kind = (
         F.when(~F.col("translatable") & ~has("term"), "freeze")
         .when(F.col("forbidden") & F.col("text").isNotNull() & has("text"), "forbidden")
         .when(F.col("translatable") & ~F.col("forbidden") & F.col("text").isNotNull() & ~has("text"), "divergence")
     )
-    return rows.where((F.col("lang") != SOURCE_LANG) & (F.col("value") != "")).withColumn("kind", kind).where("kind IS NOT NULL").select("rec_id", "lang", "term", "kind")
+    return rows.withColumn("kind", kind).where("kind IS NOT NULL").withColumn("_nth", F.explode(F.sequence(F.lit(1), "times"))).select("rec_id", "lang", "term", "kind")
 
 
 def regenerate(raw: DataFrame, lang_map: DataFrame, known_langs: list[str]) -> tuple[Glossary, DataFrame]:

@@ -192,6 +192,30 @@ def test_terms_meet_texts_by_their_rarest_word(spark):
     assert [tuple(r) for r in glossary.anchors(parts, words).collect()] == [("pay now", "now")]
 
 
+def test_terms_of_common_words_meet_only_texts_that_have_them(spark):
+    """Words that many terms and texts share bring no pairs that are none; a term named thrice is found thrice."""
+    names = [f"a{i} b{j}" for i in range(20) for j in range(20)]
+    terms = spark.createDataFrame([(n, None, None, False, False, False, []) for n in names + ["a0 b0"] * 2], GLOSSARY)
+    values = spark.createDataFrame([(f"id:{k}", "de", f"Buy {n.upper()} now", "z") for k, n in enumerate(names)], "rec_id string, lang string, source string, value string")
+    places = glossary.term_places(terms.selectExpr("term", "split(term, ' ') AS parts"), values.select("rec_id", "source"))
+    assert sorted(map(tuple, places.collect())) == sorted((f"id:{k}", n) for k, n in enumerate(names))
+    plan = places._jdf.queryExecution()
+    met = [int(m.value()) for m in _join_rows(plan.executedPlan()) if m is not None]
+    assert met and max(met) <= len(names)  # 8,000 pairs met by their rarest words
+    got = [r["term"] for r in glossary.hits(Glossary(terms, spark.createDataFrame([], GLOSSARY_T)), values).collect()]
+    assert sorted(got) == sorted(names + ["a0 b0"] * 2)
+
+
+def _join_rows(plan):
+    """The metrics of rows out of the joins of a plan that has run."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return _join_rows(plan.executedPlan())
+    if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        return _join_rows(plan.plan())
+    own = [plan.metrics().get("numOutputRows").get()] if plan.getClass().getSimpleName().endswith("JoinExec") else []
+    return own + [m for i in range(plan.children().size()) for m in _join_rows(plan.children().apply(i))]
+
+
 def test_preview_counts_the_rest(spark):
     said = "array<struct<language_iso: string, translation: string, is_unverified: boolean>>"
     updates = spark.createDataFrame([(f"id:{i}", i, "k", [("de", "x", True), ("en", "y", False)]) for i in (30, 4, 100, 7, 2)], f"rec_id string, key_id long, key string, translations {said}")
