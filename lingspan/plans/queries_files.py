@@ -26,13 +26,17 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _files(rows: DataFrame, name: str, *by: str) -> str:
-    """Text files of rows (value, ...), a folder for each value of `by`; their folder."""
+def _files(rows: DataFrame, name: str, *by: str, most: int = 0) -> str:
+    """Text files of rows (value, ...), a folder for each value of `by` and at most `most` rows a file; their folder."""
     path = _folder(rows.sparkSession, name)
-    (rows.write.partitionBy(*by) if by else rows.write).text(path)
+    (rows.write.partitionBy(*by) if by else rows.write).option("maxRecordsPerFile", most).text(path)
     return path
 
 
+#: Pages in a file of a tree. A file a page would cost its making, moving and listing for each page, most of it in the driver.
+PAGES = 200
+
+
 # The corpus, glossary and flags as JSON lines
 
 
@@ -152,8 +156,8 @@ def dump_glossary(spark, sf_dir):
 @query("WITH l AS (SELECT unnest(string_split(html, chr(10))) AS line FROM pages WHERE page_id % 5 <> 3) SELECT md5(line) AS h, count(*) AS n FROM l GROUP BY 1")
 def source_tree_lines(spark, sf_dir):
     k = F.col("page_id")
-    rows = table(spark, sf_dir, "pages").select(F.when(k % 5 == 3, "build").otherwise(F.concat(F.lit("m"), (k % 3).cast("string"))).alias("d"), k, F.col("html").alias("value"))
-    lines = dumps.lines_of(dumps.source_tree(spark, _files(rows, "tree", "d", "page_id"), [".txt"], skipped=("d=build",)).withColumn("text", F.regexp_replace("text", "\n\\z", "")))
+    rows = table(spark, sf_dir, "pages").where("html IS NOT NULL").select(F.when(k % 5 == 3, "build").otherwise(F.concat(F.lit("m"), (k % 3).cast("string"))).alias("d"), F.col("html").alias("value"))
+    lines = dumps.lines_of(dumps.source_tree(spark, _files(rows, "tree", "d", most=PAGES), [".txt"], skipped=("d=build",)).withColumn("text", F.regexp_replace("text", "\n\\z", "")))
     return lines.groupBy(F.md5("line").alias("h")).agg(F.count("*").alias("n"))
 
 
@@ -291,9 +295,14 @@ def bad_line_numbers(spark, sf_dir):
 
 @query("""WITH l AS (SELECT page_id, string_split(html, chr(10)) AS ls FROM pages), n AS (SELECT page_id, CAST(unnest(range(1, len(ls) + 1)) AS BIGINT) AS lineno, ls FROM l) SELECT page_id, lineno, md5(ls[lineno]) AS h FROM n""")
 def file_line_numbers(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("value"))
-    found = lines.numbered_lines(spark, _files(rows, "pages", "page_id"))
-    return found.select(F.regexp_extract("path", r"/page_id=(\d+)/", 1).cast("bigint").alias("page_id"), "lineno", F.md5("line").alias("h"))
+    """Files of many pages each, in whose numbers of lines a page's first one is found again."""
+    page = F.concat(F.col("page_id").cast("string"), F.lit(" "), F.monotonically_increasing_id().cast("string"), F.lit("\t"))  # one page's mark, whatever its page_id
+    rows = table(spark, sf_dir, "pages").where("html IS NOT NULL").select("html", page.alias("mark"))
+    marked = rows.select(F.concat("mark", F.replace("html", F.lit("\n"), F.concat(F.lit("\n"), F.col("mark")))).alias("value"))
+    found = lines.numbered_lines(spark, _files(marked, "pages"))
+    found = found.select("path", F.substring_index("line", "\t", 1).alias("mark"), "lineno", F.md5(F.expr("substr(line, instr(line, '\t') + 1)")).alias("h"))
+    first = found.groupBy("path", "mark").agg(F.min("lineno").alias("first"))
+    return found.join(first, ["path", "mark"]).select(F.substring_index("mark", " ", 1).cast("bigint").alias("page_id"), (F.col("lineno") - F.col("first") + 1).alias("lineno"), "h")
 
 
 @query("""WITH v AS (SELECT 2 AS number, 'thirds' AS note, 3 AS m UNION ALL SELECT 3, 'restored 1', 2) SELECT number, note, p_partkey AS key_id, p_name AS name FROM v JOIN part ON p_partkey % m = 0""")
@@ -312,14 +321,16 @@ FOLDERS = ("src", "build", "Pods", "fastlane", "node_modules", ".gradle", "Icons
 
 
 def _tree_files(spark: SparkSession, sf_dir: str, rules: trees.TreeRules) -> DataFrame:
-    """Pages dealt over folders, read back by a rule set; the text sink names folders d=<name> and all files .txt."""
+    """Pages dealt over folders, a line of JSON each and many in a file, read back by a rule set; the text sink names folders
+    d=<name> and all files .txt."""
     k = F.col("page_id")
     folder = F.get(F.array(*map(F.lit, FOLDERS)), (k % len(FOLDERS)).cast("int"))
-    root = _files(table(spark, sf_dir, "pages").select(folder.alias("d"), k, F.col("html").alias("value")), "tree", "d", "page_id")
+    root = _files(table(spark, sf_dir, "pages").select(folder.alias("d"), F.to_json(F.struct(k, "html")).alias("value")), "tree", "d", most=PAGES)
     here = replace(rules, suffixes=(".txt",), skipped=tuple(f"d={name}" for name in rules.skipped))
-    rows = trees.tree(spark, root, here)
     text = F.regexp_replace("text", "\n\\z", "")  # the sink's last line end
-    return rows.select(F.regexp_extract("path", r"^d=([^/]+)/", 1).alias("folder"), F.regexp_extract("path", r"/page_id=(\d+)/", 1).cast("bigint").alias("page_id"), F.md5(text).alias("h"))
+    pages = trees.tree(spark, root, here).select(F.regexp_extract("path", r"^d=([^/]+)/", 1).alias("folder"), F.explode(F.split(text, "\n")).alias("line"))
+    page = F.from_json("line", "page_id bigint, html string").alias("page")
+    return pages.select("folder", page).select("folder", "page.page_id", F.md5("page.html").alias("h"))
 
 
 def _tree_sql(rules: trees.TreeRules) -> str:
