@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lingspan.functions import text as X
 from lingspan.schema import OPTIONAL_CONTEXT_FIELDS, SOURCE_LANG, Corpus
+from lingspan.tables import materialize
 
 _ITEM = "struct<severity:string,code:string,token:string>"
 
@@ -202,8 +203,9 @@ def has_errors(findings: DataFrame, strict: bool = False) -> bool:
 
 
 def gate(corpus: Corpus, touched: list[str], strict: bool = False) -> tuple[DataFrame, bool]:
-    """Findings of the languages a push touches, and whether the push may go on."""
-    found = lint_all(corpus, touched)
+    """Findings of the languages a push touches, and whether the push may go on. They are written once, and read for the answer
+    and by whoever sorts or prints them; else each would lint the whole corpus again."""
+    found = materialize(lint_all(corpus, touched), "findings")
     return found, not has_errors(found, strict)
 
 
