@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lingspan.operators import glossary, graph, lint, reuse, review, rules, usage
-from lingspan.plans import bundles, sync
+from lingspan.plans import bundles, queries_files, sync
 from lingspan.schema import GLOSSARY, GLOSSARY_T, KEYS, TRANSLATIONS, Corpus, Glossary
 from lingspan.sources import corpus as corpora
 from lingspan.sources import lines, trees, versions
@@ -176,6 +176,26 @@ def test_one_of_two_writers_loses(spark, tmp_path):
     assert versions.history(spark, str(tmp_path / "none")) == []
 
 
+def test_bundle_files_are_never_one_row(spark, tmp_path, monkeypatch):
+    """Line counts of a bundle whose files no step holds whole."""
+    texts = [(f"key{i:04d}", f"x\n{i}\r" if i % 3 else f"<{i}>") for i in range(60)]
+    monkeypatch.setattr(queries_files, "forms_corpus", lambda *_: corpus_of(spark, texts, ("de",)))
+    monkeypatch.setattr(bundles, "render_bundle", None)  # a row a file
+    rows = queries_files.bundle_files(spark, "")
+    live = [t for i, (_, t) in enumerate(texts) if i % 2 == 0]  # the others are not on Android
+    assert sorted(map(tuple, rows.collect())) == [(d, 3 + sum(1 + t.count("\n") for t in live)) for d in ("values", "values-de")]
+
+
+def test_gate_lints_once(spark):
+    """The findings of a gate are read from where they were written, not made again."""
+    c = corpus_of(spark, [("a", "x — y"), ("b", "fine")])
+    found, free = lint.gate(c, ["de"])
+    assert not free and [r["code"] for r in found.collect()] == ["em-dash"]
+    for df in (found, lint.report(found)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Generate" not in plan
+
+
 # Glossary terms, previews, groups
 
 
