@@ -20,7 +20,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import free_names
+from .shared import free_names, materialize
 
 #: Hex digits of the order hash that make a slice: 16 ** 3 slices a leaf.
 SLICE_DIGITS = 3
@@ -95,18 +95,19 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], sha
         *[F.col(c).alias(a) for c, a in aside.items()], F.coalesce(domain, none).alias("mix_domain"), F.coalesce("lang", none).alias("mix_lang"), F.coalesce("source", none).alias("mix_source"),
         estimated_tokens().alias("mix_tokens"), who.alias("mix_who"),
     )
-    leaves = rows.groupBy(*LEVELS).agg(F.sum("mix_tokens").alias("tokens"))
-    plan = budgets(leaves, weights, share, max_epochs).select(
+    # Leaves, plan and slices are written, since each is read more than once: unwritten, the driver would plan them anew each time.
+    leaves = materialize(rows.groupBy(*LEVELS).agg(F.sum("mix_tokens").alias("tokens")), "leaves")
+    plan = materialize(budgets(leaves, weights, share, max_epochs).select(
         *LEVELS, F.col("leaf_budget").alias("mix_budget"),
         F.expr("CASE WHEN tokens > 0 THEN leaf_budget div tokens ELSE 0L END").alias("mix_epochs"),
         F.expr("CASE WHEN tokens > 0 THEN leaf_budget % tokens ELSE 0L END").alias("mix_part"),
-    )
+    ), "budgets")
     rows = rows.join(plan, list(LEVELS))
     rows = rows.withColumn("mix_order", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("mix_epochs").cast("string"), "mix_who")))
     rows = rows.withColumn("mix_slice", F.substring("mix_order", 1, SLICE_DIGITS))
     cut = rows.groupBy(*LEVELS, "mix_slice").agg(F.sum("mix_tokens").alias("tokens"))
     before = Window.partitionBy(*LEVELS).orderBy("mix_slice").rowsBetween(Window.unboundedPreceding, -1)
-    cut = cut.select(*LEVELS, "mix_slice", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("mix_base"))
+    cut = materialize(cut.select(*LEVELS, "mix_slice", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("mix_base")), "slices")
     inside = Window.partitionBy(*LEVELS, "mix_slice").orderBy("mix_order", "mix_tokens").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.join(cut, [*LEVELS, "mix_slice"]).withColumn("mix_upto", F.col("mix_base") + F.sum("mix_tokens").over(inside))
     copies = F.col("mix_epochs") + F.when((F.col("mix_part") > 0) & (F.col("mix_upto") <= F.col("mix_part")), 1).otherwise(0)

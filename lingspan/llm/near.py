@@ -14,8 +14,9 @@ similarity of THRESHOLD or more. Texts of equal words are one node.
    places rule THRESHOLD out. So the groups are the components of the exact graph.
 
 Pivots keep a crowd of copies from being compared with each other: most members are linked by a pivot, and 4 compares
-only those left. A key that many unlike texts have in their prefixes still costs the square of their number; common
-shingles come last to keep that rare. The sample that finds common ones sets orders and places, never results.
+only those left. A key that many unlike texts have in their prefixes would cost the square of their number, so such
+keys are looked for in a part of the prefixes that grows with the table, and come last with the common ones. What is seen of
+the texts sets orders and places, never results.
 
 Null and empty texts and texts without words are copies of each other. Repeated rows are copies. Rows without a key take
 part; of a group with keys another row is kept. An empty table gives an empty one; other columns stay as they are.
@@ -41,6 +42,11 @@ THRESHOLD = (4, 5)
 #: Texts of the sample that finds common shingles, and the most of these that are kept.
 SAMPLE = 5_000
 COMMON = 200_000
+#: Of one text in CROWD_SAMPLE, those that make a shingle of the prefixes crowded; the most crowded ones kept; turns of looking.
+CROWD_SAMPLE = 4
+CROWD = 3
+CROWDED = 1_000_000
+LOOKS = 2
 #: Tasks that share the rows of a common shingle.
 SALTS = 64
 #: Nodes of a key that all are pivots; a larger key has about as many in the first turn. Turns of pivots before all pairs.
@@ -101,8 +107,8 @@ def common_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(shingle_set(words_of(t.as_py()), hashes).view(np.int64))], names=["shingle"])
 
     seen = some.mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    top = seen.orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
-    return np.array([x["shingle"] for x in reversed(top)], np.int64).view(np.uint64)
+    top = seen.orderBy(F.desc("n"), "shingle").limit(COMMON).select("shingle").toArrow().column("shingle")
+    return top.to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
 def prefix(s: np.ndarray, by_hash: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, int]:
@@ -191,6 +197,20 @@ def _key_rows(rows: DataFrame) -> DataFrame:
     return dealt.repartition("key", "salt").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long, size long, at long")
 
 
+def crowded_shingles(texts: DataFrame, common: np.ndarray) -> np.ndarray:
+    """common, and before it the shingles that crowd the prefixes which common gives, the least crowded first. The texts looked
+    at grow with the table, so a crowd is seen at the same number of texts at any size; it sets the order, never the result."""
+    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(CROWD_SAMPLE)) == 0)
+    for _ in range(LOOKS):
+        rows = _key_rows(describe(some, [], common)).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= CROWD)
+        top = rows.orderBy(F.desc("n"), "key").limit(CROWDED).select("key").toArrow().column("key").to_numpy()[::-1].astype(np.int64).view(np.uint64)
+        fresh = top[~np.isin(top, common)]
+        if len(fresh) == 0:
+            break
+        common = np.concatenate((fresh, common))
+    return common
+
+
 def _mixed(of: DataFrame, linked: DataFrame | None) -> DataFrame:
     """(key, node, size, at, component), components as linked has them, of keys whose nodes are not all in one component.
     A row whose key lies too late in its prefix to be the first that the set shares with any other of that key is left
@@ -227,10 +247,12 @@ def _pivot_pairs(of: DataFrame, turn: int) -> DataFrame:
 
 
 def _pairs_across(of: DataFrame) -> DataFrame:
-    """All pairs of different components. Components of a key meet before their nodes do, the one of fewer nodes first."""
-    there = of.groupBy("key", F.col("component").alias("of_a")).agg(F.count("*").alias("n"))
-    other = there.select("key", F.col("of_a").alias("of_b"), F.col("n").alias("n_b"))
-    sides = there.join(other, "key").where("n < n_b OR n = n_b AND of_a < of_b").select("key", "of_a", "of_b")
+    """All pairs of different components. Components of a key meet before their nodes do, the one of fewer nodes first, unless
+    no two of their nodes can reach THRESHOLD: none shares more than the most that follows the key, nor is smaller than the least."""
+    there = of.groupBy("key", F.col("component").alias("of_a")).agg(F.count("*").alias("n"), F.min("size").alias("least"), F.max(F.col("size") - F.col("at")).alias("most"))
+    other = there.select("key", F.col("of_a").alias("of_b"), F.col("n").alias("n_b"), F.col("least").alias("least_b"), F.col("most").alias("most_b"))
+    reach = _enough(F.least("most", "most_b"), F.col("least") + F.col("least_b"))
+    sides = there.join(other, "key").where("n < n_b OR n = n_b AND of_a < of_b").where(reach).select("key", "of_a", "of_b")
     return _possible(sides.join(_side(of, "a"), ["key", "of_a"]).join(_side(of, "b"), ["key", "of_b"]))
 
 
@@ -277,7 +299,7 @@ def _verified(found: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
 def _groups(texts: DataFrame) -> DataFrame:
     """texts: (key, r1, r2, text), r1 and r2 a hash of key and text -> a row (key, r1, r2, node, component) for each
     distinct (key, text)."""
-    found = materialize(describe(texts, ["key", "r1", "r2"], common_shingles(texts)), "described")
+    found = materialize(describe(texts, ["key", "r1", "r2"], crowded_shingles(texts, common_shingles(texts))), "described")
     rows = _told_apart(found)
     first = F.struct(F.col("key").isNull().alias("no_key"), "key", "r1", "r2")
     nodes = materialize(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min(first).alias("of")).select("node", "fp", "of.r1", "of.r2"), "nodes")

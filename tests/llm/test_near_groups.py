@@ -8,6 +8,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lingspan.llm import near, shared
 
@@ -155,3 +156,31 @@ def test_tables_of_the_steps_are_deleted(spark, tmp_path, monkeypatch):
     kept = near.drop_near_duplicates(docs)
     assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["kept"]
     assert kept.count() == 11 and kept.count() == 11
+
+
+def test_crowds_of_unlike_texts_leave_the_prefixes(spark, monkeypatch):
+    """Unlike texts with a common run of words that the sample does not see, and crowds below 0.8: the groups are the exact
+    ones, and components of a key hardly ever meet."""
+    r, met = random.Random(11), []
+    run = words_of(r, 9)
+    texts = crowd(r, 60, 30, (0, 2))
+    for _ in range(200):
+        t = words_of(r, 60)
+        texts.append(t[:20] + run + t[20:])
+    texts += crowd(r, 90, 60, (8, 12))
+    monkeypatch.setattr(near, "common_shingles", lambda docs: np.array([], np.uint64))
+    mixed = near._mixed
+
+    def counted(of, linked):
+        of = mixed(of, linked)
+        there = of.groupBy("key").agg(F.countDistinct("component").alias("n"))
+        met.append(there.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0))).first()[0])
+        return of
+
+    monkeypatch.setattr(near, "_mixed", counted)
+    check(spark, texts)
+    with_order = met[-1]
+    met.clear()
+    monkeypatch.setattr(near, "crowded_shingles", lambda docs, common: common)
+    check(spark, texts)
+    assert with_order * 5 < met[-1]

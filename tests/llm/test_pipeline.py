@@ -73,3 +73,10 @@ def test_odd_rows_and_names(spark, tmp_path, kind):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert len(last) == docs.count() and all(x["round_trip"] is True for x in last)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+
+
+def test_mixing_plans_its_budgets_once(spark):
+    """The plan over the documents holds the running sum and no budget's windows: the driver plans these once, over leaves."""
+    docs = spark.createDataFrame([(i, "word " * (i % 7), "en", f"src{i % 3}", 5) for i in range(40)], "doc_id long, text string, lang string, source string, n_chars long")
+    plan = corpus_pipeline.mixture(spark, docs, "")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
