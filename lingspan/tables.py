@@ -32,6 +32,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch where a row holds a whole text; a session's smaller setting stays.
+ARROW_ROWS = 1_000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def few_rows_a_batch(spark: SparkSession) -> None:
+    """Cuts the session's Arrow batches to ARROW_ROWS."""
+    if not 0 < int(spark.conf.get(_ROWS)) <= ARROW_ROWS:
+        spark.conf.set(_ROWS, str(ARROW_ROWS))
+
+
 def free_names(taken: list[str], *wanted: str) -> list[str]:
     """Names for columns that a step adds for itself: the wanted ones, with underscores before those that are taken."""
     known = {c.lower() for c in taken} | set(wanted)

@@ -74,6 +74,26 @@ def test_near_reuse_against_all_pairs(spark):
     assert len(big) == 80 and {row["n_texts"] for row in big} == {1}
 
 
+def test_near_texts_travel_to_bands(spark, monkeypatch):
+    """A crowd of near texts: every pair is found, over small blocks too, and texts travel far fewer times than there are pairs;
+    long texts that share a key and are not near are not written as pairs."""
+    r = random.Random(5)
+    base = [f"{r.randrange(10**6):06d}" for _ in range(60)]
+    texts = {" ".join(w if i != j % 60 else f"{j:06d}" for i, w in enumerate(base)) for j in range(50)}
+    pool = [f"{r.randrange(10**6):06d}" for _ in range(80)]
+    texts |= {" ".join(w for w in pool if r.random() < 0.75) for _ in range(60)}
+    want = sum(5 * len(grams(a) & grams(b)) >= 4 * len(grams(a) | grams(b)) for a in texts for b in texts if a < b)
+    rows, write = {}, reuse.materialize
+    monkeypatch.setattr(reuse, "materialize", lambda df, name: rows.setdefault(name, write(df, name)))
+    whole = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert reuse.near_texts(whole).count() == want
+    assert rows["pairs"].count() < 1.5 * want
+    dealt = rows["dealt"].select("band", "at_a", "at_b", F.explode(F.array("a", "b")).alias("id")).distinct().count()
+    assert dealt < rows["pairs"].count()
+    monkeypatch.setattr(reuse, "BLOCK", 7)
+    assert reuse.near_texts(whole).count() == want
+
+
 def test_recall_of_bands(spark):
     """Pairs made near the threshold: at least 0.99 of those at 0.8 or more are found, and only those."""
     r = random.Random(2)
