@@ -27,7 +27,7 @@ def mix_domain():
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repeated_spans(documents(spark, sf_dir).select("doc_id", "text"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.col("passages").alias("n_passages"))
 
 
 def op2_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,12 @@ Bounds are drawn from a sample of SAMPLED classes a range; they decide where wor
 third of all texts makes few classes inside and many at its ends, which the ranges share out. Text travels through one
 shuffle by row for the contexts and one for the results.
 
+Passages of over 50 words are reported beside this, not removed: in bytes many are shorter than LENGTH. Of the WORD_GRAM-word
+strings inside each PASSAGE words of a text the one with the least hash is a fingerprint, and `passages` counts a text's
+distinct fingerprints that are also one of another text. Where two texts share PASSAGE words in a row it is at least 1 for both;
+where they share no WORD_GRAM words it is 0, but for equal 64-bit hashes; in between it depends on the words beside. Words are
+`[^\x20\x09-\x0D]+`. These fingerprints decide nothing about the bytes removed.
+
 A null text is empty. Texts shorter than LENGTH lose nothing. Repeated rows are texts of their own, each other's
 copies. An empty table gives an empty result; other columns don't matter.
 """
@@ -58,6 +64,14 @@ RANGES = 4
 #: A gram of more classes than this may be shared out over ranges; at most so many classes of a gram meet in a task
 #: undivided.
 SPLIT = 200_000
+#: Windows of a gram that are sorted at once; more are sorted in 16 parts.
+SORTED = 500_000
+#: Words of a passage that is always reported, and of a fingerprint.
+PASSAGE = 51
+WORD_GRAM = 34
+#: Bytes of texts that are fingerprinted at a time; a longer text is taken alone.
+PIECE_BYTES = 500_000
+_SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
 
 _BASE = 0x9E3779B97F4A7C15
 _tables: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -72,12 +86,14 @@ def _powers(n: int) -> list[np.ndarray]:
     return _tables
 
 
-def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
-    """A mixed 64-bit rolling hash of each run of `size` bytes."""
-    up, down = _powers(len(data) + 1)
+def _sums(data: np.ndarray) -> np.ndarray:
+    """Running sums of the values, each times its place's power of the base."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    h = (sums[size:] - sums[:-size]) * down[: len(data) - size + 1]
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(len(data) + 1)[0][: len(data)], out=sums[1:])
+    return sums
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(30)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(27)
@@ -85,6 +101,12 @@ def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
+    """A mixed 64-bit rolling hash of each run of `size` bytes, or of other numbers."""
+    sums = _sums(data)
+    return _mix((sums[size:] - sums[:-size]) * _powers(len(data) + 1)[1][: len(data) - size + 1])
+
+
 def sliding(values: np.ndarray, width: int, fold: np.ufunc, fill: int) -> np.ndarray:
     """fold over each `width` neighbours, from block-wise running folds in both directions."""
     n = len(values)
@@ -96,19 +118,46 @@ def sliding(values: np.ndarray, width: int, fold: np.ufunc, fill: int) -> np.nda
     return fold(back[: n - width + 1], ahead[width - 1 : n])
 
 
+def winnow(h: np.ndarray, width: int, usable: np.ndarray | None = None) -> np.ndarray:
+    """Places of the least of each `width` neighbours, all of equal ones; usable: of these windows, those that count."""
+    least = sliding(h, width, np.minimum, (1 << 64) - 1)
+    if usable is not None:
+        least[~usable] = 0
+    best = np.zeros(len(least) + 2 * (width - 1), np.uint64)
+    best[width - 1 : width - 1 + len(least)] = least
+    return np.flatnonzero(sliding(best, width, np.maximum, 0) == h)
+
+
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of a text's anchors; places with equal least hashes are all anchors."""
     if len(data) < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h = gram_hashes(data)
-    width = BEFORE + 1
-    least = sliding(h, width, np.minimum, (1 << 64) - 1)
-    best = np.zeros(len(least) + 2 * (width - 1), np.uint64)
-    best[width - 1 : width - 1 + len(least)] = least
-    at = np.flatnonzero(sliding(best, width, np.maximum, 0) == h)
+    at = winnow(h, BEFORE + 1)
     return at, h[at]
 
 
+def fingerprints(texts: list[bytes]) -> list[np.ndarray]:
+    """The distinct fingerprints of each text, as signed numbers."""
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    space = np.concatenate(([True], _SPACE[data], [True]))
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if len(starts) < PASSAGE:
+        return [np.zeros(0, np.int64)] * len(texts)
+    sums = _sums(data)
+    words = _mix((sums[ends] - sums[starts]) * _powers(len(data) + 1)[1][starts])
+    of = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+    h = gram_hashes(words, WORD_GRAM)
+    at = winnow(h, PASSAGE - WORD_GRAM + 1, of[: 1 - PASSAGE] == of[PASSAGE - 1 :])
+    of, h = of[at], h[at].view(np.int64)
+    order = np.lexsort((h, of))
+    of, h = of[order], h[order]
+    fresh = np.concatenate(([True], (of[1:] != of[:-1]) | (h[1:] != h[:-1]))) if len(h) else np.zeros(0, bool)
+    of, h = of[fresh], h[fresh]
+    return np.split(h, np.searchsorted(of, np.arange(1, len(texts))))
+
+
 def _contexts(raw: bytes, at: int) -> tuple[bytes, bytes]:
     return raw[max(0, at - BEFORE) : at], raw[at : at + LENGTH]
 
@@ -133,6 +182,27 @@ def find_anchors(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     return map_texts(docs, keys, text, fields, lambda: values).where("size(places) > 0")
 
 
+def shared_passages(rows: DataFrame) -> DataFrame:
+    """(rid, passages) of the rows (rid, text) that share fingerprints with other rows. Equal rows have one rid."""
+
+    def values(texts):
+        out, piece, size = [], [], 0
+        for raw in map(utf8, texts):
+            if piece and size + len(raw) > PIECE_BYTES:
+                out += fingerprints(piece)
+                piece, size = [], 0
+            piece.append(raw)
+            size += len(raw)
+        return [out + fingerprints(piece) if piece else out]
+
+    printed = map_texts(rows, ["rid"], "text", [T.StructField("prints", T.ArrayType(T.LongType()))], lambda: values).where("size(prints) > 0")
+    each = materialize(printed, "prints").select("rid.*", F.explode("prints").alias("print"))
+    # A table, so that the join can split a passage that a great many texts have.
+    twice = materialize(each.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "passages")
+    names = each.columns[:-1]
+    return each.join(twice, "print").groupBy(F.struct(*names).alias("rid")).agg(F.size(F.collect_set("print")).cast("long").alias("passages"))
+
+
 def common(a: bytes, b: bytes, start: int = 0) -> int:
     """Length of the common prefix, known to be `start` at least."""
     n = min(len(a), len(b))
@@ -159,7 +229,7 @@ def front_code(records: list[tuple[bytes, bytes, int]]) -> bytes:
     return b"".join(out)
 
 
-def front_decode(run: bytes) -> Iterator[tuple[int, bytes, bytes, int]]:
+def front_decode(run: bytes | memoryview) -> Iterator[tuple[int, bytes, bytes, int]]:
     """(prefix shared with the one before, string, other side, class)"""
     at, key = 0, b""
     while at < len(run):
@@ -167,11 +237,11 @@ def front_decode(run: bytes) -> Iterator[tuple[int, bytes, bytes, int]]:
         at += _HEAD.size
         key = key[:shared] + run[at : at + rest]
         at += rest
-        yield shared, key, run[at : at + other], cls
+        yield shared, key, bytes(run[at : at + other]), cls
         at += other
 
 
-def merge(runs: list[bytes]) -> Iterator[tuple[int, bytes, bytes, int]]:
+def merge(runs: list[bytes | memoryview]) -> Iterator[tuple[int, bytes, bytes, int]]:
     """The records of all runs in order, with the prefix each shares with the one before it."""
     streams = [front_decode(r) for r in runs]
     n = 1 << max(0, (len(streams) - 1).bit_length())
@@ -284,13 +354,24 @@ def repeated(found: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[int, int
         starts.append(start)
     if len(hashes) < 2:
         return
-    h, c, s = np.frombuffer(hashes, np.uint64), np.frombuffer(classes, np.int64), np.frombuffer(starts, np.int16).astype(np.int64)
-    order = np.lexsort((c, h))
-    h, c, s = h[order], c[order], s[order]
-    edge = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-    size = np.diff(np.concatenate((edge, [len(h)])))
-    twice = np.repeat(c[edge] != c[edge + size - 1], size)
-    c, s = c[twice], s[twice]
+    h, c, s = np.frombuffer(hashes, np.uint64), np.frombuffer(classes, np.int64), np.frombuffer(starts, np.int16)
+
+    def twice(h: np.ndarray, c: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((c, h))
+        h, c, s = h[order], c[order], s[order]
+        edge = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        size = np.diff(np.concatenate((edge, [len(h)])))
+        hit = np.repeat(c[edge] != c[edge + size - 1], size)
+        return c[hit], s[hit]
+
+    if len(h) <= SORTED:
+        c, s = twice(h, c, s)
+    else:  # by the hashes' first bits, so that a part is sorted at a time
+        part = (h >> np.uint64(60)).astype(np.uint8)
+        hits = [twice(h[at], c[at], s[at]) for at in (np.flatnonzero(part == k) for k in range(16)) if len(at)]
+        c, s = (np.concatenate(x) for x in zip(*hits))
+        del part, hits
+    del h, hashes, classes, starts
     order = np.lexsort((s, c))
     c, s = c[order], s[order]
     fresh = np.flatnonzero(np.concatenate(([True], (c[1:] != c[:-1]) | (s[1:] > s[:-1] + LENGTH)))) if len(c) else np.zeros(0, int)
@@ -333,7 +414,7 @@ def _tests(bounds: list[bytes]):
     """(range, run) sorted by range -> (gram, class, window, low, high): a repeated stretch of the class relative to its
     anchor; with a window hash, a window still to be compared."""
 
-    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[memoryview]]]:
         now, runs = None, []
         for batch in batches:
             for r, run in zip(batch.column("range").to_pylist(), batch.column("run")):
@@ -341,7 +422,7 @@ def _tests(bounds: list[bytes]):
                     yield now, runs
                     runs = []
                 now = r
-                runs.append(run.as_py())
+                runs.append(memoryview(run.as_buffer()))  # no copy beside the batch
         if runs:
             yield now, runs
 
@@ -401,7 +482,7 @@ def cut_out(raw: bytes, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray,
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_bytes, removed array of (start, end), kept binary), a row for each row of docs."""
+    """(key, n_bytes, removed array of (start, end), kept binary, passages), a row for each row of docs."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).withColumn("rid", F.struct(F.xxhash64("key", "text"), F.xxhash64(F.lit(1), "key", "text")))
     arrays = find_anchors(rows, ["rid"], "text")
@@ -434,7 +515,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     by_class = materialize(hits.groupBy("gram", "class").agg(F.collect_set(F.struct("low", "high")).alias("parts")), "stretches")
     per_text = found.join(by_class, ["gram", "class"]).select("rid", F.expr("transform(parts, p -> struct(place + p.low AS low, place + p.high AS high))").alias("parts"))
     per_text = per_text.groupBy("rid").agg(F.flatten(F.collect_list("parts")).alias("found"))
-    joined = rows.join(per_text, "rid", "left").select("key", "text", "found")
+    joined = rows.join(per_text, "rid", "left").join(shared_passages(rows), "rid", "left").select("key", "text", "found", F.coalesce("passages", F.lit(0).cast("long")).alias("passages"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -451,6 +532,6 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                     sizes.append(len(raw))
                     spans.append(removed.tolist())
                     kept.append(rest)
-                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary())], names=[key, "n_bytes", "removed", "kept"])
+                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sizes, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(kept, pa.binary()), batch.column("passages")], names=[key, "n_bytes", "removed", "kept", "passages"])
 
-    return joined.mapInArrow(run, T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("removed", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("kept", T.BinaryType())]))
+    return joined.mapInArrow(run, T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("removed", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("kept", T.BinaryType()), T.StructField("passages", T.LongType())]))

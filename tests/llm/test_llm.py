@@ -101,6 +101,58 @@ def test_suffix_dedup(spark, monkeypatch, split):
     assert got == brute_repeats(rows)
 
 
+def shared_runs(texts, n):
+    """Of each text, whether it has n words in a row that another text has."""
+    runs = [{tuple(w[i : i + n]) for i in range(len(w) - n + 1)} for w in (re.findall(r"[^\x20\x09-\x0d]+", t or "") for t in texts)]
+    seen = Counter(x for s in runs for x in s)
+    return [any(seen[x] > 1 for x in s) for s in runs]
+
+
+def test_suffix_dedup_reports_passages_of_over_50_words(spark, tmp_path):
+    r = random.Random(8)
+    texts = [None, "", "\n", "w " * 300, words_of(r, 51), words_of(r, 33)] + [words_of(r, r.randint(1, 150)) for _ in range(120)]
+    for n in [51] * 12 + [33] * 12 + [52, 60, 400]:
+        p = words_of(r, n, "abé漢")
+        for _ in range(r.choice((2, 2, 3))):
+            texts.append(words_of(r, r.randint(0, 60)) + r.choice((" ", "\n\n")) + r.choice((" ", "\t")).join(p.split()) + " " + words_of(r, r.randint(0, 60)))
+    texts += [texts[4], words_of(r, 100) + " " + texts[-1]]
+    rows = [*enumerate(texts), (3000, texts[10] + " " + words_of(r, 60)), (3000, "one"), (3000, "one")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op1_suffix_dedup(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages"]
+    got = got.collect()
+    assert sorted((tuple(x)[:5] for x in got), key=str) == brute_repeats(rows)
+    found = {x["doc_id"]: x["n_passages"] > 0 for x in got if x["doc_id"] < 3000}
+    long, any_ = shared_runs([t for _, t in rows], suffix_dedup.PASSAGE), shared_runs([t for _, t in rows], suffix_dedup.WORD_GRAM)
+    for i in found:
+        assert long[i] <= found[i] <= any_[i], i
+    assert sum(long) > 30 and sum(x["n_removed"] == 0 < x["n_passages"] for x in got) > 10
+
+
+@pytest.mark.parametrize("piece", [1, 700, suffix_dedup.PIECE_BYTES])
+def test_fingerprints_do_not_depend_on_neighbours(piece):
+    r = random.Random(9)
+    texts = [words_of(r, r.choice((0, 1, 33, 34, 50, 51, 52, 130))).encode() for _ in range(60)]
+    groups, size = [[]], 0
+    for t in texts:
+        if groups[-1] and size + len(t) > piece:
+            groups.append([])
+            size = 0
+        groups[-1].append(t)
+        size += len(t)
+    got = [sorted(x.tolist()) for g in groups for x in suffix_dedup.fingerprints(g)]
+    assert got == [sorted(suffix_dedup.fingerprints([t])[0].tolist()) for t in texts]
+    assert all(bool(x) == (len(t.split()) >= 51) for t, x in zip(texts, got))
+
+
+def test_windows_sorted_in_parts_give_the_same(monkeypatch):
+    r = random.Random(10)
+    found = [(r.randint(0, 40), r.randint(-336, 0), b"%d" % r.randint(0, 900)) for _ in range(3000)]
+    whole = list(suffix_dedup.repeated(iter(found)))
+    monkeypatch.setattr(suffix_dedup, "SORTED", 10)
+    assert whole and list(suffix_dedup.repeated(iter(found))) == whole
+
+
 def test_loser_tree_merges_runs():
     r = random.Random(1)
     records = [(bytes(r.choice(b"ab") for _ in range(r.randint(0, 12))), b"o", i) for i in range(500)]
