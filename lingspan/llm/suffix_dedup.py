@@ -12,19 +12,21 @@ Every byte inside a string of LENGTH bytes that also starts elsewhere, in the sa
    each string without the prefix it shares with the one before.
 3. Merge. A range's runs meet in a loser tree whose players know their common prefix with the last winner. Of two
    players the one with the longer common prefix wins unseen; only equal ones are compared, from that prefix on. The
-   winners come out with the common prefixes between neighbours.
+   winners come out with the common prefixes between neighbours, and only these are kept.
 4. Depths. Two anchors agree over L bytes leftward and R rightward, and repeat each other's windows if L + R >= LENGTH.
-   R is a common prefix of the anchor with others in the first order and L in the second; so every longest repeat
-   starts or ends with a window given by such a depth. These few windows of each class are compared by hashes of
-   bytes and place, so that one window seen from two anchors is no repeat, among the classes of their gram: 64 bits
-   within a task, which are wrong with odds of n * n / 2 ** 65 of a gram's n windows, 128 bits across tasks. A gram is
-   cut up by ranges only if it has over SPLIT classes; then all depths that could lie in other ranges are tried. Classes
-   and rows are told apart by 128 bits too: of n of them two are taken for one with odds of about n * n / 2 ** 129.
-5. Repeated windows of a class hold for all its members; their union is cut out of each text.
-
-Bounds are drawn from a sample of SAMPLED classes a range; they decide where work is done, not results. A passage in a
-third of all texts makes few classes inside and many at its ends, which the ranges share out. Text travels through one
-shuffle by row for the contexts and one for the results.
+   The window that begins d bytes before its anchor is repeated if another class of the gram agrees over d bytes leftward
+   and LENGTH - d rightward: if both lie in one block of either order, cut where neighbours share less. So for each depth
+   d the pairs of blocks that two classes have are looked for; all windows of an anchor hold its gram, so the least and
+   the greatest such d say what of a class is repeated. No text and no hash of a window is needed.
+5. A gram of over SPLIT classes is dealt out: the windows that begin PART neighbouring depths before the anchor share all
+   but PART - 1 bytes at either end, their core. For each such part a class goes, with these end bytes alone, to the classes
+   that have its core, by 128 bits of the core. So a crowd meets in parts, by what surrounds the gram. What is left
+   in one task are the classes with one core: some 30 bytes each while depths are looked for, 200 at most in the runs.
+6. Repeated stretches of a class hold for all its members; their union is cut out of each text. Classes and rows are told
+   apart by 128 bits: of n of them two are taken for one with odds of about n * n / 2 ** 129.
+
+Bounds are drawn from a sample of SAMPLED classes a range; they decide where work is done, not results. Text travels
+through one shuffle by row for the contexts and one for the results.
 
 Passages of over 50 words are reported beside this, not removed: in bytes many are shorter than LENGTH. Of the WORD_GRAM-word
 strings inside each PASSAGE words of a text the one with the least hash is a fingerprint, and `passages` counts a text's
@@ -61,10 +63,12 @@ RUN_BYTES = 16_000_000
 #: Sampled classes a range, for the ranges' bounds, and ranges a shuffle partition.
 SAMPLED = 16
 RANGES = 4
-#: A gram of more classes than this may be shared out over ranges; at most so many classes of a gram meet in a task
-#: undivided.
-SPLIT = 200_000
-#: Windows of a gram that are sorted at once; more are sorted in 16 parts.
+#: A gram of more classes than this is dealt out by the cores of its windows, PART depths together.
+SPLIT = 100_000
+PART = 49
+#: Classes whose depths are looked for at a time; a gram's are taken together.
+CLASSES = 20_000
+#: Windows that `repeated` sorts at once; more are sorted in 16 parts.
 SORTED = 500_000
 #: Words of a passage that is always reported, and of a fingerprint.
 PASSAGE = 51
@@ -284,69 +288,94 @@ def merge(runs: list[bytes | memoryview]) -> Iterator[tuple[int, bytes, bytes, i
             node >>= 1
 
 
-def _records(raw: bytes, at: int, gram: int, cls: int) -> list[tuple[bytes, bytes, int]]:
-    """The anchor's string in either order: the hash of its gram, a byte for the order, then the suffix or the reversed
-    prefix. So both orders of a gram lie together."""
-    before, after = _contexts(raw, at)
-    hashed = struct.pack(">q", gram)
-    return [(hashed + b"\0" + after, before, cls), (hashed + b"\1" + before[::-1], after, cls)]
-
-
-_GRAM, _PREFIX = 8, 9
-
-
-def _depths(keys: list[bytes], shared: list[int], bounds: list[bytes]) -> list[int]:
-    """For each of the sorted keys, after its prefix, the common lengths with any of the others, as the bits of a number;
-    shared[i]: of keys i - 1 and i. Where the keys go on beyond a bound, all lengths that it allows."""
-    n = len(keys)
-    depths = [0] * n
-    for order, step in ((range(1, n), 0), (range(n - 2, -1, -1), 1)):
-        open_ = 0  # common prefixes with all keys on that side: a new one hides the longer ones
-        for i in order:
-            bit = 1 << (shared[i + step] - _PREFIX)
-            open_ = open_ & (bit - 1) | bit
-            depths[i] |= open_
-    for bound in bounds:
-        for i, key in enumerate(keys):
-            depths[i] |= (1 << (common(bound, key) - _PREFIX + 1)) - 1
-    return depths
-
-
-def windows(shared: list[int], group: list[tuple[bytes, bytes, int]], bounds: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
-    """(class, start relative to the anchor, bytes) of the windows that may be repeated: those at a depth of either order
-    at which the other order's greatest depth makes up LENGTH. group: sorted records of one gram."""
-    open_ = is_open(group, bounds)
-    cut = next((i for i, r in enumerate(group) if r[0][_GRAM]), len(group))
-    depths: list[dict[int, int]] = []
-    for order, part in enumerate((slice(0, cut), slice(cut, None))):
-        keys = [r[0] for r in group[part]]
-        near = [b for b in bounds if b[:_PREFIX] == group[0][0][:_GRAM] + bytes([order])]
-        depths.append(dict(zip([r[2] for r in group[part]], _depths(keys, shared[part], near))))
-    for key, other, cls in group:
-        ahead = key[_GRAM] == 0
-        own, across = depths if ahead else depths[::-1]
-        least = LENGTH - (LENGTH if open_ else across.get(cls, 0).bit_length() - 1)
-        left = own[cls] >> least << least
-        if not left:
-            continue
-        text = other + key[_PREFIX:] if ahead else key[: _PREFIX - 1 : -1] + other
-        anchor = len(other) if ahead else len(key) - _PREFIX
-        while left:
-            d = (left & -left).bit_length() - 1
-            left &= left - 1
-            start = anchor + d - LENGTH if ahead else anchor - d
-            if 0 <= start and start + LENGTH <= len(text) and anchor + GRAM <= start + LENGTH:
-                yield cls, start - anchor, text[start : start + LENGTH]
+_GRAM, _PREFIX, _CORE = 8, 9, 17
 
 
-def is_open(group: list[tuple[bytes, bytes, int]], bounds: list[bytes]) -> bool:
-    """Whether more of the group's gram lies in other ranges."""
-    return any(len(b) > _GRAM and b[:_GRAM] == group[0][0][:_GRAM] for b in bounds)
+def _records(raw: bytes, at: int, gram: int, cls: int, split: bool) -> list[tuple[bytes, bytes, int]]:
+    """The anchor's string in either order: the hash of its gram, a byte for the order, then the suffix or the reversed
+    prefix. So both orders of a gram lie together. Split, for each part: 64 bits of the core's hash, a byte for the part and
+    the order, the other 64 bits, then what follows the core or precedes it; beside the first of the two, the gram's hash."""
+    if not split:
+        before, after = _contexts(raw, at)
+        hashed = struct.pack(">q", gram)
+        return [(hashed + b"\0" + after, b"", cls), (hashed + b"\1" + before[::-1], b"", cls)]
+    out = []
+    for k, least in enumerate(range(0, BEFORE + 1, PART)):
+        most = min(least + PART - 1, BEFORE)
+        low, high = at - least, at + LENGTH - most
+        if low < 0 or high > len(raw):  # no window of the part lies in the text
+            continue
+        core = xxhash.xxh3_128_digest(raw[low:high], least)
+        for order, rest in enumerate((raw[high : at + LENGTH - least], raw[max(0, at - most) : low][::-1])):
+            out.append((core[:8] + bytes([2 * k + 2 + order]) + core[8:] + rest, b"" if order else struct.pack(">q", gram), cls))
+    return out
+
+
+class Depths:
+    """The merged records of some groups, in either order: the class, the group's number and the common length with the
+    record before, from the anchor on; -1 where none counts."""
+
+    def __init__(self):
+        self.classes, self.groups, self.shared = ((array(kind), array(kind)) for kind in "qqh")
+        self.grams = array("q")
+        self.number = self.code = -1
+
+    def add(self, known: int, key: bytes, other: bytes, cls: int) -> None:
+        code = key[_GRAM]
+        order, part = code & 1, (code >> 1) - 1
+        if known < _GRAM or code >> 1 != self.code:
+            self.number += 1
+            self.code = code >> 1
+        if part < 0:
+            shared = known - _PREFIX if known >= _PREFIX else -1
+        else:
+            most = min(part * PART + PART - 1, BEFORE)
+            shared = known - _CORE + (part * PART if order else LENGTH - most) if known >= _CORE else -1
+        self.classes[order].append(cls)
+        self.groups[order].append(self.number)
+        self.shared[order].append(shared)
+        if not order:
+            self.grams.append(struct.unpack(">q", other or key[:_GRAM])[0])
+
+    def __len__(self) -> int:
+        return len(self.grams)
+
+    def stretches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(gram, class, from, to), relative to the anchor, of the classes with repeated windows."""
+        classes, groups, shared = ([np.array(x) for x in both] for both in (self.classes, self.groups, self.shared))
+        grams = np.array(self.grams)
+        for again in (False, True):
+            # places[k][i]: of class i in order k; most[k][i]: its greatest common length with another.
+            places = [np.lexsort((c, g)) for c, g in zip(classes, groups)]
+            most = [np.maximum(s, np.append(s[1:], -1))[at].astype(int) if len(s) else s.astype(int) for s, at in zip(shared, places)]
+            may = (most[0] >= 0) & (most[1] >= 0) & (most[0] + most[1] >= LENGTH)
+            if again:
+                break
+            # Groups without such classes go; others lose none, since blocks are cut by all.
+            kept = np.zeros(self.number + 1, bool)
+            kept[groups[0][places[0]][may]] = True
+            grams = grams[kept[groups[0]]]
+            classes, shared, groups = ([x[kept[g]] for x, g in zip(both, groups)] for both in (classes, shared, groups))
+        least, greatest = np.full(len(may), -1), np.full(len(may), -1)
+        depths = np.unique(np.concatenate((shared[1], LENGTH - shared[0])))
+        may = np.flatnonzero(may)
+        for d in depths[(depths >= 0) & (depths <= BEFORE)].tolist():
+            some = may[(most[1][may] >= d) & (most[0][may] >= LENGTH - d)]
+            right, left = (np.cumsum(s < least_)[at[some]] for s, at, least_ in zip(shared, places, (LENGTH - d, d)))
+            pair = right * (len(grams) + 1) + left
+            order = np.argsort(pair)
+            same = np.diff(pair[order]) == 0
+            hit = some[order[np.concatenate((same, [False])) | np.concatenate(([False], same))]] if len(some) else some
+            greatest[hit] = d
+            least[hit[least[hit] < 0]] = d
+        hit = np.flatnonzero(least >= 0)
+        at = places[0][hit]
+        return grams[at], classes[0][at], -greatest[hit], LENGTH - least[hit]
 
 
 def repeated(found: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int]]:
-    """Of a whole gram's windows those that two classes have at one start, joined to (class, from, to) stretches. Equal
-    windows of other grams are tried with those."""
+    """Of a gram's windows (class, start, bytes) those that two classes have at one start, joined to (class, from, to)
+    stretches: what `Depths` finds, by hashes of all windows. Tests hold one against the other."""
     hashes, classes, starts = array("Q"), array("q"), array("h")
     for cls, start, window in found:
         hashes.append(xxhash.xxh3_64_intdigest(window, -start))
@@ -398,7 +427,7 @@ def _runs(bounds: list[bytes]):
             for text, wanted in zip(batch.column("text"), batch.column("wanted")):
                 raw = utf8(text.as_py())
                 for w in wanted.as_py():
-                    made = _records(raw, w["place"], w["gram"], w["class"])
+                    made = _records(raw, w["place"], w["gram"], w["class"], w["split"])
                     held += made
                     size += sum(len(k) + len(o) + 200 for k, o, _ in made)
                 if size > RUN_BYTES:
@@ -410,66 +439,33 @@ def _runs(bounds: list[bytes]):
     return run
 
 
-def _tests(bounds: list[bytes]):
-    """(range, run) sorted by range -> (gram, class, window, low, high): a repeated stretch of the class relative to its
-    anchor; with a window hash, a window still to be compared."""
+def _tests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(range, run) sorted by range -> (gram, class, low, high): a repeated stretch of the class relative to its anchor."""
 
-    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[memoryview]]]:
+    def ranges() -> Iterator[list[memoryview]]:
         now, runs = None, []
         for batch in batches:
             for r, run in zip(batch.column("range").to_pylist(), batch.column("run")):
                 if r != now and runs:
-                    yield now, runs
+                    yield runs
                     runs = []
                 now = r
                 runs.append(memoryview(run.as_buffer()))  # no copy beside the batch
         if runs:
-            yield now, runs
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, bytes | None, int, int]] = []
-
-        def close(shared, group, ends):
-            if not group:
-                return
-            gram = struct.unpack(">q", group[0][0][:_GRAM])[0]
-            tried = windows(shared, group, ends)
-            if is_open(group, ends):
-                out.extend((gram, c, xxhash.xxh3_128_digest(w, -s), s, s + LENGTH) for c, s, w in tried)
-            else:
-                out.extend((gram, c, None, i, j) for c, i, j in repeated(tried))
-
-        for r, runs in ranges(batches):
-            ends = bounds[max(0, r - 1) : r] + bounds[r : r + 1]
-            group: list[tuple[bytes, bytes, int]] = []
-            shared: list[int] = []
-            for known, *record in merge(runs):
-                if known < _GRAM and group:
-                    close(shared, group, ends)
-                    group, shared = [], []
-                group.append(tuple(record))
-                shared.append(known)
-                if len(out) > 50_000:
-                    yield _batch(out)
-                    out.clear()
-            close(shared, group, ends)
-        yield _batch(out)
-
-    def _batch(rows) -> pa.RecordBatch:
-        columns = zip(*rows) if rows else ((), (), (), (), ())
-        types = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["gram", "class", "window", "low", "high"])
-
-    return run
+            yield runs
 
+    def found() -> pa.RecordBatch:
+        gram, cls, low, high = depths.stretches()
+        return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(cls), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], names=["gram", "class", "low", "high"])
 
-def _keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = []
-        for text, wanted in zip(batch.column("text"), batch.column("wanted")):
-            raw = utf8(text.as_py())
-            keys += [r[0] if w["split"] else r[0][:_GRAM] for w in wanted.as_py() for r in _records(raw, w["place"], w["gram"], w["class"])]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary())], names=["key"])
+    depths = Depths()
+    for runs in ranges():
+        for known, key, other, cls in merge(runs):
+            if known < _GRAM and len(depths) >= CLASSES:
+                yield found()
+                depths = Depths()
+            depths.add(known, key, other, cls)
+    yield found()
 
 
 def cut_out(raw: bytes, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -498,23 +494,19 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         return rows.select("rid", "text").join(wanted, "rid").select("text", "wanted")
 
     n_ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sample = sorted_.orderBy(F.xxhash64("gram", "class"), "gram", "class").limit(SAMPLED * n_ranges)
-    drawn = F.broadcast(sample.groupBy("rid").agg(F.collect_list(F.struct("place", "gram", "class", "split")).alias("wanted")))  # at most SAMPLED a range
-    keys = sorted({bytes(r[0]) for r in rows.select("rid", "text").join(drawn, "rid").select("text", "wanted").mapInArrow(_keys_of, "key binary").toLocalIterator()})
+    every = max(1, sorted_.count() // (SAMPLED * n_ranges))
+    # Cores are spread evenly, by their hash: for each part of a split class any number stands for its core's.
+    keys = F.expr(f"IF(split, transform(sequence(1, {-(-(BEFORE + 1) // PART)}), k -> xxhash64(k, gram, class)), array(gram))")
+    sample = sorted_.where(F.pmod(F.xxhash64("gram", "class"), F.lit(every)) == 0).select(F.explode(keys))
+    keys = sorted(struct.pack(">q", r[0]) for r in sample.toLocalIterator())
     bounds = sorted({keys[i * len(keys) // n_ranges] for i in range(1, n_ranges)}) if keys else []
 
     runs = with_text(sorted_).mapInArrow(_runs(bounds), "range int, run binary").repartition("range").sortWithinPartitions("range")
-    tests = materialize(runs.mapInArrow(_tests(bounds), "gram long, class long, window binary, low int, high int"), "windows")
-    pair = F.struct("gram", "class")
-    tried = tests.where("window IS NOT NULL")
-    twice = tried.groupBy("window").agg(F.min(pair).alias("x"), F.max(pair).alias("y")).where("x <> y").select("window")
-    part = ["gram", "class", "low", "high"]
+    tests = materialize(runs.mapInArrow(_tests, "gram long, class long, low int, high int"), "stretches")
     whole = classes.where("whole").select("gram", "class", F.lit(-BEFORE).alias("low"), F.lit(LENGTH).alias("high"))  # cut at the text's ends
-    hits = tests.where("window IS NULL").select(part).unionAll(tried.join(twice, "window", "left_semi").select(part)).unionAll(whole)
-    # A table, so that the join can split a class that a great many places have. parts lie within a context's bytes.
-    by_class = materialize(hits.groupBy("gram", "class").agg(F.collect_set(F.struct("low", "high")).alias("parts")), "stretches")
-    per_text = found.join(by_class, ["gram", "class"]).select("rid", F.expr("transform(parts, p -> struct(place + p.low AS low, place + p.high AS high))").alias("parts"))
-    per_text = per_text.groupBy("rid").agg(F.flatten(F.collect_list("parts")).alias("found"))
+    # A table, so that the join can split a class that a great many places have. All stretches hold the gram, so a class has one.
+    by_class = materialize(tests.unionAll(whole).groupBy("gram", "class").agg(F.min("low").alias("low"), F.max("high").alias("high")), "repeated")
+    per_text = found.join(by_class, ["gram", "class"]).groupBy("rid").agg(F.collect_list(F.struct((F.col("place") + F.col("low")).alias("low"), (F.col("place") + F.col("high")).alias("high"))).alias("found"))
     joined = rows.join(per_text, "rid", "left").join(shared_passages(rows), "rid", "left").select("key", "text", "found", F.coalesce("passages", F.lit(0).cast("long")).alias("passages"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,6 +8,7 @@ import os
 import random
 import re
 import struct
+import tracemalloc
 import unicodedata
 from collections import Counter, defaultdict
 
@@ -153,6 +154,75 @@ def test_windows_sorted_in_parts_give_the_same(monkeypatch):
     assert whole and list(suffix_dedup.repeated(iter(found))) == whole
 
 
+def crowd(r, n):
+    """n texts around pieces of one passage and the place of its middle in each, no two with equal surroundings."""
+    p = words_of(r, 120)
+    out = []
+    for _ in range(n):
+        low, high = r.randint(0, 260), r.randint(0, 260)
+        t = words_of(r, r.randint(0, 60), "ab") + p[low : len(p) - high]
+        out.append(((t + words_of(r, r.randint(0, 60), "ab")).encode(), len(t) - len(p) + high + len(p) // 2))
+    return out
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_depths_give_the_windows_that_classes_share(split):
+    r = random.Random(11)
+    groups = [[(raw, at) for raw, at in crowd(r, n) if len(raw) >= 400] for n in (250, 50, 1)]
+    records, want = [], set()
+    for gram, group in enumerate(groups, -1):
+        found = []
+        for cls, (raw, at) in enumerate(group):
+            records += suffix_dedup._records(raw, at, gram, cls, split)
+            found += [(cls, s, raw[at + s : at + s + 400]) for s in range(max(-336, -at), min(0, len(raw) - at - 400) + 1)]
+        want |= {(gram, *x) for x in suffix_dedup.repeated(iter(found))}
+    depths = suffix_dedup.Depths()
+    for record in suffix_dedup.merge([suffix_dedup.front_code(sorted(records[i::5])) for i in range(5)]):
+        depths.add(*record)
+    got = {}
+    for gram, cls, low, high in zip(*(x.tolist() for x in depths.stretches())):
+        low_, high_ = got.get((gram, cls), (low, high))
+        got[gram, cls] = min(low, low_), max(high, high_)
+    assert {(*k, *v) for k, v in got.items()} == want and 100 < len(want) < sum(map(len, groups))
+
+
+def test_crowd_of_one_gram_takes_little_memory():
+    r = random.Random(12)
+    middle = words_of(r, 60)[:200].encode()
+    records = []
+    for cls in range(20_000):
+        before, after = (bytes(r.choices(b"abcdefgh ", k=k)) + middle[:n] for k, n in ((60, 100), (0, 100)))
+        records += suffix_dedup._records(before + middle + after + b"%08d" % cls * 12, 160, 7, cls, False)
+    runs = [suffix_dedup.front_code(sorted(records))]
+    del records
+    tracemalloc.start()
+    depths = suffix_dedup.Depths()
+    for record in suffix_dedup.merge(runs):
+        depths.add(*record)
+    depths.stretches()
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 300 * 20_000
+
+
+@pytest.mark.parametrize("most", [20, suffix_dedup.SPLIT])
+def test_suffix_dedup_writes_no_rows_by_window(spark, monkeypatch, most):
+    rows = [(i, raw.decode()) for i, (raw, _) in enumerate(crowd(random.Random(13), 300))]
+    monkeypatch.setattr(suffix_dedup, "SPLIT", most)
+    kept, written = suffix_dedup.materialize, {}
+
+    def counted(df, name):
+        out = kept(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "materialize", counted)
+    got = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted(((x["doc_id"], x["n_bytes"], sum(b - a for a, b in x["removed"]), len(x["removed"]), hashlib.sha256(x["kept"]).hexdigest()) for x in got), key=str)
+    assert got == brute_repeats(rows) and sum(x[2] > 0 for x in got) > 100
+    assert max(written.values()) <= 4 * written["anchors"], written
+
+
 def test_loser_tree_merges_runs():
     r = random.Random(1)
     records = [(bytes(r.choice(b"ab") for _ in range(r.randint(0, 12))), b"o", i) for i in range(500)]
