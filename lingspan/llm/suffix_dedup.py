@@ -21,7 +21,8 @@ Every byte inside a string of LENGTH bytes that also starts elsewhere, in the sa
 5. A gram of over SPLIT classes is dealt out: the windows that begin PART neighbouring depths before the anchor share all
    but PART - 1 bytes at either end, their core. For each such part a class goes, with these end bytes alone, to the classes
    that have its core, by 128 bits of the core. So a crowd meets in parts, by what surrounds the gram. What is left
-   in one task are the classes with one core: some 30 bytes each while depths are looked for, 200 at most in the runs.
+   in one task are the classes with one core: 200 bytes each at most in the runs, 44 beside them, and under 300 while depths
+   are looked for.
 6. Repeated stretches of a class hold for all its members; their union is cut out of each text. Classes and rows are told
    apart by 128 bits: of n of them two are taken for one with odds of about n * n / 2 ** 129.
 
